@@ -1,4 +1,8 @@
-"""Text expressions, all built from Spark's own functions."""
+"""Text expressions, all built from Spark's own functions.
+
+Each function takes column names and returns a column. The expressions are given
+to Spark as SQL text, which it parses in one step.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +12,11 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkweave import schemas as S
+
 # Latin letters that have no decomposition, spelled in ASCII.
-LETTER_SPELLINGS = {
-    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ø": "o", "đ": "d", "ð": "d",
-    "ł": "l", "ħ": "h", "ı": "i", "ŋ": "ng", "ĳ": "ij", "ŧ": "t",
-}
+LONG_SPELLINGS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ŋ": "ng", "ĳ": "ij"}
+SHORT_SPELLINGS = {"ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t"}
 
 # The characters Python's str.strip() takes off.
 WHITESPACE = (
@@ -29,7 +33,7 @@ def _accented_letters() -> tuple[str, str]:
     The rule is Unicode decomposition: a letter counts when its first
     decomposed character is a-z.
     """
-    letters, plain = [], []
+    letters, plain = list(SHORT_SPELLINGS), list(SHORT_SPELLINGS.values())
     for code in chain(range(0x00C0, 0x0250), range(0x1E00, 0x1F00)):
         letter = chr(code)
         base = unicodedata.normalize("NFD", letter)[0]
@@ -40,84 +44,120 @@ def _accented_letters() -> tuple[str, str]:
 
 
 ACCENTED, PLAIN = _accented_letters()
+INITIALS = "".join(spelling[0] for spelling in LONG_SPELLINGS.values())
 
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def _lower_name(column: str) -> str:
+    """Lower case, with the letters 'null' taken out wherever they stand."""
+    return f"lower(replace({column}, '{SENTINEL}', ''))"
 
 
-def drop_sentinel(value: Column | str) -> Column:
-    """The whole value 'null' as a real NULL."""
-    return F.nullif(_col(value), F.lit(SENTINEL))
+def ascii_name_sql(column: str) -> str:
+    name = _lower_name(column)
+    for letter, spelling in LONG_SPELLINGS.items():
+        name = f"replace({name}, '{letter}', '{spelling}')"
+    return f"regexp_replace(translate({name}, '{ACCENTED}', '{PLAIN}'), '[^a-z -]', '')"
 
 
-def fill_sentinel(value: Column | str) -> Column:
-    """A real NULL as the text 'null', the form older tables hold."""
-    return F.coalesce(_col(value).cast("string"), F.lit(SENTINEL))
+def block_key_sql(column: str) -> str:
+    letters = ACCENTED + "".join(LONG_SPELLINGS)
+    name = f"translate({_lower_name(column)}, '{letters}', '{PLAIN + INITIALS}')"
+    return f"nullif(regexp_extract({name}, '[a-z -]', 0), '')"
 
 
-def ascii_name(value: Column | str) -> Column:
+def ascii_name(column: str) -> Column:
     """Lower-case ASCII form of a name: a-z, blank and hyphen only.
 
-    The letters 'null' are taken out first, wherever they stand. Scripts other
-    than Latin leave nothing.
+    Scripts other than Latin leave nothing.
+    """
+    return F.expr(ascii_name_sql(column))
+
+
+def block_key(column: str) -> Column:
+    """First character of the ASCII name; NULL when nothing is left of it.
+
+    Only the first letter of a long spelling can matter, so one translation does.
     """
-    text = F.lower(F.replace(_col(value), F.lit(SENTINEL), F.lit("")))
-    for letter, spelling in LETTER_SPELLINGS.items():
-        text = F.replace(text, F.lit(letter), F.lit(spelling))
-    text = F.translate(text, ACCENTED, PLAIN)
-    return F.regexp_replace(text, "[^a-z -]", "")
+    return F.expr(block_key_sql(column))
+
+
+def block_keys() -> Column:
+    """Distinct block keys of a record, sorted; the name columns depend on its type."""
+    keys = []
+    for column in S.NAME_PARTS:
+        types = [f"'{kind}'" for kind, columns in S.BLOCK_COLUMNS.items() if column in columns]
+        keys.append(
+            f"CASE WHEN record_type IN ({', '.join(types)}) THEN {block_key_sql(column)} END"
+        )
+    return F.expr(f"array_sort(array_distinct(array_compact(array({', '.join(keys)}))))")
 
 
-def block_key(value: Column | str) -> Column:
-    """First character of the ASCII name; NULL when nothing is left of it."""
-    return F.nullif(F.substring(ascii_name(value), 1, 1), F.lit(""))
+def name_terms(columns: list[str] = S.NAME_PARTS) -> Column:
+    """Distinct ASCII name parts of a record, sorted."""
+    parts = [f"nullif(trim({ascii_name_sql(c)}), '')" for c in columns]
+    return F.expr(f"array_sort(array_distinct(array_compact(array({', '.join(parts)}))))")
 
 
-def prep_text(value: Column | str) -> Column:
+def ascii_full_name(columns: list[str] = S.NAME_PARTS) -> Column:
+    parts = [f"nullif({ascii_name_sql(c)}, '')" for c in columns]
+    return F.expr(f"concat_ws(' ', {', '.join(parts)})")
+
+
+def drop_sentinel(column: str) -> Column:
+    """The whole value 'null' as a real NULL."""
+    return F.expr(f"nullif({column}, '{SENTINEL}')")
+
+
+def fill_sentinel(column: str) -> Column:
+    """A real NULL as the text 'null', the form older tables hold."""
+    return F.expr(f"coalesce(CAST({column} AS STRING), '{SENTINEL}')")
+
+
+def prep_text(column: str) -> Column:
     """Lower case, whitespace taken off both ends."""
-    return F.lower(
-        F.regexp_replace(_col(value), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
-    )
+    return F.lower(F.regexp_replace(column, f"^{WHITESPACE}+|{WHITESPACE}+$", ""))
 
 
-def full_name(*parts: Column | str) -> Column:
+def full_name(*parts: str) -> Column:
     """Name parts joined by blanks; missing parts are skipped."""
-    return F.concat_ws(" ", *[_col(part) for part in parts])
+    return F.concat_ws(" ", *parts)
 
 
-def field_text(value: Column | str, length: int = 1000) -> Column:
+def field_text(column: str, length: int = 1000) -> Column:
     """Any value as text of at most ``length`` characters (the review field's size)."""
-    return F.substring(_col(value).cast("string"), 1, length)
+    return F.expr(f"substring(CAST({column} AS STRING), 1, {length})")
 
 
-def join_list(value: Column | str) -> Column:
-    return F.array_join(_col(value), "|")
+def join_list(column: str) -> Column:
+    return F.array_join(column, "|")
 
 
-def split_list(value: Column | str) -> Column:
-    return F.split(_col(value), "[|]")
+def split_list(column: str) -> Column:
+    return F.split(column, "[|]")
 
 
-def composite_key(kind: Column | str, number: Column | str) -> Column:
+def composite_key(kind: str, number: str) -> Column:
     """``type_id``, the text key of a record."""
-    return F.concat_ws("_", _col(kind), _col(number).cast("string"))
+    return F.expr(f"concat_ws('_', {kind}, CAST({number} AS STRING))")
+
+
+_COMPOSITE = "^(.*)_([^_]*)$"
 
 
-def key_type(key: Column | str) -> Column:
+def key_type(key: str) -> Column:
     """Record type of a text key, split at the last underscore."""
-    return F.regexp_extract(_col(key), "^(.*)_([^_]*)$", 1)
+    return F.regexp_extract(key, _COMPOSITE, 1)
 
 
-def key_id(key: Column | str) -> Column:
-    return F.regexp_extract(_col(key), "^(.*)_([^_]*)$", 2).try_cast("bigint")
+def key_id(key: str) -> Column:
+    return F.regexp_extract(key, _COMPOSITE, 2).try_cast("bigint")
 
 
 def canonical_json(value: Column | str) -> Column:
     """JSON text with sorted keys and no blanks, so equal documents are equal text."""
-    return F.to_json(F.try_parse_json(_col(value)))
+    return F.to_json(F.try_parse_json(value))
 
 
 def range_text(value: Column | str) -> Column:
     """Bound of an import range as text; a colon stands before the milliseconds."""
-    return F.date_format(_col(value), "yyyy-MM-dd HH:mm:ss:SSS")
+    return F.date_format(value, "yyyy-MM-dd HH:mm:ss:SSS")

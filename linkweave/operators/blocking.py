@@ -19,26 +19,22 @@ from linkweave.functions import text
 LETTERS = list(string.ascii_lowercase)
 
 
-def block_keys(record_type: Column | str = "record_type") -> Column:
-    """Distinct block keys of a record, sorted; the name columns depend on its type."""
-    kind = F.col(record_type) if isinstance(record_type, str) else record_type
-    keys = F.lit(None).cast("array<string>")
-    for name, columns in S.BLOCK_COLUMNS.items():
-        of_type = F.array(*[text.block_key(c) for c in columns])
-        keys = F.when(kind == name, of_type).otherwise(keys)
-    return F.array_sort(F.array_distinct(F.array_compact(keys)))
-
-
 def block_rows(records: DataFrame) -> DataFrame:
-    """One row per record and block key. ``records`` has one row per record."""
-    return records.select(*S.RECORD_KEY, F.explode(block_keys()).alias("block"))
+    """One row per record and block key. ``records`` has one row per record.
+
+    The outer form of explode keeps Spark from computing the keys a second time
+    in a filter of its own on non-empty arrays.
+    """
+    return records.select(*S.RECORD_KEY, F.explode_outer(text.block_keys()).alias("block")).where(
+        "block IS NOT NULL"
+    )
 
 
 def block_stats(records: DataFrame) -> DataFrame:
     """Rows in and block rows out, in one pass over the records."""
     return records.agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.sum(F.greatest(F.size(block_keys()), F.lit(0)).cast("bigint")).alias("n_block_rows"),
+        F.sum(F.size(text.block_keys()).cast("bigint")).alias("n_block_rows"),
     )
 
 

@@ -42,23 +42,16 @@ def pair_attributes(pairs: DataFrame, sources: DataFrame, targets: DataFrame) ->
     return pairs
 
 
-def match_flag(left: Column | str, right: Column | str) -> Column:
-    """1.0 where both values are present and equal after text preparation."""
-    same = text.prep_text(left) == text.prep_text(right)
-    return F.when(same, F.lit(1.0)).otherwise(F.lit(0.0))
+def match_flag(left: str, right: str) -> Column:
+    """1.0 where both prepared values are present and equal."""
+    return F.expr(f"CASE WHEN {left} = {right} THEN 1.0D ELSE 0.0D END")
 
 
-def name_match_score(left: Column | str, right: Column | str) -> Column:
+def name_match_score(left: str, right: str) -> Column:
     """1 - edit distance / longer length, on ASCII names; 0.0 when both are empty."""
-    longest = F.greatest(F.length(left), F.length(right))
-    distance = F.levenshtein(left, right)
-    score = F.when(longest > 0, 1.0 - distance / longest)
-    return F.coalesce(score.cast("double"), F.lit(0.0))
-
-
-def ascii_full_name(columns: list[str] = S.NAME_PARTS) -> Column:
-    parts = [F.nullif(text.ascii_name(c), F.lit("")) for c in columns]
-    return text.full_name(*parts)
+    longest = f"greatest(length({left}), length({right}))"
+    score = f"1.0D - levenshtein({left}, {right}) / {longest}"
+    return F.expr(f"coalesce(CASE WHEN {longest} > 0 THEN {score} END, 0.0D)")
 
 
 def name_frequency(records: DataFrame, column: str, alias: str) -> DataFrame:
@@ -113,17 +106,23 @@ class FgLegacy(FeatureGroup):
         "l_name_freq_src",
     ]
 
-    def _prepared(self, records: DataFrame) -> DataFrame:
-        columns = {c: F.lit(None).cast("string") for c in MATCH_ATTRIBUTES if c not in records.columns}
-        return records.withColumns(columns).select(
-            *S.RECORD_KEY, *MATCH_ATTRIBUTES, ascii_full_name().alias("ascii_name")
+    def _prepared(self, records: DataFrame, *kept: str) -> DataFrame:
+        """Attributes ready for comparison, prepared once per record."""
+        values = {
+            c: text.prep_text(c) if c in records.columns else F.lit(None).cast("string")
+            for c in MATCH_ATTRIBUTES
+        }
+        return records.select(
+            *S.RECORD_KEY,
+            *kept,
+            text.ascii_full_name().alias("ascii_name"),
+            *[value.alias(c) for c, value in values.items()],
         )
 
     def preprocess(self, sources, targets):
-        sources = self._prepared(sources)
         sources = name_frequency(sources, "first_name", "f_name_freq")
         sources = name_frequency(sources, "last_name", "l_name_freq")
-        return sources, self._prepared(targets)
+        return self._prepared(sources, "f_name_freq", "l_name_freq"), self._prepared(targets)
 
     def compute(self, pairs):
         flags = [

@@ -20,7 +20,7 @@ _RANK = "_rank"
 def _remaining(df: DataFrame, used: list[str]) -> list[Column]:
     unordered = (T.MapType, T.VariantType)
     return [
-        F.col(field.name).asc_nulls_last()
+        F.expr(f"`{field.name}`").asc_nulls_last()
         for field in df.schema.fields
         if field.name not in used and not isinstance(field.dataType, unordered)
     ]

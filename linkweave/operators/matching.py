@@ -20,59 +20,44 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.functions import text
-from linkweave.operators import blocking
 
 _WEIGHTED = "array<struct<term:string,weight:bigint>>"
 _SUBSETS = "array<struct<terms:array<string>,dot:bigint>>"
 _SCALE = 1_000_000
 
 
-def name_terms(columns: list[str] = S.NAME_PARTS) -> Column:
-    """Distinct ASCII name parts of a record, sorted."""
-    parts = [F.nullif(F.trim(text.ascii_name(c)), F.lit("")) for c in columns]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*parts))))
+def linkable(records: DataFrame) -> DataFrame:
+    """What the ranked join reads of a record: key, block keys, name parts.
 
-
-def linkable(records: DataFrame, record_type: str) -> DataFrame:
-    """Records of one type that have a block: id, block keys, name parts."""
-    return (
-        records.where(F.col("record_type") == record_type)
-        .select("record_id", blocking.block_keys().alias("blocks"), name_terms().alias("terms"))
-        .where(F.size("blocks") > 0)
-    )
-
-
-def term_weights(records: DataFrame) -> DataFrame:
-    """Squared rarity of each name part: the smooth inverse document frequency."""
-    terms = records.select(name_terms().alias("terms"))
-    total = terms.agg(F.count(F.lit(1))).scalar().cast("double")
-    counts = (
-        terms.select(F.explode("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    rarity = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1.0
-    return counts.select(
-        "term", F.round(rarity * rarity * _SCALE).cast("bigint").alias("weight")
+    The join passes over this several times, so store it or checkpoint it first.
+    """
+    return records.select(
+        *S.RECORD_KEY, text.block_keys().alias("blocks"), text.name_terms().alias("terms")
     )
 
 
-def _weighted_profiles(profiles: DataFrame, weights: DataFrame) -> DataFrame:
+def weighted_terms(linked: DataFrame) -> DataFrame:
     """Distinct sets of name parts with the weight of each part and of the whole.
 
-    ``profiles`` may repeat a set; copies are folded before anything else moves.
+    The weight is the squared rarity, the smooth inverse document frequency over
+    all records given. Copies of a name are folded before anything else moves.
     """
-    distinct = profiles.select("terms").distinct()
+    sets = linked.groupBy("terms").agg(F.count(F.lit(1)).alias("n"))
+    total = linked.agg(F.count(F.lit(1))).scalar().cast("double")
+    rarity = F.log((1.0 + total) / (1.0 + F.sum("n"))) + 1.0
+    parts = sets.select("terms", "n", F.explode("terms").alias("term"))
+    weights = parts.groupBy("term").agg(
+        F.round(rarity * rarity * _SCALE).cast("bigint").alias("weight")
+    )
     weighted = (
-        distinct.select("terms", F.explode("terms").alias("term"))
-        .join(weights, "term")
+        parts.join(weights, "term")
         .groupBy("terms")
         .agg(
             F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("parts"),
             F.sum("weight").alias("length"),
         )
     )
-    empty = distinct.where(F.size("terms") == 0).select(
+    empty = sets.where(F.size("terms") == 0).select(
         "terms",
         F.array().cast(_WEIGHTED).alias("parts"),
         F.lit(0).cast("bigint").alias("length"),
@@ -108,7 +93,7 @@ def _top(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFra
 
 
 def best_targets(
-    records: DataFrame,
+    linked: DataFrame,
     source_type: str = "gpo",
     target_type: str = "pm",
     k: int = S.TOP_K,
@@ -116,14 +101,14 @@ def best_targets(
 ) -> DataFrame:
     """Per source the k best targets with a sufficient score, or else the best one.
 
-    ``records`` has one row per record. The result equals scoring every pair of
-    every block and ranking by score, then target id. Sources whose blocks hold
-    no target have no row.
+    ``linked`` has one row per record, as ``linkable`` makes it. The result equals
+    scoring every pair of every block and ranking by score, then target id. Sources
+    whose blocks hold no target have no row.
     """
-    linked = records.where(F.col("record_type").isin(source_type, target_type))
-    weights = term_weights(linked)
-    sources = linkable(records, source_type)
-    targets = linkable(records, target_type)
+    linked = linked.where(F.col("record_type").isin(source_type, target_type))
+    sources = linked.where(F.col("record_type") == source_type)
+    targets = linked.where(F.col("record_type") == target_type)
+    weighted = weighted_terms(linked)
 
     # Copies of a name need no more than their k smallest ids.
     named = _top(
@@ -133,7 +118,7 @@ def best_targets(
         k,
     ).drop("_rank")
     by_set = (
-        named.join(_weighted_profiles(named, weights), "terms")
+        named.join(weighted, "terms")
         .select("block", "record_id", "length", F.explode(_subsets(F.col("parts"))).alias("s"))
         .select("block", F.col("s.terms").alias("shared"), "record_id", "length")
     )
@@ -144,31 +129,37 @@ def best_targets(
         k,
     ).select("block", "shared", F.col("record_id").alias("target_id"), "length")
 
-    profiles = sources.select("blocks", "terms").distinct()
-    wanted = profiles.join(_weighted_profiles(sources, weights), "terms").select(
-        "blocks", "terms", F.col("length").alias("own"),
-        F.explode("blocks").alias("block"), F.col("parts"),
+    wanted = (
+        sources.select("blocks", "terms")
+        .distinct()
+        .join(weighted, "terms")
+        .select(
+            "blocks", "terms", F.col("length").alias("own"), "parts",
+            F.explode("blocks").alias("block"),
+        )
     )
+    score = F.col("dot") / F.sqrt(F.col("own").cast("double") * F.col("length").cast("double"))
     sharing = (
         wanted.select(
             "blocks", "terms", "own", "block", F.explode(_subsets(F.col("parts"))).alias("s")
         )
         .select("blocks", "terms", "own", "block", F.col("s.terms").alias("shared"), "s.dot")
         .join(shortest, ["block", "shared"])
-        .select(
-            "blocks", "terms", "target_id",
-            (
-                F.col("dot")
-                / F.sqrt(F.col("own").cast("double") * F.col("length").cast("double"))
-            ).alias("score"),
-        )
+        .select("blocks", "terms", "target_id", score.alias("score"))
     )
     # At most k rows for each of the 28 possible block keys.
     first_ids = _top(
-        named.select("block", "record_id"), ["block"], [F.col("record_id")], k
+        targets.select("record_id", F.explode("blocks").alias("block")),
+        ["block"],
+        [F.col("record_id")],
+        k,
     ).select("block", F.col("record_id").alias("target_id"))
-    strangers = wanted.join(F.broadcast(first_ids), "block").select(
-        "blocks", "terms", "target_id", F.lit(0.0).alias("score")
+    strangers = (
+        sources.select("blocks", "terms")
+        .distinct()
+        .select("blocks", "terms", F.explode("blocks").alias("block"))
+        .join(F.broadcast(first_ids), "block")
+        .select("blocks", "terms", "target_id", F.lit(0.0).alias("score"))
     )
 
     # One exchange serves both the folding of repeated finds and the ranking.

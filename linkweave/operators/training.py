@@ -74,7 +74,7 @@ def class_counts(training: DataFrame, label: str = "is_match") -> DataFrame:
 
 
 def _sample_order(keys: list[str], seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return F.expr(f"md5(concat_ws('|', '{seed}', {', '.join(keys)}))")
 
 
 def undersample(
@@ -88,7 +88,8 @@ def undersample(
     Rows are taken in the order of a hash of their keys. Instead of ordering a
     whole class in one task, rows are counted by the first four hex digits of the
     hash; only rows up to the bucket in which the quota runs out are ranked, and
-    ranked inside their bucket.
+    ranked inside their bucket. The rows are read twice, so store or checkpoint a
+    costly training set first.
     """
     rows = training.withColumn("_order", _sample_order(keys, seed)).withColumn(
         "_bucket", F.substring("_order", 1, 4)
@@ -97,7 +98,7 @@ def undersample(
     # At most 65,536 buckets per class.
     running = Window.partitionBy(label).orderBy("_bucket")
     before = counts.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-    quota = class_counts(training, label).agg(F.min("n")).scalar()
+    quota = counts.groupBy(label).agg(F.sum("_n").alias("n")).agg(F.min("n")).scalar()
     wanted = before.where(F.col("_before") < quota).select(label, "_bucket", "_before")
     inside = Window.partitionBy(label, "_bucket").orderBy("_order", *keys)
     return (

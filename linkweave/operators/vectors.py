@@ -43,7 +43,9 @@ def term_counts(
     a share of all texts when a fraction.
     """
     counts = (
-        texts.select(key, F.explode(tokens(column, analyzer)).alias("term"))
+        # explode_outer: the plain form would take every text apart twice, once for
+        # a filter on non-empty arrays.
+        texts.select(key, F.explode_outer(tokens(column, analyzer)).alias("term"))
         .where(F.col("term") != "")
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -5,12 +5,12 @@ Each function returns a lazy DataFrame whose size follows its input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave import schemas as S
-from linkweave.functions import text
 from linkweave.operators import blocking, export, features, importing, latest, matching
+from linkweave.session import checkpointed
 
 RUN = "run_1"
 MODEL = "post_1"
@@ -25,57 +25,56 @@ MODEL_FEATURES = [
 ]
 
 
+# Given, so that no job has to read the footers first.
+SCHEMAS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def _minutes(start: int, minutes) -> Column:
-    return F.timestamp_seconds(F.lit(start) + minutes * 60)
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, on all cores.
+
+    A small file may be one row group and so one task. Many-file inputs have more
+    partitions than cores and are read as they are.
+    """
+    scan = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def record_version(spark: SparkSession, sf: str) -> DataFrame:
     """Person-like records cut from documents; every tenth has a second version."""
-    number, version = F.col("doc_id"), F.col("ver")
-    words = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
-
-    def word(i: int) -> Column:
-        return F.nullif(F.split_part(words, F.lit(" "), F.lit(i)), F.lit(""))
-
-    versions = F.when(number % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
-        table(spark, sf, "documents")
-        .select(
-            number,
-            word(1).alias("first_name"),
-            word(2).alias("middle_name"),
-            word(3).alias("third"),
-            F.col("lang").alias("country"),
-            F.col("source").alias("organization_name"),
-            F.md5("text").alias("npi"),
-            F.col("n_chars").alias("publication_count"),
+        documents(spark, sf)
+        .selectExpr(
+            "doc_id", "split(text, '[ \\n]', 4) AS words", "lang", "source", "md5(text) AS npi", "n_chars",
+            "explode(if(doc_id % 10 = 0, array(0, 1), array(0))) AS ver",
         )
-        .withColumn("ver", F.explode(versions))
-        .select(
-            F.when(number % 2 == 0, "gpo").otherwise("pm").alias("record_type"),
-            number.alias("record_id"),
-            "first_name",
-            "middle_name",
-            F.when((version == 0) & (number % 10 == 0), text.SENTINEL).otherwise(F.col("third")).alias("last_name"),
-            "country",
-            "organization_name",
+        .selectExpr(
+            "if(doc_id % 2 = 0, 'gpo', 'pm') AS record_type",
+            "doc_id AS record_id",
+            "nullif(get(words, 0), '') AS first_name",
+            "nullif(get(words, 1), '') AS middle_name",
+            "if(ver = 0 AND doc_id % 10 = 0, 'null', nullif(get(words, 2), '')) AS last_name",
+            "lang AS country",
+            "source AS organization_name",
             "npi",
-            "publication_count",
-            F.when(number % 50 == 0, F.lit(0))
-            .when(number % 50 == 2, F.lit(None))
-            .otherwise((11 + number % 7).cast("int"))
-            .alias("collection_source_id"),
-            _minutes(EPOCH_2024, number + version * 100_000).alias("tess_modified_at"),
+            "n_chars AS publication_count",
+            """CASE WHEN doc_id % 50 = 0 THEN 0 WHEN doc_id % 50 = 2 THEN NULL
+                    ELSE CAST(11 + doc_id % 7 AS INT) END AS collection_source_id""",
+            f"timestamp_seconds({EPOCH_2024} + 60 * (doc_id + ver * 100000)) AS tess_modified_at",
         )
     )
 
 
-
-
 def record(spark: SparkSession, sf: str) -> DataFrame:
     return latest.latest_records(record_version(spark, sf))
 
@@ -85,30 +84,27 @@ def feedback(spark: SparkSession, sf: str) -> DataFrame:
 
     Every third source has an older, opposite label.
     """
-    documents = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("h"))
-    sources = documents.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "source_id")
-    targets = documents.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "target_id")
+    hashed = documents(spark, sf).selectExpr("doc_id", "md5(text) AS h")
+    sources = hashed.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "source_id")
+    targets = hashed.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "target_id")
     copies = targets.groupBy("h").agg(F.min("target_id").alias("target_id"))
-    match = sources.join(copies, "h").select("source_id", "target_id", F.lit(True).alias("y"))
-    nexts = targets.select("target_id", F.col("h").alias("th"))
+    match = sources.join(copies, "h").selectExpr("source_id", "target_id", "true AS y")
     other = (
-        sources.withColumn("target_id", F.col("source_id") + 1)
-        .join(nexts, "target_id")
-        .where("h <> th")
-        .select("source_id", "target_id", F.lit(False).alias("y"))
+        sources.withColumn("target_id", F.expr("source_id + 1"))
+        .join(targets.withColumnRenamed("h", "next_h"), "target_id")
+        .where("h <> next_h")
+        .selectExpr("source_id", "target_id", "false AS y")
     )
-    source = F.col("source_id")
-    versions = F.when(source % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
     return (
         match.unionByName(other)
-        .withColumn("ver", F.explode(versions))
-        .select(
-            F.lit("gpo").alias("source_type"),
+        .selectExpr("*", "explode(if(source_id % 3 = 0, array(0, 1), array(1))) AS ver")
+        .selectExpr(
+            "'gpo' AS source_type",
             "source_id",
-            F.lit("pm").alias("target_type"),
+            "'pm' AS target_type",
             "target_id",
-            F.when(F.col("ver") == 0, ~F.col("y")).otherwise(F.col("y")).alias("is_match"),
-            _minutes(EPOCH_FEBRUARY, source + F.col("ver") * 100_000).alias("tess_modified_at"),
+            "if(ver = 0, NOT y, y) AS is_match",
+            f"timestamp_seconds({EPOCH_FEBRUARY} + 60 * (source_id + ver * 100000)) AS tess_modified_at",
         )
     )
 
@@ -126,31 +122,28 @@ def match_scores(spark: SparkSession, sf: str) -> DataFrame:
 
     Scores repeat on purpose; a quarter of the sources has low scores only.
     """
-    documents = table(spark, sf, "documents").select("doc_id")
-    source, target = F.col("source_id"), F.col("target_id")
-    base = ((source * 31 + target * 17) % 1000) / 1000.0
-    score = (
-        F.when(F.col("run_id") == "run_0", F.lit(0.99))
-        .when((source + target) % 97 == 0, F.lit(None))
-        .when(source % 8 == 2, F.round(base * 0.15, 6))
-        .otherwise(base)
-    )
+    ids = table(spark, sf, "documents").select("doc_id")
     return (
-        documents.where("doc_id % 2 = 0")
-        .select(F.col("doc_id").alias("source_id"))
-        .withColumn("target_id", F.explode(F.sequence(source + 1, source + 13, F.lit(2).cast("bigint"))))
-        .join(documents.select(F.col("doc_id").alias("target_id")), "target_id", "left_semi")
-        .withColumn("run_id", F.explode(F.array(F.lit("run_0"), F.lit(RUN))))
-        .select(
+        ids.where("doc_id % 2 = 0")
+        .selectExpr("doc_id AS source_id", "explode(sequence(doc_id + 1, doc_id + 13, 2L)) AS target_id")
+        .join(ids.withColumnRenamed("doc_id", "target_id"), "target_id", "left_semi")
+        .selectExpr(
+            "source_id", "target_id", "explode(array('run_0', 'run_1')) AS run_id",
+            "((source_id * 31 + target_id * 17) % 1000) / 1000.0D AS base",
+        )
+        .selectExpr(
             "run_id",
-            F.lit("gpo").alias("source_type"),
-            source,
-            F.lit("pm").alias("target_type"),
-            target,
-            score.alias("score"),
-            F.lit("pre_1").alias("pre_train_model_id"),
-            F.lit(MODEL).alias("post_train_model_id"),
-            F.lit(NOW).cast("timestamp").alias("created_at"),
+            "'gpo' AS source_type",
+            "source_id",
+            "'pm' AS target_type",
+            "target_id",
+            """CASE WHEN run_id = 'run_0' THEN 0.99D
+                    WHEN (source_id + target_id) % 97 = 0 THEN NULL
+                    WHEN source_id % 8 = 2 THEN round(base * 0.15D, 6)
+                    ELSE base END AS score""",
+            "'pre_1' AS pre_train_model_id",
+            f"'{MODEL}' AS post_train_model_id",
+            f"timestamp '{NOW}' AS created_at",
         )
     )
 
@@ -170,10 +163,9 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
         run_id=RUN,
         process_id="process_1",
     )
-    stale = F.col("created_at") < F.lit(NOW).cast("timestamp")
-    times = F.array(F.lit("2024-02-28 00:00:00").cast("timestamp"), F.lit(NOW).cast("timestamp"))
-    return rows.withColumn("created_at", F.explode(times)).withColumn(
-        "name_match_score", F.when(stale, F.lit(0.0)).otherwise(F.col("name_match_score"))
+    times = f"array(timestamp '2024-02-28 00:00:00', timestamp '{NOW}')"
+    return rows.withColumn("created_at", F.expr(f"explode({times})")).withColumn(
+        "name_match_score", F.expr(f"if(created_at < timestamp '{NOW}', 0.0D, name_match_score)")
     )
 
 
@@ -186,7 +178,7 @@ def run_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def proposals(spark: SparkSession, sf: str) -> DataFrame:
     """Best targets by name, the output of the ranked join."""
-    return matching.best_targets(record(spark, sf))
+    return matching.best_targets(checkpointed(matching.linkable(record(spark, sf))))
 
 
 def assembly(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,12 +202,9 @@ def decided(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def import_log(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
-        F.col("event_type").alias("record_type"),
-        F.col("event_id").alias("record_id"),
-        "user_id",
-        F.col("ts").alias("tess_modified_at"),
-        "value",
+    return table(spark, sf, "events").selectExpr(
+        "event_type AS record_type", "event_id AS record_id", "user_id",
+        "ts AS tess_modified_at", "value",
     )
 
 
@@ -225,51 +214,40 @@ def stored_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookup_source(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("LookupID"),
-        F.col("n_name").alias("LookupValue"),
-        F.when(F.col("n_nationkey") % 5 == 0, 0).otherwise(1).alias("IsActive"),
+    return table(spark, sf, "nation").selectExpr(
+        "n_nationkey AS LookupID", "n_name AS LookupValue",
+        "if(n_nationkey % 5 = 0, 0, 1) AS IsActive",
     )
 
 
 def batch_collection_source(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("BatchId"),
-        F.col("s_nationkey").alias("CollectionSourceId"),
-        F.when(F.col("s_suppkey") % 4 == 0, 0).otherwise(1).alias("IsActive"),
+    return table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS BatchId", "s_nationkey AS CollectionSourceId",
+        "if(s_suppkey % 4 = 0, 0, 1) AS IsActive",
     )
 
 
 def batch(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select(
-        key.alias("BatchId"),
-        (key % 7).alias("ConfigurationId"),
-        F.when(key % 6 == 0, 2).otherwise(1).alias("Status"),
+    return table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS BatchId", "s_suppkey % 7 AS ConfigurationId",
+        "if(s_suppkey % 6 = 0, 2, 1) AS Status",
     )
 
 
 def matching_result(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select(
-        (key + 1000).alias("MatchingResultId"),
-        key.alias("BatchId"),
-        F.when(key % 9 == 0, "other_rule").otherwise(S.RULE_NAME).alias("RuleName"),
+    return table(spark, sf, "supplier").selectExpr(
+        "s_suppkey + 1000 AS MatchingResultId", "s_suppkey AS BatchId",
+        f"if(s_suppkey % 9 = 0, 'other_rule', '{S.RULE_NAME}') AS RuleName",
     )
 
 
 def configuration(spark: SparkSession, sf: str) -> DataFrame:
     """Configurations with a stored schema text; its keys come in either order."""
-    key = F.col("p_partkey")
-    schema = (
-        F.when(key % 3 == 0, '{"b": [1, 2], "a": "x"}')
-        .when(key % 3 == 1, '{"a": "x", "b": [1, 2]}')
-        .otherwise('{"a": "y"}')
-    )
-    return table(spark, sf, "part").select(
-        key.alias("ConfigurationId"),
-        F.concat(F.lit("cfg "), "p_name").alias("ConfigurationName"),
-        schema.alias("ColumnSchema"),
+    return table(spark, sf, "part").selectExpr(
+        "p_partkey AS ConfigurationId",
+        "concat('cfg ', p_name) AS ConfigurationName",
+        """CASE p_partkey % 3 WHEN 0 THEN '{"b": [1, 2], "a": "x"}'
+                WHEN 1 THEN '{"a": "x", "b": [1, 2]}' ELSE '{"a": "y"}' END AS ColumnSchema""",
     )
 
 
@@ -281,19 +259,18 @@ def batch_tables(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def pre_train_model(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "nation").select(
-        F.concat(F.lit("pre_"), F.col("n_nationkey").cast("string")).alias("pre_train_model_id"),
-        F.lit("is_match").alias("dependent_variable"),
-        F.concat(F.lit("fg_legacy.name_match_score|fg_legacy."), F.lower("n_name")).alias("input_features"),
-        F.md5("n_name").alias("model_code_hash"),
+    return table(spark, sf, "nation").selectExpr(
+        "concat('pre_', n_nationkey) AS pre_train_model_id",
+        "'is_match' AS dependent_variable",
+        "concat('fg_legacy.name_match_score|fg_legacy.', lower(n_name)) AS input_features",
+        "md5(n_name) AS model_code_hash",
     )
 
 
 def run_model_inference(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select(
-        F.concat(F.lit("run_"), (key % 4).cast("string")).alias("run_id"),
-        F.concat(F.lit("pre_"), F.col("s_nationkey").cast("string")).alias("pre_train_model_id"),
-        F.concat(F.lit("post_"), key.cast("string")).alias("post_train_model_id"),
-        (key % 3 == 0).alias("is_primary"),
+    return table(spark, sf, "supplier").selectExpr(
+        "concat('run_', s_suppkey % 4) AS run_id",
+        "concat('pre_', s_nationkey) AS pre_train_model_id",
+        "concat('post_', s_suppkey) AS post_train_model_id",
+        "s_suppkey % 3 = 0 AS is_primary",
     )

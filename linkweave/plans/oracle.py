@@ -414,8 +414,8 @@ BODIES = {
         SELECT collection_source_id_src, count(*) AS n_rows, count(DISTINCT source_id) AS n_sources FROM assembly
         WHERE ds_combined_score >= 0.2 AND collection_source_id_src IS DISTINCT FROM 0 GROUP BY 1""",
     "prep_text": f"""
-        SELECT doc_id, md5({_prep("concat(' ', chr(9), ' ', text, chr(10), '  ')")}) AS text_md5,
-               CAST(length({_prep("concat(' ', chr(9), ' ', text, chr(10), '  ')")}) AS INT) AS n_chars_prepared FROM documents""",
+        SELECT doc_id, md5({_prep("concat(' ', chr(9), chr(160), text, chr(10), '  ')")}) AS text_md5,
+               CAST(length({_prep("concat(' ', chr(9), chr(160), text, chr(10), '  ')")}) AS INT) AS n_chars_prepared FROM documents""",
     "field_values": f"""
         SELECT a.source_id AS sourceid, a.target_id AS targetid, CAST(a.ds_combined_score AS VARCHAR) AS fieldvalue1,
                CAST(a.collection_source_id_src AS VARCHAR) AS fieldvalue2, substr(d.text, 1, 1000) AS fieldvalue3,

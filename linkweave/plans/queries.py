@@ -490,10 +490,17 @@ def split_counts(spark, sf):
 @query
 def prep_text(spark, sf):
     """Whole document texts, with blanks put around them."""
-    padded = F.concat(F.lit(" \t "), F.col("text"), F.lit("\n  "))
-    return fx.table(spark, sf, "documents").select(
-        "doc_id", F.md5(text.prep_text(padded)).alias("text_md5"),
-        F.length(text.prep_text(padded)).alias("n_chars_prepared"),
+    padded = F.concat(F.lit(" \t\u00a0"), F.col("text"), F.lit("\n  ")).alias("padded")
+    prepared = text.prep_text("padded").alias("prepared")
+    return (
+        fx.documents(spark, sf)
+        .select("doc_id", padded)
+        .select("doc_id", prepared)
+        .select(
+            "doc_id",
+            F.md5("prepared").alias("text_md5"),
+            F.length("prepared").alias("n_chars_prepared"),
+        )
     )
 
 
@@ -516,35 +523,34 @@ def field_values(spark, sf):
 @query
 def list_codec(spark, sf):
     models = fx.pre_train_model(spark, sf)
-    parts = text.split_list("input_features")
-    return models.select(
+    return models.withColumn("parts", text.split_list("input_features")).select(
         "pre_train_model_id",
-        F.size(parts).alias("n_features"),
-        F.get(parts, 1).alias("second_feature"),
-        text.join_list(parts).alias("joined"),
+        F.size("parts").alias("n_features"),
+        F.get("parts", 1).alias("second_feature"),
+        text.join_list("parts").alias("joined"),
     )
 
 
 @query
 def term_counts(spark, sf):
-    return vectors.term_counts(fx.table(spark, sf, "documents"), "doc_id", "text", min_df=2)
+    return vectors.term_counts(fx.documents(spark, sf), "doc_id", "text", min_df=2)
 
 
 @query
 def char_counts(spark, sf):
     return vectors.term_counts(
-        fx.table(spark, sf, "documents"), "doc_id", "text", analyzer="char", min_df=0.01
+        fx.documents(spark, sf), "doc_id", "text", analyzer="char", min_df=0.01
     )
 
 
 @query
 def tfidf_terms(spark, sf):
-    return _rounded(vectors.tfidf(fx.table(spark, sf, "documents"), "doc_id", "text"), "weight")
+    return _rounded(vectors.tfidf(fx.documents(spark, sf), "doc_id", "text"), "weight")
 
 
 @query
 def pair_cosine(spark, sf):
-    weights = vectors.tfidf(fx.table(spark, sf, "documents"), "doc_id", "text")
+    weights = vectors.tfidf(fx.documents(spark, sf), "doc_id", "text")
     pairs = fx.feedback(spark, sf).select(*S.PAIR_KEY).distinct()
     return _rounded(vectors.pair_cosine(pairs, weights, "doc_id"), "cosine")
 
@@ -572,25 +578,29 @@ def name_match_score(spark, sf):
     return _rounded(rows, "name_match_score")
 
 
+def _sample(spark, sf) -> DataFrame:
+    return training.undersample(checkpointed(_training_set(spark, sf)))
+
+
 @query
 def undersample(spark, sf):
-    return training.undersample(_training_set(spark, sf)).select(*S.PAIR_KEY, "is_match")
+    return _sample(spark, sf).select(*S.PAIR_KEY, "is_match")
 
 
 @query
 def undersample_counts(spark, sf):
-    return training.class_counts(training.undersample(_training_set(spark, sf)))
+    return training.class_counts(_sample(spark, sf))
 
 
 @query
 def train_accuracy(spark, sf):
-    rows = checkpointed(training.undersample(_training_set(spark, sf)))
+    rows = checkpointed(_sample(spark, sf))
     return model.accuracy(model.fit(rows, fx.MODEL_FEATURES), rows)
 
 
 @query
 def pair_scores(spark, sf):
-    rows = checkpointed(training.undersample(_training_set(spark, sf)))
+    rows = checkpointed(_sample(spark, sf))
     fitted = model.fit(rows, fx.MODEL_FEATURES)
     return model.pair_scores(
         fitted,
