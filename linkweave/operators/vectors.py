@@ -55,10 +55,18 @@ def term_counts(
     least = F.lit(min_df)
     if isinstance(min_df, float):
         least = texts.agg(F.count(F.lit(1))).scalar() * F.lit(min_df)
-    frequent = (
-        counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least)
-    )
-    return counts.join(frequent.select("term"), "term", "left_semi").select(key, "term", "n")
+    frequent = _document_frequency(counts).where(F.col("df") >= least).select("term")
+    # Inner on distinct terms; Spark would move a semi join below the counting.
+    return counts.join(frequent, "term").select(key, "term", "n")
+
+
+def _document_frequency(counts: DataFrame) -> DataFrame:
+    """Number of texts each term occurs in.
+
+    Counting over ``n`` keeps the input equal to what the counts are joined back
+    to, so one exchange of the texts' terms serves both.
+    """
+    return counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
 
 
 def tfidf(
@@ -71,8 +79,8 @@ def tfidf(
     """Term weights n * (ln((1 + texts) / (1 + df)) + 1), scaled to length 1 per text."""
     counts = term_counts(texts, key, column, analyzer, min_df)
     total = texts.agg(F.count(F.lit(1))).scalar().cast("double")
-    rarity = counts.groupBy("term").agg(
-        (F.log((1.0 + total) / (1.0 + F.count(F.lit(1)))) + 1.0).alias("idf")
+    rarity = _document_frequency(counts).select(
+        "term", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("idf")
     )
     raw = counts.join(rarity, "term").withColumn("w", F.col("n") * F.col("idf"))
     # The window holds the terms of one text, no more.

@@ -1,0 +1,131 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkweave import schemas as S
+from linkweave.operators import features, vectors
+
+
+class NoCompute(features.FeatureGroup):
+    pass
+
+
+def records(spark):
+    schema = (
+        "record_type STRING, record_id BIGINT, first_name STRING, middle_name STRING, "
+        "last_name STRING, country STRING, npi STRING, specialty STRING, other_ids STRING, "
+        "organization_name STRING"
+    )
+    rows = [
+        ("gpo", 1, "Anna", None, "Müller", "DE", "1", " Surgery", "a|b", None),
+        ("gpo", 2, "anna", "X", None, "DE", None, None, None, "Org"),
+        ("pm", 7, "ANNA ", None, "Muller", "de", "2", "surgery", "a|b", None),
+        ("pm", 8, None, None, None, None, None, None, None, "org "),
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+def pairs(spark, keys):
+    return spark.createDataFrame([("gpo", s, "pm", t) for s, t in keys], S.PAIR)
+
+
+def test_feature_group(spark):
+    df = records(spark)
+    rows = features.FgLegacy().run(
+        pairs(spark, [(1, 7), (1, 8), (2, 8)]),
+        df.where("record_type = 'gpo'"),
+        df.where("record_type = 'pm'"),
+        run_id="r",
+    )
+    found = {(r.source_id, r.target_id): r.asDict() for r in rows.collect()}
+    one = found[(1, 7)]
+    assert one["name_match_score"] == pytest.approx(1 - 1 / 12)  # a blank after the first name
+    flags = {k: v for k, v in one.items() if k.endswith("_match")}
+    assert flags == {
+        "first_name_match": 1.0, "middle_name_match": 0.0, "last_name_match": 0.0,
+        "specialty_match": 1.0, "country_match": 1.0, "npi_match": 0.0,
+        "organization_name_match": 0.0, "other_ids_match": 1.0,
+    }
+    assert found[(2, 8)]["organization_name_match"] == 1.0
+    assert found[(1, 8)]["name_match_score"] == 0.0
+    assert (one["f_name_freq_src"], one["l_name_freq_src"], one["run_id"]) == (1, 1, "r")
+    assert found[(2, 8)]["l_name_freq_src"] == 0
+
+
+def test_contract(spark):
+    assert NoCompute().table == "no_compute"
+    df = records(spark)
+    assert NoCompute().preprocess(df, df) == (df, df)
+    with pytest.raises(NotImplementedError):
+        NoCompute().run(pairs(spark, [(1, 7)]), df, df)
+
+
+def test_name_frequency_of_a_hot_name(spark):
+    df = spark.range(3000).selectExpr(
+        "'gpo' AS record_type", "id AS record_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('n', id) END AS first_name",
+    )
+    counts = features.name_frequency(df, "first_name", "n").groupBy("first_name").agg(
+        F.max("n").alias("n"), F.count("*").alias("rows")
+    )
+    found = {r.first_name: (r.n, r.rows) for r in counts.collect()}
+    assert found["hot"] == (1000, 1000) and found["n1"] == (1, 1) and found[None] == (0, 1000)
+
+
+TEXTS = ["The cat sat, the Cat!", "a dog_1 sat  on été", "", "x y", None, "zwei  Wörter zwei"]
+
+
+def texts(spark):
+    return spark.createDataFrame(list(enumerate(TEXTS)), "id BIGINT, t STRING")
+
+
+def words(value, analyzer):
+    value = (value or "").lower()
+    if analyzer == "word":
+        return re.findall(r"(?u)\b\w\w+\b", value)
+    if analyzer == "char":
+        return list(re.sub(r"\s\s+", " ", value))
+    return [c for w in value.split() for c in f" {w} "]
+
+
+@pytest.mark.parametrize("analyzer", ["word", "char", "char_wb"])
+@pytest.mark.parametrize("min_df", [1, 2, 0.4])
+def test_term_counts(spark, analyzer, min_df):
+    expected = {(i, w): n for i, t in enumerate(TEXTS) for w, n in Counter(words(t, analyzer)).items()}
+    df = Counter(w for _, w in expected)
+    least = min_df * len(TEXTS) if isinstance(min_df, float) else min_df
+    expected = {k: n for k, n in expected.items() if df[k[1]] >= least}
+    rows = vectors.term_counts(texts(spark), "id", "t", analyzer, min_df).collect()
+    assert {(r.id, r.term): r.n for r in rows} == expected
+
+
+def test_tfidf_formula_and_cosine(spark):
+    rows = vectors.tfidf(texts(spark), "id", "t")
+    found = {(r.id, r.term): r.weight for r in rows.collect()}
+    counts = {i: Counter(words(t, "word")) for i, t in enumerate(TEXTS)}
+    df = Counter(w for c in counts.values() for w in c)
+    idf = {w: math.log((1 + len(TEXTS)) / (1 + n)) + 1 for w, n in df.items()}
+    for i, c in counts.items():
+        length = math.sqrt(sum((n * idf[w]) ** 2 for w, n in c.items()))
+        for w, n in c.items():
+            assert found[(i, w)] == pytest.approx(n * idf[w] / length)
+    cosines = vectors.pair_cosine(pairs(spark, [(0, 1), (0, 5), (1, 2)]), rows, "id").collect()
+    got = {(r.source_id, r.target_id): r.cosine for r in cosines}
+    assert got[(0, 1)] == pytest.approx(found[(0, "sat")] * found[(1, "sat")])
+    assert got[(0, 5)] == 0.0 and got[(1, 2)] == 0.0
+
+
+def test_unknown_analyzer():
+    with pytest.raises(ValueError):
+        vectors.tokens("t", "sentence")
+
+
+def test_texts_are_taken_apart_once(spark):
+    plan = vectors.term_counts(texts(spark), "id", "t", min_df=2)
+    query = plan._jdf.queryExecution()
+    query.toRdd().count()
+    final = query.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("regexp_extract_all") == 1
