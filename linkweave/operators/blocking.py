@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.functions import text
+from linkweave.operators.lookup import lookup_join
 
 LETTERS = list(string.ascii_lowercase)
 
@@ -92,11 +93,7 @@ def pairs_in_blocks(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
         sets = blocks.groupBy("record_type", "record_id").agg(
             F.collect_set("block").alias(f"_{side}_blocks")
         )
-        keyed = keyed.join(
-            sets.withColumnsRenamed(
-                {"record_type": f"{side}_type", "record_id": f"{side}_id"}
-            ),
-            [f"{side}_type", f"{side}_id"],
-        )
+        names = {"record_type": f"{side}_type", "record_id": f"{side}_id"}
+        keyed = lookup_join(keyed, sets.withColumnsRenamed(names), list(names.values()))
     shared = F.array_intersect("_source_blocks", "_target_blocks")
     return keyed.select(*pairs.columns, F.explode(shared).alias("block"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkweave import schemas as S
 from linkweave.functions import naming, text
 from linkweave.operators import latest
+from linkweave.operators.lookup import lookup_join
 
 SCORE = "ds_combined_score"
 
@@ -60,8 +61,11 @@ def export_assembly(
         all_sources(blocks, run_id, source_type)
         .join(best, "source_id", "left")
         .join(_side(records, source_type, "source_id", "src", attributes), "source_id")
-        .join(_side(records, target_type, "target_id", "tgt", attributes), "target_id", "left")
     )
+    # Sources with no proposal share the NULL target, and a block's sources may
+    # share one fallback target.
+    targets = _side(records, target_type, "target_id", "tgt", attributes)
+    rows = lookup_join(rows, targets, ["target_id"], "left")
     names = []
     for group, of_group in naming.features_by_group(features).items():
         renamed = {f: naming.feature_column(group, f) for f in of_group}
@@ -69,7 +73,7 @@ def export_assembly(
         newest = latest.latest_features(groups[group], run_id).select(
             *S.PAIR_KEY, *[F.col(f).alias(a) for f, a in renamed.items()]
         )
-        rows = rows.join(newest, S.PAIR_KEY, "left")
+        rows = lookup_join(rows, newest, S.PAIR_KEY, "left")
     return rows.select(
         F.col("score").alias(SCORE),
         "source_id",

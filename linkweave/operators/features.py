@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.functions import naming, text
+from linkweave.operators.lookup import lookup_join
 
 MATCH_ATTRIBUTES = {
     "first_name": "first_name_match",
@@ -28,8 +29,7 @@ def suffixed(df: DataFrame, suffix: str) -> DataFrame:
 def pair_attributes(pairs: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
     """Pairs with the attributes of both records.
 
-    One row per record on either side, so the pairs do not multiply; a record in
-    very many pairs is split at run time as a skewed join key.
+    One row per record on either side, so the pairs do not multiply.
     """
     for rows, kind, number, suffix in (
         (sources, "source_type", "source_id", "src"),
@@ -38,7 +38,7 @@ def pair_attributes(pairs: DataFrame, sources: DataFrame, targets: DataFrame) ->
         side = suffixed(rows, suffix).withColumnsRenamed(
             {f"record_type_{suffix}": kind, f"record_id_{suffix}": number}
         )
-        pairs = pairs.join(side, [kind, number])
+        pairs = lookup_join(pairs, side, [kind, number])
     return pairs
 
 
@@ -63,7 +63,7 @@ def name_frequency(records: DataFrame, column: str, alias: str) -> DataFrame:
     counts = records.where(F.col(column).isNotNull()).groupBy(column).agg(
         F.count(F.lit(1)).alias(alias)
     )
-    return records.join(counts, column, "left").withColumn(
+    return lookup_join(records, counts, [column], "left").withColumn(
         alias, F.coalesce(F.col(alias), F.lit(0).cast("bigint"))
     )
 

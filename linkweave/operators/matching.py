@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.functions import text
+from linkweave.operators.lookup import lookup_join
 
 _WEIGHTED = "array<struct<term:string,weight:bigint>>"
 _SUBSETS = "array<struct<terms:array<string>,dot:bigint>>"
@@ -139,13 +140,11 @@ def best_targets(
         )
     )
     score = F.col("dot") / F.sqrt(F.col("own").cast("double") * F.col("length").cast("double"))
-    sharing = (
-        wanted.select(
-            "blocks", "terms", "own", "block", F.explode(_subsets(F.col("parts"))).alias("s")
-        )
-        .select("blocks", "terms", "own", "block", F.col("s.terms").alias("shared"), "s.dot")
-        .join(shortest, ["block", "shared"])
-        .select("blocks", "terms", "target_id", score.alias("score"))
+    asked = wanted.select(
+        "blocks", "terms", "own", "block", F.explode(_subsets(F.col("parts"))).alias("s")
+    ).select("blocks", "terms", "own", "block", F.col("s.terms").alias("shared"), "s.dot")
+    sharing = lookup_join(asked, shortest, ["block", "shared"]).select(
+        "blocks", "terms", "target_id", score.alias("score")
     )
     # At most k rows for each of the 28 possible block keys.
     first_ids = _top(
@@ -172,7 +171,7 @@ def best_targets(
     ranked = _top(
         found, ["blocks", "terms"], [F.col("score").desc(), F.col("target_id")], k
     ).where((F.col("score") >= min_score) | (F.col("_rank") == 1))
-    return sources.join(ranked, ["blocks", "terms"]).select(
+    return lookup_join(sources, ranked, ["blocks", "terms"]).select(
         F.lit(source_type).alias("source_type"),
         F.col("record_id").alias("source_id"),
         F.lit(target_type).alias("target_type"),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from linkweave import schemas as S
 from linkweave.functions import naming, text
 from linkweave.operators import latest, numbering
+from linkweave.operators.lookup import lookup_join
 
 _KEYS = ("source_type", "target_type", "source_id", "target_id")
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -265,28 +266,19 @@ def detail_rows(
     created_at,
     user: str = S.REVIEW_USER,
 ) -> DataFrame:
-    """Detail rows of all sources: ids, field values as text, result id and user.
-
-    Decisions are one row per collection source; a source with most of the rows is
-    split at run time as a skewed join key.
-    """
+    """Detail rows of all sources: ids, field values as text, result id and user."""
     values = [
         (text.field_text(c) if n.startswith("fieldvalue") else F.col(c)).alias(n)
         for c, n in names.items()
     ]
-    return (
-        matches.join(
-            assigned.select(
-                F.col("CollectionSourceId").alias("collection_source_id_src"), "MatchingResultId"
-            ),
-            "collection_source_id_src",
-        )
-        .select(
-            *values,
-            F.lit(user).alias("CreatedBy"),
-            F.lit(created_at).alias("CreatedDate"),
-            "MatchingResultId",
-        )
+    results = assigned.select(
+        F.col("CollectionSourceId").alias("collection_source_id_src"), "MatchingResultId"
+    )
+    return lookup_join(matches, results, ["collection_source_id_src"]).select(
+        *values,
+        F.lit(user).alias("CreatedBy"),
+        F.lit(created_at).alias("CreatedDate"),
+        "MatchingResultId",
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave import schemas as S
+from linkweave.operators.lookup import lookup_join
 
 # Fixed value: words of two or more letters, digits or underscores.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -57,7 +58,7 @@ def term_counts(
         least = texts.agg(F.count(F.lit(1))).scalar() * F.lit(min_df)
     frequent = _document_frequency(counts).where(F.col("df") >= least).select("term")
     # Inner on distinct terms; Spark would move a semi join below the counting.
-    return counts.join(frequent, "term").select(key, "term", "n")
+    return lookup_join(counts, frequent, ["term"]).select(key, "term", "n")
 
 
 def _document_frequency(counts: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def tfidf(
     rarity = _document_frequency(counts).select(
         "term", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("idf")
     )
-    raw = counts.join(rarity, "term").withColumn("w", F.col("n") * F.col("idf"))
+    raw = lookup_join(counts, rarity, ["term"]).withColumn("w", F.col("n") * F.col("idf"))
     # The window holds the terms of one text, no more.
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / length).alias("weight"))
@@ -100,9 +101,11 @@ def pair_cosine(pairs: DataFrame, weights: DataFrame, key: str) -> DataFrame:
         F.col(key).alias("target_id"), "term", F.col("weight").alias("wt")
     )
     shared = (
-        pairs.select(*S.PAIR_KEY)
-        .join(source, "source_id")
-        .join(target, ["target_id", "term"])
+        lookup_join(
+            lookup_join(pairs.select(*S.PAIR_KEY), source, ["source_id"]),
+            target,
+            ["target_id", "term"],
+        )
         .groupBy(*S.PAIR_KEY)
         .agg(F.sum(F.col("ws") * F.col("wt")).alias("cosine"))
     )

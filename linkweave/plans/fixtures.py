@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.operators import blocking, export, features, importing, latest, matching
+from linkweave.operators.lookup import lookup_join
 from linkweave.session import checkpointed
 
 RUN = "run_1"
@@ -88,7 +89,7 @@ def feedback(spark: SparkSession, sf: str) -> DataFrame:
     sources = hashed.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "source_id")
     targets = hashed.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "target_id")
     copies = targets.groupBy("h").agg(F.min("target_id").alias("target_id"))
-    match = sources.join(copies, "h").selectExpr("source_id", "target_id", "true AS y")
+    match = lookup_join(sources, copies, ["h"]).selectExpr("source_id", "target_id", "true AS y")
     other = (
         sources.withColumn("target_id", F.expr("source_id + 1"))
         .join(targets.withColumnRenamed("h", "next_h"), "target_id")

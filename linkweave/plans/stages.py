@@ -25,6 +25,7 @@ from linkweave.operators import (
     review,
     training,
 )
+from linkweave.operators.lookup import lookup_join
 from linkweave.session import checkpointed
 from linkweave.sources import tables
 
@@ -318,12 +319,10 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
     )
     output["gpov1.DSNonMatches"] = export.no_match_output(export.no_matches(kept))
     if run.auto_approve:
-        proposals = matched.join(
-            assigned.select(
-                F.col("CollectionSourceId").alias("collection_source_id_src"), "BatchId"
-            ),
-            "collection_source_id_src",
-        ).select("source_id", "target_id", F.col(export.SCORE).alias("score"), "BatchId")
+        batches = assigned.select(
+            F.col("CollectionSourceId").alias("collection_source_id_src"), "BatchId"
+        )
+        proposals = lookup_join(matched, batches, ["collection_source_id_src"]).select("source_id", "target_id", F.col(export.SCORE).alias("score"), "BatchId")
         output["gpov1.ApproveRejectData"] = review.auto_approvals(
             proposals, current["gpov1.ApproveRejectData"], run.auto_approve_score, run.user
         )
