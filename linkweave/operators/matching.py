@@ -30,7 +30,7 @@ _SCALE = 1_000_000
 def linkable(records: DataFrame) -> DataFrame:
     """What the ranked join reads of a record: key, block keys, name parts.
 
-    The join passes over this several times, so store it or checkpoint it first.
+    The join passes over this several times, so store it first.
     """
     return records.select(
         *S.RECORD_KEY, text.block_keys().alias("blocks"), text.name_terms().alias("terms")

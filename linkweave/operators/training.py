@@ -88,8 +88,8 @@ def undersample(
     Rows are taken in the order of a hash of their keys. Instead of ordering a
     whole class in one task, rows are counted by the first four hex digits of the
     hash; only rows up to the bucket in which the quota runs out are ranked, and
-    ranked inside their bucket. The rows are read twice, so store or checkpoint a
-    costly training set first.
+    ranked inside their bucket. The rows are read twice, so store a costly
+    training set first.
     """
     rows = training.withColumn("_order", _sample_order(keys, seed)).withColumn(
         "_bucket", F.substring("_order", 1, 4)

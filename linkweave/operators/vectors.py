@@ -92,7 +92,8 @@ def tfidf(
 def pair_cosine(pairs: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """Cosine of the two texts of each given pair; 0.0 where no term is shared.
 
-    ``weights`` are unit vectors in long form, keyed by record id.
+    ``weights`` are unit vectors in long form, keyed by record id. They are read for
+    either side, so store them first.
     """
     source = weights.select(
         F.col(key).alias("source_id"), "term", F.col("weight").alias("ws")

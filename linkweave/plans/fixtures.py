@@ -1,17 +1,21 @@
 """Linkage tables derived from the test tables (see FIXTURES.md).
 
-Each function returns a lazy DataFrame whose size follows its input.
+The size of each follows its input. Records, feedback and features are stored
+tables in a run as well; they are written once per session, so that the document
+texts are not read again for every use.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.operators import blocking, export, features, importing, latest, matching
 from linkweave.operators.lookup import lookup_join
-from linkweave.session import checkpointed
+from linkweave.session import stored
 
 RUN = "run_1"
 MODEL = "post_1"
@@ -26,6 +30,22 @@ MODEL_FEATURES = [
 ]
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
+def kept(build):
+    """Build a table once per session and folder, as a stored table."""
+
+    @functools.wraps(build)
+    def lookup(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, build.__name__)
+        if key not in _kept:
+            _kept[key] = stored(build(spark, sf))
+        return _kept[key]
+
+    return lookup
+
+
 # Given, so that no job has to read the footers first.
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
@@ -51,6 +71,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+@kept
 def record_version(spark: SparkSession, sf: str) -> DataFrame:
     """Person-like records cut from documents; every tenth has a second version."""
     return (
@@ -80,6 +101,7 @@ def record(spark: SparkSession, sf: str) -> DataFrame:
     return latest.latest_records(record_version(spark, sf))
 
 
+@kept
 def feedback(spark: SparkSession, sf: str) -> DataFrame:
     """Labels: the first exact copy of a source is a match, the next document is none.
 
@@ -153,6 +175,7 @@ def current_scores(spark: SparkSession, sf: str) -> DataFrame:
     return latest.run_scores(match_scores(spark, sf), RUN, MODEL, "gpo", "pm")
 
 
+@kept
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """Stored features of all labelled pairs, each with an older, stale row."""
     records = record(spark, sf)
@@ -179,7 +202,7 @@ def run_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def proposals(spark: SparkSession, sf: str) -> DataFrame:
     """Best targets by name, the output of the ranked join."""
-    return matching.best_targets(checkpointed(matching.linkable(record(spark, sf))))
+    return matching.best_targets(stored(matching.linkable(record(spark, sf))))
 
 
 def assembly(spark: SparkSession, sf: str) -> DataFrame:

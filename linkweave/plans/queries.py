@@ -27,7 +27,7 @@ from linkweave.operators import (
     vectors,
 )
 from linkweave.plans import fixtures as fx
-from linkweave.session import checkpointed
+from linkweave.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -550,7 +550,7 @@ def tfidf_terms(spark, sf):
 
 @query
 def pair_cosine(spark, sf):
-    weights = vectors.tfidf(fx.documents(spark, sf), "doc_id", "text")
+    weights = stored(vectors.tfidf(fx.documents(spark, sf), "doc_id", "text"))
     pairs = fx.feedback(spark, sf).select(*S.PAIR_KEY).distinct()
     return _rounded(vectors.pair_cosine(pairs, weights, "doc_id"), "cosine")
 
@@ -579,7 +579,7 @@ def name_match_score(spark, sf):
 
 
 def _sample(spark, sf) -> DataFrame:
-    return training.undersample(checkpointed(_training_set(spark, sf)))
+    return training.undersample(stored(_training_set(spark, sf)))
 
 
 @query
@@ -594,13 +594,13 @@ def undersample_counts(spark, sf):
 
 @query
 def train_accuracy(spark, sf):
-    rows = checkpointed(_sample(spark, sf))
+    rows = stored(_sample(spark, sf))
     return model.accuracy(model.fit(rows, fx.MODEL_FEATURES), rows)
 
 
 @query
 def pair_scores(spark, sf):
-    rows = checkpointed(_sample(spark, sf))
+    rows = stored(_sample(spark, sf))
     fitted = model.fit(rows, fx.MODEL_FEATURES)
     return model.pair_scores(
         fitted,

@@ -26,7 +26,7 @@ from linkweave.operators import (
     training,
 )
 from linkweave.operators.lookup import lookup_join
-from linkweave.session import checkpointed
+from linkweave.session import stored
 from linkweave.sources import tables
 
 
@@ -107,7 +107,7 @@ def pair_records(spark: SparkSession, run: Run) -> None:
         of_run, "record_id", "left_semi"
     )
     targets = known.where(F.col("record_type") == run.target_type)
-    linked = checkpointed(
+    linked = stored(
         matching.linkable(sources).unionByName(matching.linkable(targets))
     )
     best = matching.best_targets(linked, run.source_type, run.target_type)
@@ -139,7 +139,7 @@ def backfill_features(spark: SparkSession, run: Run, group: features.FeatureGrou
     """Features of labelled pairs that the group has no row for."""
     feedback = tables.read(spark, run.path("feedback"))
     held = tables.read(spark, run.path(group.table))
-    pairs = checkpointed(features.backfill_pairs(feedback, held, run.label))
+    pairs = stored(features.backfill_pairs(feedback, held, run.label))
     _write_features(spark, run, group, pairs, *_sides(spark, run))
 
 
@@ -164,9 +164,9 @@ def train(spark: SparkSession, run: Run) -> tuple[str, str]:
     )
     if run.drop_incomplete:
         rows = training.drop_incomplete(rows)
-    rows = checkpointed(rows)
+    rows = stored(rows)
     if run.sample_method:
-        rows = checkpointed(training.resampled(rows, run.sample_method, run.label))
+        rows = stored(training.resampled(rows, run.sample_method, run.label))
     unfitted = model.MODELS[run.model](model.feature_columns(names))
     pre_id = model.pre_train_model_id(unfitted, names, run.label)
     fitted = model.fit(rows, names, run.label, run.model)
@@ -185,7 +185,7 @@ def train(spark: SparkSession, run: Run) -> tuple[str, str]:
         run_id=run.run_id,
         created_at=run.now,
     )
-    details = checkpointed(details)
+    details = stored(details)
     tables.append_json_lines(details, run.path("models_metadata"))
     _register(
         spark, run, "pre_train_model",
@@ -285,7 +285,7 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
     without a collection source (``missing_sources``) and collection sources that
     are not active (``unknown_sources``); both are for the log.
     """
-    rows = checkpointed(assemble(spark, run))
+    rows = stored(assemble(spark, run))
     kept = export.drop_missing_source(rows)
     matched = export.with_full_names(export.matches(kept))
     schema_json = review.schema_text(matched.schema)
@@ -300,7 +300,7 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
         current["em.Configuration"],
     )
     # The ids of new batches must be the same in every table written.
-    assigned = checkpointed(
+    assigned = stored(
         review.assign_ids(
             review.batch_decision(matched, config, schema_json),
             current["em.Batch"],

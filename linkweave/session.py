@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,14 +26,30 @@ def build_session(app: str = "linkweave", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpointed(df):
-    """Cut the lineage through the shared folder the cluster names.
+_local_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names.
 
     A local folder is used only where the session names none, as in tests.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="linkweave-")
+    return _local_folders[application]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written out as an intermediate table and read back.
+
+    Cuts the lineage where several plans read the same costly rows. The table
+    survives the loss of executors, and readers take only the columns they need.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
