@@ -51,7 +51,7 @@ def weighted_terms(linked: DataFrame) -> DataFrame:
         F.round(rarity * rarity * _SCALE).cast("bigint").alias("weight")
     )
     weighted = (
-        parts.join(weights, "term")
+        lookup_join(parts, weights, ["term"])
         .groupBy("terms")
         .agg(
             F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("parts"),

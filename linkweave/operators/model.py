@@ -31,7 +31,7 @@ def random_forest(features: list[str]) -> Pipeline:
                 rawPredictionCol="_raw",
                 predictionCol="_prediction",
                 numTrees=100,
-                maxDepth=10,
+                maxDepth=30,
                 seed=S.MODEL_SEED,
             ),
         ]

@@ -74,10 +74,12 @@ def import_records(spark: SparkSession, run: Run, new: DataFrame, record_type: s
         if f.dataType.simpleString() == "string" and f.name not in ("record_type", "import_process_id")
     ]
     shaped = importing.drop_sentinels(shaped, text_columns)
-    tables.append_changes(shaped, run.path("record"), f"{run.process_id}-{record_type}")
-    blocks = blocking.block_rows(latest.latest_records(shaped))
+    batch = f"{run.process_id}-{record_type}"
+    # Blocks come from the stored rows, so the source is read once.
+    kept = tables.append_changes(shaped, run.path("record"), batch)
+    blocks = blocking.block_rows(latest.latest_records(kept))
     blocks = importing.with_metadata(blocks, run_id=run.run_id, created_at=run.now)
-    tables.append_run(blocks, run.path("block_record"))
+    tables.append_changes(blocks, run.path("block_record"), batch, ("run_id",))
     return True
 
 

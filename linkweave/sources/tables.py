@@ -86,15 +86,21 @@ def append_run(df: DataFrame, path: str) -> None:
     append(df, path, ["run_id"])
 
 
-def append_changes(df: DataFrame, path: str, batch_id: str) -> None:
-    """Add one import to a change log. Writing the same import again replaces it."""
+def append_changes(
+    df: DataFrame, path: str, batch_id: str, partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Add one import to a change log; returns its rows as stored.
+
+    Writing the same import again replaces its folder.
+    """
     (
         df.withColumn("import_process_id", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("import_process_id")
+        .partitionBy(*partition_by, "import_process_id")
         .parquet(path)
     )
+    return df.sparkSession.read.parquet(path).where(F.col("import_process_id") == batch_id)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], precombine: str) -> DataFrame:

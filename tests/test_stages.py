@@ -65,6 +65,8 @@ def review_tables(spark):
 def test_stored_tables(spark, finished):
     run, pre_id, post_id = finished
     assert tables.read(spark, run.path("record")).count() == 150
+    blocks = tables.read(spark, run.path("block_record"))
+    assert blocks.count() == blocks.select("run_id", *S.RECORD_KEY, "block").distinct().count()
     known = stages.records(spark, run)
     assert known.where("first_name = 'null' OR npi = 'null'").count() == 0
     assert known.where("record_type = 'pm' AND tess_modified_at IS NULL").count() == 0
