@@ -1,12 +1,61 @@
-"""Corpus pipeline; its stages follow."""
+"""Corpus pipeline: toxic documents go, then poor ones, then near copies; the rest is packed.
+
+Each stage takes the documents that the one before kept. A document without text, or
+without an id, goes through the filters like an empty one and is never a near copy. Rows
+that a stage keeps are whole rows of its input; rows that repeat an id are judged together.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkweave.llm import neardup, packing, quality, toxicity
+from linkweave.llm.common import DOCUMENT_COLUMNS, pick, shared_folder, table
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose ids are not among the rejected."""
+    rows = pick(docs, *DOCUMENT_COLUMNS)
+    return rows.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = toxicity.score(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, judged.where(F.col("toxic") == 1))
+
+
+def poor_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = quality.score(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, judged.where(F.col("predicted") == 0))
+
+
+def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_one_of_each(pick(docs, *DOCUMENT_COLUMNS))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxic_out),
+    ("quality", poor_out),
+    ("near_duplicates", near_copies_out),
+    ("packing", packed),
+]
 
-STAGES: list = []
+#: Trained models, alignments and a genetic algorithm: SQL cannot express them.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each written and read again by the next."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
