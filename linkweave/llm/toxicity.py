@@ -2,12 +2,12 @@
 
 P(grade > j) = s(w.x - t_j) with one weight per word for all ordered thresholds t_j; the
 result is the expected severity, the sum of these over j. x has log(1 + count) of each
-word of the model that the text holds, so few entries.
+word and beginning of a word in the model that the text holds, so few entries.
 
 The tables hold no grades, only a mark toxic or not. Grades are made from it: 0 for rows
 not marked; of marked rows, by how many words lean to the mark: 1, from 3 on 2, from 6 on 3.
-A word leans if its share among marked rows exceeds its share among the others with a z of
-``LEANS`` or more; at most ``WORDS`` words enter the model, those with the largest z.
+A word or beginning leans if its share of the marked rows and of the others differ with a z
+of ``LEANS`` or more; at most ``TERMS`` enter the model, those with the largest z.
 
 It is fitted on at most ``SAMPLE`` labelled documents, those whose ids hash lowest, none of
 them held out; of rows that repeat an id one counts. Without labels of both kinds every
@@ -31,16 +31,23 @@ from linkweave.llm.common import chunks, pick, stored
 from linkweave.llm.quality import labelled_sample
 
 SAMPLE = 20_000
-WORDS = 4096
+TERMS = 4096
 LEANS = 5.0
 #: Words that lean to the mark from which on a marked row has the next grade.
 NEXT_GRADE = (3, 6)
 GRADES = 2 + len(NEXT_GRADE)
 STEPS = 400
-L2 = 1e-3
+L2 = 1e-4
 #: Expected severity from which on a document is toxic.
 TOXIC = 0.5
 
+#: Lengths of the beginnings that count besides whole words.
+BEGINNINGS = (3, 4, 5, 6, 7)
+KEPT_WORDS = 300_000
+
+#: Term that counts all words of a text: a word weighs less in a long text.
+LENGTH = "#"
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,6 +55,11 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def terms_of(word: str) -> list[str]:
+    """The word, and its beginnings with a star behind."""
+    return [word, *[word[:n] + "*" for n in BEGINNINGS if n < len(word)]]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
@@ -60,9 +72,21 @@ class Ordinal:
     def severities(self, sums: np.ndarray) -> np.ndarray:
         return _sigmoid(sums[:, None] - self.thresholds).sum(1)
 
-    def sum_of(self, words: list[str]) -> float:
-        found = Counter([w for w in words if w in self.weights])
-        return sum(self.weights[w] * np.log1p(n) for w, n in sorted(found.items()))
+    def sum_of(self, words: list[str], known: dict[str, list[str]]) -> float:
+        """w.x of a text; ``known`` keeps the terms of words met before."""
+        found: list[str] = []
+        for word in words:
+            terms = known.get(word)
+            if terms is None:
+                if len(known) > KEPT_WORDS:
+                    known.clear()
+                terms = known[word] = [t for t in terms_of(word) if t in self.weights]
+            if terms:
+                found += terms
+        counts = Counter(found)
+        if LENGTH in self.weights:
+            counts[LENGTH] = len(words)
+        return sum(self.weights[t] * np.log1p(n) for t, n in sorted(counts.items()))
 
 
 def fit(
@@ -103,12 +127,14 @@ def fit(
     return point[width] + np.concatenate([[0], np.cumsum(np.exp(point[width + 1:]))]), point[:width]
 
 
-def _word_counts(documents: DataFrame) -> DataFrame:
-    """(doc_id, label, word, n)"""
+def _term_counts(documents: DataFrame) -> DataFrame:
+    """(doc_id, label, word, n) of the terms of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                found = Counter(words_of(row["text"] or ""))
+                words = words_of(row["text"] or "")
+                found = Counter(t for w in words for t in terms_of(w))
+                found[LENGTH] = len(words)
                 if found:
                     yield pa.record_batch(
                         [
@@ -134,7 +160,7 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
         .select("doc_id", "text", F.col("label").cast("int").alias("label"))
     )
     counts = stored(
-        _word_counts(texts).groupBy("doc_id", "word").agg(F.min("label").alias("label"), F.min("n").alias("n"))
+        _term_counts(texts).groupBy("doc_id", "word").agg(F.min("label").alias("label"), F.min("n").alias("n"))
     )
     share = F.col("rows") / F.lit(marked + others)
     z = (F.col("marked") / marked - F.col("others") / others) / F.sqrt(
@@ -145,13 +171,13 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
         .agg(F.sum("label").alias("marked"), F.count("*").alias("rows"))
         .withColumn("others", F.col("rows") - F.col("marked"))
         .withColumn("z", z)
-        .where(F.abs("z") >= LEANS)
-        .orderBy(F.desc(F.abs("z")), "word").limit(WORDS)
+        .where((F.abs("z") >= LEANS) & (F.col("word") != LENGTH))
+        .orderBy(F.desc(F.abs("z")), "word").limit(TERMS)
         .select("word", "z").collect()
     )
     if not leaning:
         return Ordinal()
-    words = {r.word: i for i, r in enumerate(leaning)}
+    words = {w: i for i, w in enumerate(dict.fromkeys([LENGTH, *[r.word for r in leaning]]))}
     known = counts.where(F.col("word").isin(list(words)))
     rows = known.groupBy("doc_id").agg(
         F.first("label").alias("label"), F.collect_list(F.struct("word", "n")).alias("words")
@@ -159,10 +185,16 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
     # Documents without a word of the model: one grade each, counted.
     entries = rows.select("label", "words").collect()
     toward = {r.word for r in leaning if r.z > 0}
-    grades = [
-        0 if not r.label else 1 + sum(sum(w.n for w in r.words if w.word in toward) >= k for k in NEXT_GRADE)
-        for r in entries
-    ]
+
+    def leaning_words(found: list) -> int:
+        """A word has one term of each length at most, so the most of one length is counted."""
+        by_length: Counter = Counter()
+        for w in found:
+            if w.word in toward:
+                by_length[len(w.word) if w.word.endswith("*") else 0] += w.n
+        return max(by_length.values(), default=0)
+
+    grades = [1 + sum(leaning_words(r.words) >= k for k in NEXT_GRADE) if r.label else 0 for r in entries]
     with_words = Counter(r.label for r in entries)
     grades += [0] * (others - with_words[0]) + [1] * (marked - with_words[1])
     triples = [(i, words[w.word], np.log1p(w.n)) for i, r in enumerate(entries) for w in r.words]
@@ -176,8 +208,9 @@ def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> Data
     model = train(documents, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for doc_ids, texts in chunks(batches, chars=1 << 21):
-            sums = np.array([model.sum_of(words_of(t)) for t in texts], np.float64)
+            sums = np.array([model.sum_of(words_of(t), known) for t in texts], np.float64)
             yield pa.record_batch(
                 [pa.array(doc_ids, pa.int64()), pa.array(model.severities(sums))], names=["doc_id", "severity"]
             )
