@@ -6,9 +6,11 @@ shingles, labelled with their occurrence, under its own hash, and keeps their or
 text. Equal sketches make two texts candidates, which favours texts that share shingles in
 the same order, as edited copies do.
 
-The similarity of two texts is that of their aligned shingles: with c the longest common
-subsequence of n and m shingles, c / (n + m - c). At ``SIMILARITY`` or more they are linked;
-alignment then never leaves a band around the diagonal. Classes are the connected parts.
+The similarity of two texts is that of their aligned words: with c the longest common
+subsequence of n and m words, c / (n + m - c). At ``SIMILARITY`` or more they are linked;
+alignment then never leaves a band around the diagonal. Shingles alone would not do here:
+one changed word changes five of them, and edited copies of one text, all alike, would
+meet again and again in buckets without a link. Classes are the connected parts.
 
 A bucket of equal sketches is not written out in pairs. First each text is checked against
 the bucket's smallest; then only texts of one bucket that are still in different classes
@@ -73,19 +75,23 @@ class _Words(dict):
 _words = _Words()
 
 
-def shingles(text: str) -> tuple[np.ndarray, str]:
-    """Hashes of the text's shingles in order, and a name that texts with equal words share."""
+def words_of(text: str) -> tuple[np.ndarray, str]:
+    """Hashes of the text's words in order, and a name that texts with equal words share."""
     words = WORD.findall(text.lower())
     if not words:
         return np.array([], np.uint64), hashlib.blake2b(b"\0" + text.encode(), digest_size=16).hexdigest()
     known = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    name = hashlib.blake2b(known.tobytes(), digest_size=16).hexdigest()
-    size = min(SHINGLE, len(words))
-    n = len(words) - size + 1
+    return known, hashlib.blake2b(known.tobytes(), digest_size=16).hexdigest()
+
+
+def shingles(known: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles of a sequence of word hashes, in order."""
+    size = min(SHINGLE, len(known))
+    n = len(known) - size + 1 if size else 0
     out = np.zeros(n, np.uint64)
     for i in range(size):
         out = out * BASE + known[i:i + n]
-    return _mixed(out + np.uint64(size)), name
+    return _mixed(out + np.uint64(size))
 
 
 def sketches(found: np.ndarray, count: int = SKETCHES, kept: int = KEPT) -> list[int]:
@@ -155,7 +161,7 @@ def common_length(a: list[int], b: list[int], need: int) -> int:
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether the aligned shingles of two texts have the similarity."""
+    """Whether the aligned words of two texts have the similarity."""
     n, m = len(a), len(b)
     # c / (n + m - c) >= s; the small term keeps exact fractions in.
     need = int(np.ceil(least * (n + m) / (1 + least) - 1e-9))
@@ -177,10 +183,10 @@ def _sketched(documents: DataFrame) -> DataFrame:
             for doc_ids, texts in chunks([batch], chars=1 << 22):
                 names, sizes, buckets = [], [], []
                 for text in texts:
-                    found, name = shingles(text)
+                    known, name = words_of(text)
                     names.append(name)
-                    sizes.append(len(found))
-                    buckets.append(sketches(found))
+                    sizes.append(len(known))
+                    buckets.append(sketches(shingles(known)))
                 yield pa.record_batch(
                     [
                         pa.array(doc_ids, pa.int64()), pa.array(sums[at:at + len(texts)], pa.string()), pa.array(names),
@@ -196,13 +202,13 @@ def _sketched(documents: DataFrame) -> DataFrame:
 
 
 def _sequences(texts: DataFrame) -> DataFrame:
-    """(uid, sequence): the shingles of texts, four bytes each."""
+    """(uid, sequence): the words of texts, four bytes each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 uids, raws = [], []
                 for row in batch.slice(start, 256).to_pylist():
-                    found, name = shingles(row["text"])
+                    found, name = words_of(row["text"])
                     # Another text may have the same id.
                     if name == row["name"]:
                         uids.append(row["uid"])

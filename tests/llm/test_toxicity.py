@@ -1,0 +1,67 @@
+import zlib
+
+import numpy as np
+
+from linkweave.llm import toxicity as T
+
+from cases import TEXTS, documents, labels
+
+
+def loss(point, x, grades):
+    thresholds, weights = point[:T.GRADES - 1], point[T.GRADES - 1:]
+    below = 1 / (1 + np.exp(-(thresholds - (x @ weights)[:, None])))
+    below = np.column_stack([np.zeros(len(x)), below, np.ones(len(x))])
+    p = below[np.arange(len(x)), grades + 1] - below[np.arange(len(x)), grades]
+    return -np.log(p).mean() + T.L2 / 2 * (weights**2).sum()
+
+
+def test_fit_finds_the_least_loss():
+    rng = np.random.default_rng(0)
+    x = rng.poisson(0.5, (800, 3)).astype(float)
+    noise = rng.logistic(size=800)
+    grades = np.searchsorted([1.0, 2.5, 4.0], x @ [1.5, 0.7, -0.5] + noise)
+    rows, columns = np.nonzero(x)
+    thresholds, weights = T.fit(rows, columns, x[rows, columns], grades, 3, steps=3000)
+    assert (np.diff(thresholds) > 0).all()
+    best = np.concatenate([thresholds, weights])
+    here = loss(best, x, grades)
+    for i in range(len(best)):
+        for step in (-0.05, 0.05):
+            beside = best.copy()
+            beside[i] += step
+            assert loss(beside, x, grades) >= here - 1e-5
+
+
+def test_severity_rises_with_the_sum():
+    model = T.Ordinal(np.array([1.0, 2.0, 4.0]), {})
+    found = model.severities(np.array([-100.0, 0.0, 1.5, 3.0, 100.0]))
+    assert (np.diff(found) > 0).all()
+    assert np.isclose(found[0], 0) and np.isclose(found[-1], T.GRADES - 1)
+
+
+def test_cases(spark):
+    for marks in (labels(spark), labels(spark, ())):
+        got = T.score(documents(spark), marks).collect()
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in TEXTS)
+        assert all(0 <= r.severity <= T.GRADES - 1 and r.toxic == (r.severity >= T.TOXIC) for r in got)
+    assert T.score(documents(spark).limit(0), labels(spark)).count() == 0
+
+
+def test_sums_against_counting_each_text():
+    model = T.Ordinal(np.array([1.0, 2.0, 3.0]), {"bad": 2.0, "bad*": 1.0, "worse*": 0.5, T.LENGTH: -0.1})
+    known = {}
+    for text, wanted in [
+        ("", 0.0), ("good", -0.1 * np.log1p(1)), ("BAD, bad", 2 * np.log1p(2) - 0.1 * np.log1p(2)),
+        ("badly worsened bad", 2 * np.log1p(1) + np.log1p(1) + 0.5 * np.log1p(1) - 0.1 * np.log1p(3)),
+    ]:
+        assert np.isclose(model.sum_of(T.words_of(text), known), wanted)
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    marks = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = T.score(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    held = [r for r in got.collect() if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    found = [r.toxic for r in held if marks[r.doc_id]]
+    wrong = [r.toxic for r in held if not marks[r.doc_id]]
+    assert np.mean(found) > 0.9 and np.mean(wrong) < 0.01
