@@ -46,22 +46,19 @@ def column_side(column: str) -> str:
     return "source" if column.endswith("_src") else "target"
 
 
+# Words of the headings.
+SIDES = {"src": "source", "tgt": "target"}
+ABBREVIATIONS = {"f": "first", "l": "last"}
+
+
 def column_title(column: str) -> str:
-    """Heading shown for a column.
+    """Heading shown for a column: its side, then its words.
 
-    ``_f_`` and ``_l_`` inside a name stand for first and last; at the very
-    start they stay as they are.
+    An abbreviation is spelled out between two other words only.
     """
-    words = without_group(column).replace("_", " ")
-    for short, long in ((" f ", " first "), (" l ", " last ")):
-        words = words.replace(short, long)
-    for suffix, side in ((" src", "source"), (" tgt", "target")):
-        if words.endswith(suffix):
-            words = f"{side} {words.replace(suffix, '')}"
-            break
-    return words.title()
-
-
-def compact_title(column: str) -> str:
-    """Title case without separators, as the no-match table spells its columns."""
-    return without_group(column).title().replace("_", "")
+    words = without_group(column).split("_")
+    inner = [ABBREVIATIONS.get(word, word) for word in words[1:-1]]
+    words = [words[0], *inner, *words[1:][-1:]]
+    if len(words) > 1 and words[-1] in SIDES:
+        words = [SIDES[words[-1]], *words[:-1]]
+    return " ".join(words).title()

@@ -87,7 +87,10 @@ def candidate_counts(
 
 
 def pairs_in_blocks(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Of the given pairs, those whose records share a block, with the shared blocks."""
+    """Of the given pairs, those whose records share a block, with the shared blocks.
+
+    ``blocks`` has one row per record and block.
+    """
     keyed = pairs
     for side in ("source", "target"):
         sets = blocks.groupBy("record_type", "record_id").agg(

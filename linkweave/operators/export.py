@@ -50,9 +50,10 @@ def export_assembly(
     """
     wanted = S.EXPORT_ATTRIBUTES if attributes is None else attributes
     attributes = [a for a in wanted if a in records.columns]
+    of_run = latest.run_scores(scores, run_id, post_train_model_id, source_type, target_type)
     best = latest.top_k_with_fallback(
-        latest.run_scores(scores, run_id, post_train_model_id, source_type, target_type)
-        .select("run_id", *S.PAIR_KEY, "score"),
+        latest.latest_scores(of_run.select("run_id", *S.PAIR_KEY, "score", "created_at"))
+        .drop("created_at"),
         ["run_id", "source_id"],
         k,
         min_score,
@@ -130,31 +131,33 @@ def allowed_no_matches(
     return rows.where(~is_blocked)
 
 
-def no_match_columns(group: str = "fg_legacy") -> dict[str, str]:
-    """Column names of the no-match table.
+# Names of the existing no-match table; a star stands for the feature group.
+NO_MATCH_COLUMNS = {
+    "first_name_tgt": "TargetFirstName",
+    "middle_name_tgt": "TargetMiddleName",
+    "last_name_tgt": "TargetLastName",
+    "npi_tgt": "TargetNpi",
+    "specialty_tgt": "TargetSpeciality",
+    "organization_name_tgt": "TargetOrganizationName",
+    "other_ids_tgt": "TargetOtherIds",
+    "*_country_match": "TargetCountryMatch",
+    "*_npi_match": "TargetNpiMatch",
+    "*_organization_name_match": "TargetOrganizationNameMatch",
+    "*_specialty_match": "TargetSpecialityMatch",
+    "source_id": "SourceID",
+    "target_id": "TargetID",
+    "*_name_match_score": "DSNameMatchScore",
+    "*_f_name_freq_src": "FirstNameFrequency",
+    "*_l_name_freq_src": "LastNameFrequency",
+    "*_first_name_match": "FirstNameMatch",
+    "*_middle_name_match": "MiddleNameMatch",
+    "*_last_name_match": "LastNameMatch",
+    "*_other_ids_match": "OtherIdsMatch",
+}
 
-    Most follow the compact title rule with the side in front; the fixed values
-    are those that the table spells otherwise.
-    """
-    titled = ["first_name", "middle_name", "last_name", "npi", "organization_name", "other_ids"]
-    flags = ["country_match", "npi_match", "organization_name_match"]
-    names = {f"{c}_tgt": "Target" + naming.compact_title(c) for c in titled}
-    names |= {f"{group}_{c}": "Target" + naming.compact_title(c) for c in flags}
-    # Names of the existing table.
-    names |= {
-        "source_id": "SourceID",
-        "target_id": "TargetID",
-        "specialty_tgt": "TargetSpeciality",
-        f"{group}_specialty_match": "TargetSpecialityMatch",
-        f"{group}_name_match_score": "DSNameMatchScore",
-        f"{group}_f_name_freq_src": "FirstNameFrequency",
-        f"{group}_l_name_freq_src": "LastNameFrequency",
-        f"{group}_first_name_match": "FirstNameMatch",
-        f"{group}_middle_name_match": "MiddleNameMatch",
-        f"{group}_last_name_match": "LastNameMatch",
-        f"{group}_other_ids_match": "OtherIdsMatch",
-    }
-    return names
+
+def no_match_columns(group: str = "fg_legacy") -> dict[str, str]:
+    return {c.replace("*", group): n for c, n in NO_MATCH_COLUMNS.items()}
 
 
 def no_match_output(rows: DataFrame, group: str = "fg_legacy") -> DataFrame:

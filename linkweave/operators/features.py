@@ -147,9 +147,13 @@ def feature_projection(joined: DataFrame, features: list[str], keep: list[str])
     return joined.select(*keep, *named)
 
 
-def backfill_pairs(feedback: DataFrame, features: DataFrame, label: str = "is_match") -> DataFrame:
-    """Labelled pairs that have no row in a feature group yet."""
+def backfill_pairs(
+    feedback: DataFrame, features: DataFrame | None, label: str = "is_match"
+) -> DataFrame:
+    """Labelled pairs that have no row in a feature group yet; None: the group has no table."""
     labelled = feedback.where(F.col(label).isNotNull()).select(*S.PAIR_KEY).distinct()
+    if features is None:
+        return labelled
     return labelled.join(features.select(*S.PAIR_KEY), S.PAIR_KEY, "left_anti")
 
 
@@ -157,5 +161,5 @@ def backfill_records(records: DataFrame, pairs: DataFrame, side: str) -> DataFra
     """Records that the pairs to be backfilled name on one side."""
     keys = pairs.select(
         F.col(f"{side}_type").alias("record_type"), F.col(f"{side}_id").alias("record_id")
-    )
+    ).distinct()
     return records.join(keys, S.RECORD_KEY, "left_semi")

@@ -3,7 +3,8 @@
 Every ranking here is ``row_number() <= k`` straight above its window, the form
 for which Spark plans a partial limit before the shuffle: each task sends at most
 k rows of a key, so a hot key stays small. All orders are total: whatever the
-caller's order leaves open is settled by the remaining columns.
+caller's order leaves open is settled by the remaining columns, or for stored tables by
+the order of the imports.
 """
 
 from __future__ import annotations
@@ -26,18 +27,39 @@ def _remaining(df: DataFrame, used: list[str]) -> list[Column]:
     ]
 
 
+#: What settles equal times of a stored table: the import that came later wins.
+IMPORT_ORDER = ("imported_at", "import_process_id")
+
+
 def first_per_key(
-    df: DataFrame, keys: list[str], newest: str | None = None
+    df: DataFrame, keys: list[str], newest: str | None = None, then: list[Column] | None = None
 ) -> DataFrame:
-    """One row per key: the newest by ``newest``, then the smallest in column order."""
+    """One row per key: the newest by ``newest``, then the first by ``then``.
+
+    Without ``then`` the remaining columns settle ties, the smallest first. That makes the
+    order total but lets no column be pruned; large stored tables give a narrow order.
+    """
     order = [F.col(newest).desc_nulls_last()] if newest else []
-    order += _remaining(df, keys + ([newest] if newest else []))
+    order += _remaining(df, keys + ([newest] if newest else [])) if then is None else then
     window = Window.partitionBy(*keys).orderBy(*(order or keys))
     return df.withColumn(_RANK, F.row_number().over(window)).where(f"{_RANK} = 1").drop(_RANK)
 
 
+def import_order(df: DataFrame) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in IMPORT_ORDER if c in df.columns]
+
+
+def latest_version(df: DataFrame, keys: list[str], newest: str) -> DataFrame:
+    """Newest row per key of a change log; of equal times, the later import's.
+
+    Only the keys and the order's own columns enter the order, so a reader of few columns
+    scans and shuffles few.
+    """
+    return first_per_key(df, keys, newest, import_order(df))
+
+
 def latest_records(records: DataFrame) -> DataFrame:
-    return first_per_key(records, S.RECORD_KEY, "tess_modified_at")
+    return latest_version(records, S.RECORD_KEY, "tess_modified_at")
 
 
 def latest_feedback(feedback: DataFrame) -> DataFrame:
@@ -50,6 +72,15 @@ def latest_features(features: DataFrame, run_id: str | None = None) -> DataFrame
     return first_per_key(rows, S.PAIR_KEY, "created_at")
 
 
+def latest_scores(scores: DataFrame) -> DataFrame:
+    """Newest score per pair: a pair may be scored in several blocks, and again.
+
+    Of equal times the best score stands.
+    """
+    better = [real_score("score").desc_nulls_last()]
+    return first_per_key(scores, S.PAIR_KEY, "created_at", better)
+
+
 def dedup_records(records: DataFrame) -> DataFrame:
     """One row per record where no version order is known."""
     return first_per_key(records, S.RECORD_KEY)
@@ -63,9 +94,13 @@ def dedup_pairs(pairs: DataFrame) -> DataFrame:
 def upsert(
     current: DataFrame, changes: DataFrame, keys: list[str], precombine: str
 ) -> DataFrame:
-    """Rows of both, latest version per key."""
-    both = current.unionByName(changes, allowMissingColumns=True)
-    return first_per_key(both, keys, precombine)
+    """Rows of both, latest version per key; of equal times the change wins."""
+    side = "_side"
+    both = current.withColumn(side, F.lit(0)).unionByName(
+        changes.withColumn(side, F.lit(1)), allowMissingColumns=True
+    )
+    order = [F.col(side).desc(), *import_order(both)]
+    return first_per_key(both, keys, precombine, order).drop(side)
 
 
 def real_score(column: str) -> Column:

@@ -178,3 +178,130 @@ def best_targets(
         "target_id",
         "score",
     )
+
+
+def agreeing(records: DataFrame, attributes: list[str]) -> DataFrame:
+    """What ranking by agreement reads of a record: key, block keys, prepared values.
+
+    Values stand in the order of ``attributes``; a missing one is NULL and agrees with none.
+    """
+    values = [
+        text.prep_text(a) if a in records.columns else F.lit(None).cast("string")
+        for a in attributes
+    ]
+    return records.select(
+        *S.RECORD_KEY, text.block_keys().alias("blocks"), F.array(*values).alias("values")
+    )
+
+
+def _agreements(n: int) -> Column:
+    """Every non-empty set of present values, as a mask and the values (others NULL)."""
+    def chosen(mask: Column) -> Column:
+        return F.transform(
+            "values", lambda v, i: F.when(F.getbit(mask, i) == 1, v)
+        )
+
+    present = F.aggregate(
+        F.transform("values", lambda v, i: F.when(v.isNotNull(), F.lit(1)).otherwise(0) * F.pow(F.lit(2), i).cast("int")),
+        F.lit(0), lambda a, b: a + b,
+    )
+    masks = F.filter(
+        F.sequence(F.lit(1), F.lit((1 << n) - 1)), lambda m: m.bitwiseAND(present) == m
+    )
+    return F.transform(masks, lambda m: F.struct(m.alias("mask"), chosen(m).alias("shared")))
+
+
+def agreement_lists(
+    linked: DataFrame, n: int, source_type: str = "gpo", target_type: str = "pm", k: int = S.TOP_K
+) -> DataFrame:
+    """(blocks, values, target_id, mask): for sources alike, k targets per set of agreements.
+
+    For each block and each set of agreeing values the k smallest target ids are kept, and
+    for no agreement (mask 0) those of the block. A target whose agreement with a source is
+    exactly a set, but that is not in the set's list, has k others before it that agree in
+    at least as much; so the lists hold the k best by any score that rises with agreement,
+    ties by id. Records alike in all values are folded, so the work is linear in the records:
+    at most 2**n sets each.
+    """
+    linked = linked.where(F.col("record_type").isin(source_type, target_type))
+    targets = linked.where(F.col("record_type") == target_type)
+    by_block = F.explode("blocks").alias("block")
+    folded = _top(
+        targets.select("record_id", "values", by_block), ["block", "values"], [F.col("record_id")], k
+    ).drop("_rank")
+    lists = _top(
+        folded.select("block", "record_id", F.explode(_agreements(n)).alias("s")).select(
+            "block", "s.mask", "s.shared", "record_id"
+        ),
+        ["block", "mask", "shared"], [F.col("record_id")], k,
+    ).select("block", "mask", "shared", F.col("record_id").alias("target_id"))
+    asked = (
+        linked.where(F.col("record_type") == source_type).select("blocks", "values").distinct()
+        .select("blocks", "values", by_block)
+    )
+    sharing = lookup_join(
+        asked.select("blocks", "values", "block", F.explode(_agreements(n)).alias("s")).select(
+            "blocks", "values", "block", "s.mask", "s.shared"
+        ),
+        lists, ["block", "mask", "shared"],
+    ).select("blocks", "values", "target_id", "mask")
+    # At most k rows for each of the 28 possible block keys.
+    first_ids = _top(targets.select("record_id", by_block), ["block"], [F.col("record_id")], k)
+    strangers = asked.join(
+        F.broadcast(first_ids.select("block", F.col("record_id").alias("target_id"))), "block"
+    ).select("blocks", "values", "target_id", F.lit(0).alias("mask"))
+    return sharing.unionByName(strangers)
+
+
+def classified_targets(
+    linked: DataFrame,
+    weights: dict[str, float],
+    intercept: float,
+    source_type: str = "gpo",
+    target_type: str = "pm",
+    k: int = S.TOP_K,
+    min_score: float = S.MIN_MATCH_SCORE,
+) -> DataFrame:
+    """Per source the k best targets by a logistic model of agreements, or else the best one.
+
+    ``linked`` has one row per record, as ``agreeing`` makes it for the weights' attributes;
+    weights are not negative. The result equals scoring every pair of every block.
+    """
+    if min(weights.values()) < 0:
+        raise ValueError("weights must not be negative")
+    odds = F.lit(intercept)
+    for i, weight in enumerate(weights.values()):
+        odds = odds + F.getbit("mask", F.lit(i)).cast("double") * F.lit(weight)
+    found = (
+        agreement_lists(linked, len(weights), source_type, target_type, k)
+        .groupBy("blocks", "values", "target_id")
+        .agg(F.max(odds).alias("odds"))
+        .withColumn("score", 1.0 / (1.0 + F.exp(-F.col("odds"))))
+    )
+    ranked = _top(
+        found, ["blocks", "values"], [F.col("odds").desc(), F.col("target_id")], k
+    ).where((F.col("score") >= min_score) | (F.col("_rank") == 1))
+    sources = linked.where(F.col("record_type") == source_type)
+    # Values may be NULL inside, but the arrays themselves are not, so they join.
+    return lookup_join(sources, ranked, ["blocks", "values"]).select(
+        F.lit(source_type).alias("source_type"),
+        F.col("record_id").alias("source_id"),
+        F.lit(target_type).alias("target_type"),
+        "target_id",
+        "score",
+    )
+
+
+def proposed_pairs(
+    linked: DataFrame, n: int, source_type: str = "gpo", target_type: str = "pm", k: int = S.TOP_K
+) -> DataFrame:
+    """Pairs for a classifier to score: k targets per source and set of agreements."""
+    lists = agreement_lists(linked, n, source_type, target_type, k)
+    pairs = lists.select("blocks", "values", "target_id").distinct()
+    sources = linked.where(F.col("record_type") == source_type)
+    return lookup_join(sources, pairs, ["blocks", "values"]).select(
+        F.lit(source_type).alias("source_type"),
+        F.col("record_id").alias("source_id"),
+        F.lit(target_type).alias("target_type"),
+        "target_id",
+    )

@@ -42,6 +42,19 @@ def random_forest(features: list[str]) -> Pipeline:
 MODELS: dict[str, Callable[[list[str]], Pipeline]] = {"random_forest": random_forest}
 
 
+# A documented model with fixed weights: log odds by agreeing attribute. The weights are
+# sums of powers of two, so equal agreements have exactly equal scores in any order.
+FIXED_INTERCEPT = -2.0
+FIXED_WEIGHTS = {
+    "first_name": 1.0,
+    "middle_name": 0.5,
+    "last_name": 1.5,
+    "country": 0.25,
+    "npi": 4.0,
+    "organization_name": 0.75,
+}
+
+
 def feature_columns(features: list[str]) -> list[str]:
     return [naming.feature_column(*naming.split_feature(name)) for name in features]
 
@@ -89,10 +102,16 @@ def pre_train_model_id(pipeline: Pipeline, features: list[str], label: str = "is
 
 
 def post_train_model_id(fitted: PipelineModel) -> str:
-    """Hash of the fitted trees and the order of their inputs."""
+    """Hash of the fitted trees and the order of their inputs.
+
+    The trees are hashed one by one, so no text of the whole forest is built.
+    """
     assembler, forest = fitted.stages
-    lines = forest.toDebugString.splitlines()[1:]  # the first line holds a random uid
-    return _digest(json.dumps([assembler.getInputCols(), lines]))
+    whole = hashlib.sha256(json.dumps(assembler.getInputCols()).encode())
+    for tree, weight in zip(forest.trees, forest.treeWeights, strict=True):
+        lines = tree.toDebugString.splitlines()[1:]  # the first line holds a random uid
+        whole.update(json.dumps([weight, lines]).encode())
+    return whole.hexdigest()
 
 
 def model_path(base: str, pre_id: str, post_id: str) -> str:

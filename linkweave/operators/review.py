@@ -16,6 +16,7 @@ from linkweave.functions import naming, text
 from linkweave.operators import latest, numbering
 from linkweave.operators.lookup import lookup_join
 
+# Fixed values in this module: names and texts of the existing review tables.
 _KEYS = ("source_type", "target_type", "source_id", "target_id")
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType)
@@ -99,14 +100,22 @@ def column_config(spark, schema: T.StructType, created_at, user: str = S.REVIEW_
     )
 
 
-def stored_column_map(config: DataFrame, batch_id: int) -> dict[str, str]:
-    """Column map of an existing batch; as many entries as the output has columns."""
-    rows = config.where(F.col("BatchId") == batch_id).select(
-        "PrimaryColumnName", "MappingColumnName"
+_FIELD = "fieldvalue"
+
+
+def stored_fields(config: DataFrame) -> DataFrame:
+    """(BatchId, fields): what each numbered field of an existing batch holds.
+
+    ``fields`` maps a field's name to the match column it was set up for. It has as many
+    entries as the batch has columns.
+    """
+    numbered = config.where(F.col("MappingColumnName").startswith(_FIELD))
+    # A column configured twice counts once.
+    once = numbered.groupBy("BatchId", "MappingColumnName").agg(
+        F.max("PrimaryColumnName").alias("PrimaryColumnName")
     )
-    return {"source_id": "sourceid", "target_id": "targetid"} | {
-        r.PrimaryColumnName: r.MappingColumnName for r in rows.toLocalIterator()
-    }
+    entry = F.struct("MappingColumnName", "PrimaryColumnName")
+    return once.groupBy("BatchId").agg(F.map_from_entries(F.collect_list(entry)).alias("fields"))
 
 
 def batch_config(
@@ -137,7 +146,7 @@ def batch_decision(sources: DataFrame, config: DataFrame, schema_json: str) -> D
 
     A batch is appended to when it exists and its stored schema equals the new one,
     whatever the order of the keys. A source outside the active ones has no name to
-    put on a batch and gets no row here; ``unknown_sources`` lists those.
+    put on a batch and gets no row here; ``rejected`` has its matches.
     """
     known = sources.select(F.col("collection_source_id_src").alias("CollectionSourceId")).distinct()
     same = text.canonical_json("ColumnSchema") == text.canonical_json(F.lit(schema_json))
@@ -161,6 +170,15 @@ def unknown_sources(sources: DataFrame, config: DataFrame) -> DataFrame:
     return known.join(config, "CollectionSourceId", "left_anti")
 
 
+def rejected(matches: DataFrame, config: DataFrame) -> DataFrame:
+    """Whole match rows that no batch takes: their collection source is not active or NULL."""
+    active = config.select(
+        F.col("CollectionSourceId").alias("collection_source_id_src"), F.lit(True).alias("_active")
+    ).distinct()
+    joined = lookup_join(matches, active, ["collection_source_id_src"], "left")
+    return joined.where("_active IS NULL").select(*matches.columns)
+
+
 def premaster_flag(source_type: Column, target_type: Column) -> Column:
     """A source that is no master record against a target that is one."""
     masters = S.MASTER_RECORD_TYPES
@@ -265,23 +283,69 @@ def detail_rows(
     names: dict[str, str],
     created_at,
     user: str = S.REVIEW_USER,
+    config: DataFrame | None = None,
 ) -> DataFrame:
-    """Detail rows of all sources: ids, field values as text, result id and user."""
-    values = [
-        (text.field_text(c) if n.startswith("fieldvalue") else F.col(c)).alias(n)
-        for c, n in names.items()
-    ]
+    """Detail rows of all sources: ids, field values as text, result id and user.
+
+    ``names`` is the column map of new batches. Rows for a batch that exists take the
+    fields that ``config``, the stored column configuration, set up for it, whatever their
+    order there; a batch without stored columns takes the new map. The values of a row are
+    a map from column to text, so one plan serves batches of any order.
+    """
+    fields = {n: c for c, n in names.items() if n.startswith(_FIELD)}
+    ids = [F.col(c).alias(n) for c, n in names.items() if n not in fields]
     results = assigned.select(
-        F.col("CollectionSourceId").alias("collection_source_id_src"), "MatchingResultId"
+        F.col("CollectionSourceId").alias("collection_source_id_src"), "MatchingResultId",
+        "BatchId", "append_mode",
+    )
+    if config is None:
+        values = {n: text.field_text(c) for n, c in fields.items()}
+    else:
+        existing = results.where(F.col("append_mode") == 1)
+        held = lookup_join(existing, stored_fields(config), ["BatchId"], "left")
+        results = results.where(F.col("append_mode") != 1).withColumn(
+            "fields", F.lit(None).cast("map<string,string>")
+        ).unionByName(held)
+        of_row = F.create_map(*[x for c in fields.values() for x in (F.lit(c), text.field_text(c))])
+        values = {
+            n: F.when(F.col("fields").isNull(), text.field_text(c)).otherwise(
+                F.try_element_at(F.col("_values"), F.try_element_at("fields", F.lit(n)))
+            )
+            for n, c in fields.items()
+        }
+        matches = matches.withColumn("_values", of_row)
+    joined = lookup_join(
+        matches, results.drop("BatchId", "append_mode"), ["collection_source_id_src"]
     )
-    return lookup_join(matches, results, ["collection_source_id_src"]).select(
-        *values,
+    return joined.select(
+        *ids, *[v.alias(n) for n, v in values.items()],
         F.lit(user).alias("CreatedBy"),
         F.lit(created_at).alias("CreatedDate"),
         "MatchingResultId",
     )
 
 
+def earlier_proposals(
+    details: DataFrame, results: DataFrame, config: DataFrame, score: str
+) -> DataFrame:
+    """source_id, target_id, score and BatchId of the detail rows that batches already hold.
+
+    The field that holds the score is the one the batch's stored columns name.
+    """
+    fields = stored_fields(config).select("BatchId", F.try_element_at(
+        F.map_keys(F.map_filter("fields", lambda _, column: column == score)), F.lit(1)
+    ).alias("_field"))
+    of_batch = results.select("MatchingResultId", "BatchId").join(fields, "BatchId")
+    numbered = [c for c in details.columns if c.startswith(_FIELD)]
+    values = F.create_map(*[x for c in numbered for x in (F.lit(c), F.col(c))])
+    return lookup_join(details, of_batch, ["MatchingResultId"]).select(
+        F.col("sourceid").alias("source_id"),
+        F.col("targetid").alias("target_id"),
+        F.try_element_at(values, F.col("_field")).try_cast("double").alias("score"),
+        "BatchId",
+    )
+
+
 def undecided(proposals: DataFrame, decisions: DataFrame) -> DataFrame:
     """Proposals on which nobody has decided yet."""
     decided = decisions.select(

@@ -6,6 +6,8 @@ the SQL here forms them.
 
 from __future__ import annotations
 
+from linkweave.operators import model
+
 NOW = "TIMESTAMP '2024-03-01 00:00:00'"
 PAIR = "source_type, source_id, target_type, target_id"
 MODEL_COLUMNS = ["name_match_score", "first_name_match", "last_name_match", "npi_match"]
@@ -130,7 +132,8 @@ VIEWS = {
                     WHEN (s.doc_id + t.doc_id) % 97 = 0 THEN NULL
                     WHEN s.doc_id % 8 = 2 THEN round(((s.doc_id * 31 + t.doc_id * 17) % 1000) / 1000.0::DOUBLE * 0.15::DOUBLE, 6)
                     ELSE ((s.doc_id * 31 + t.doc_id * 17) % 1000) / 1000.0::DOUBLE END AS score,
-               'pre_1' AS pre_train_model_id, 'post_1' AS post_train_model_id, {NOW} AS created_at
+               'pre_1' AS pre_train_model_id, 'post_1' AS post_train_model_id,
+               {NOW} - to_hours(CAST(CASE WHEN run_id = 'run_0' THEN t.doc_id ELSE s.doc_id END % 3 AS INT)) AS created_at
         FROM documents s
         JOIN documents t ON t.doc_id - s.doc_id BETWEEN 1 AND 13 AND t.doc_id % 2 = 1
         CROSS JOIN (SELECT 'run_0' AS run_id UNION ALL SELECT 'run_1') r
@@ -300,6 +303,41 @@ BODIES = {
         SELECT record_type, record_id, publication_count,
                CASE WHEN record_type = 'pm' THEN {NOW} ELSE tess_modified_at END AS tess_modified_at FROM record_version""",
     "upsert_latest_wins": "SELECT record_type, record_id, last_name, tess_modified_at FROM record",
+    "upsert_ties": """
+        SELECT record_type, record_id, CASE WHEN record_id % 3 = 0 THEN 'changed' ELSE last_name END AS last_name,
+               tess_modified_at FROM record""",
+    "mixed_import_columns": """
+        SELECT record_type, record_id, first_name, CASE WHEN record_type = 'pm' THEN npi END AS npi,
+               CASE WHEN record_type = 'gpo' THEN country END AS country, record_type || '-import' AS import_process_id
+        FROM record""",
+    "export_after_rescoring": f"SELECT {_A} FROM assembly",
+    "detail_rows_appended": f"""
+        SELECT source_id AS sourceid, target_id AS targetid,
+               CASE WHEN swapped THEN source ELSE score END AS fieldvalue1, CASE WHEN swapped THEN score ELSE source END AS fieldvalue2,
+               'EMUser' AS CreatedBy, {NOW} AS CreatedDate, MatchingResultId
+        FROM (SELECT a.source_id, a.target_id, CAST(a.ds_combined_score AS VARCHAR) AS score,
+                     CAST(a.collection_source_id_src AS VARCHAR) AS source, x.MatchingResultId,
+                     x.append_mode = 1 AND x.BatchId % 2 = 1 AS swapped
+              FROM assembly a JOIN assigned x ON x.CollectionSourceId = a.collection_source_id_src
+              WHERE a.ds_combined_score >= 0.2)""",
+    "rejected_matches": f"""
+        SELECT {_A} FROM assembly a WHERE ds_combined_score >= 0.2 AND NOT EXISTS (
+          SELECT 1 FROM config_rows c WHERE c.CollectionSourceId = a.collection_source_id_src)""",
+    "classified_targets": f"""
+        SELECT 'gpo' AS source_type, source_id, 'pm' AS target_type, target_id, round(1 / (1 + exp(-z)), 6) AS score FROM (
+          SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY z DESC, target_id) AS rn FROM (
+            SELECT p.source_id, p.target_id, {model.FIXED_INTERCEPT}::DOUBLE
+                   + {" + ".join(f"{w}::DOUBLE * {_flag(a)}" for a, w in model.FIXED_WEIGHTS.items())} AS z
+            FROM block_pairs p
+            JOIN record s ON s.record_type = 'gpo' AND s.record_id = p.source_id
+            JOIN record t ON t.record_type = 'pm' AND t.record_id = p.target_id))
+        WHERE (rn <= 5 AND 1 / (1 + exp(-z)) >= 0.2) OR rn = 1""",
+    "forest_score_keys": f"""
+        SELECT {PAIR}, 'run_1' AS run_id, true AS is_probability, true AS has_model FROM pair_features f WHERE EXISTS (
+          SELECT 1 FROM block_record s JOIN block_record t ON s.block = t.block
+          WHERE s.record_type = f.source_type AND s.record_id = f.source_id AND t.record_type = f.target_type
+            AND t.record_id = f.target_id AND s.block BETWEEN 'a' AND 'z')""",
+    "train_accuracy_bounds": "SELECT count(*) AS n, true AS beats_chance FROM sampled",
     "add_metadata": f"""
         SELECT record_type, record_id, tess_modified_at, 'run_1' AS run_id, 'process_1' AS process_id, {NOW} AS imported_at FROM record_version""",
     "cast_map": """
@@ -349,7 +387,9 @@ BODIES = {
           SELECT *, row_number() OVER (PARTITION BY record_type, record_id ORDER BY last_name NULLS LAST, tess_modified_at) AS rn
           FROM record_version) WHERE rn = 1""",
     "dedup_pairs": f"""
-        SELECT {PAIR}, run_id, score, created_at FROM match_scores WHERE run_id = 'run_0'""",
+        SELECT {PAIR}, run_id, score, created_at FROM (
+          SELECT *, row_number() OVER (PARTITION BY {PAIR} ORDER BY created_at DESC, run_id, score NULLS LAST) AS rn
+          FROM match_scores) WHERE rn = 1""",
     "all_sources": "SELECT DISTINCT record_id AS source_id FROM block_record WHERE record_type = 'gpo' AND run_id = 'run_1'",
     "latest_records": "SELECT * FROM record",
     "latest_feedback": "SELECT * FROM current_feedback",

@@ -27,7 +27,8 @@ from linkweave.operators import (
     vectors,
 )
 from linkweave.plans import fixtures as fx
-from linkweave.session import stored
+from linkweave.session import new_path, stored
+from linkweave.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -124,6 +125,32 @@ def upsert_latest_wins(spark, sf):
     )
 
 
+@query
+def upsert_ties(spark, sf):
+    """Changes of the stored time win; older changes do not."""
+    held = fx.record(spark, sf).select(*S.RECORD_KEY, "last_name", "tess_modified_at")
+    changed = held.withColumn("last_name", F.lit("changed"))
+    changes = changed.where("record_id % 3 = 0").unionByName(
+        changed.where("record_id % 3 = 1").withColumn(
+            "tess_modified_at", F.expr("tess_modified_at - INTERVAL 1 HOUR")
+        )
+    )
+    return latest.upsert(held, changes, S.RECORD_KEY, "tess_modified_at")
+
+
+@query
+def mixed_import_columns(spark, sf):
+    """Two imports with different columns in one change log; none is lost."""
+    path = new_path(spark)
+    shaped = importing.cast_columns(fx.record(spark, sf))
+    for kind, absent in (("gpo", "npi"), ("pm", "country")):
+        rows = shaped.where(F.col("record_type") == kind).drop(absent)
+        tables.append_changes(rows, path, f"{kind}-import", schema=S.RECORD)
+    return tables.read_log(spark, path, S.RECORD).select(
+        *S.RECORD_KEY, "first_name", "npi", "country", "import_process_id"
+    )
+
+
 # --- projections and filters -------------------------------------------------
 
 
@@ -362,6 +389,15 @@ def best_targets(spark, sf):
     return _rounded(fx.proposals(spark, sf), "score")
 
 
+@query
+def classified_targets(spark, sf):
+    """Best five targets by a fixed logistic model, over all pairs of a source's blocks."""
+    linked = stored(matching.agreeing(fx.record(spark, sf), list(model.FIXED_WEIGHTS)))
+    return _rounded(
+        matching.classified_targets(linked, model.FIXED_WEIGHTS, model.FIXED_INTERCEPT), "score"
+    )
+
+
 @query
 def pairs_in_blocks(spark, sf):
     return fx.run_pairs(spark, sf)
@@ -406,6 +442,17 @@ def export_assembly(spark, sf):
     return _rounded(fx.assembly(spark, sf), "fg_legacy_name_match_score")
 
 
+@query
+def export_after_rescoring(spark, sf):
+    """Scores written twice, and older ones beside them, change nothing."""
+    scores = fx.match_scores(spark, sf)
+    older = scores.withColumn("score", F.lit(1.0)).withColumn(
+        "created_at", F.expr("created_at - INTERVAL 1 DAY")
+    )
+    rows = fx.assembly(spark, sf, scores.unionByName(scores).unionByName(older))
+    return rows.select(export.SCORE, "source_id", "target_id", "collection_source_id_src")
+
+
 @query
 def undecided_pairs(spark, sf):
     proposals = fx.current_scores(spark, sf).select("source_id", "target_id", "score")
@@ -520,6 +567,30 @@ def field_values(spark, sf):
     return review.detail_rows(rows, assigned, names, CREATED)
 
 
+@query
+def detail_rows_appended(spark, sf):
+    """Details for new batches, and for existing ones in the order of their own columns."""
+    columns = [export.SCORE, "collection_source_id_src"]
+    names = {"source_id": "sourceid", "target_id": "targetid"}
+    names |= {c: f"fieldvalue{i}" for i, c in enumerate(columns, 1)}
+    batches = fx.batch(spark, sf).select("BatchId", F.explode(F.array(F.lit(1), F.lit(2))).alias("i"))
+    # Every other batch was set up with the columns the other way round.
+    at = F.when(F.col("BatchId") % 2 == 1, 3 - F.col("i")).otherwise(F.col("i"))
+    config = batches.select(
+        "BatchId",
+        F.element_at(F.array(*map(F.lit, columns)), at).alias("PrimaryColumnName"),
+        F.concat(F.lit("fieldvalue"), F.col("i").cast("string")).alias("MappingColumnName"),
+    )
+    rows = export.matches(_assembled(spark, sf))
+    return review.detail_rows(rows, _assigned(spark, sf), names, CREATED, config=config)
+
+
+@query
+def rejected_matches(spark, sf):
+    config = review.batch_config(*fx.batch_tables(spark, sf))
+    return review.rejected(export.matches(_assembled(spark, sf)), config)
+
+
 @query
 def list_codec(spark, sf):
     models = fx.pre_train_model(spark, sf)
@@ -550,8 +621,12 @@ def tfidf_terms(spark, sf):
 
 @query
 def pair_cosine(spark, sf):
-    weights = stored(vectors.tfidf(fx.documents(spark, sf), "doc_id", "text"))
     pairs = fx.feedback(spark, sf).select(*S.PAIR_KEY).distinct()
+    named = pairs.select(F.explode(F.array("source_id", "target_id")).alias("doc_id")).distinct()
+    # Rarity comes from all texts; the weights of the texts in the pairs alone are kept.
+    weights = stored(
+        vectors.tfidf(fx.documents(spark, sf), "doc_id", "text").join(named, "doc_id", "left_semi")
+    )
     return _rounded(vectors.pair_cosine(pairs, weights, "doc_id"), "cosine")
 
 
@@ -610,6 +685,25 @@ def pair_scores(spark, sf):
     )
 
 
+@query
+def train_accuracy_bounds(spark, sf):
+    """The forest learns: it is right more often than chance on the rows it was fitted on."""
+    rows = stored(_sample(spark, sf))
+    found = model.accuracy(model.fit(rows, fx.MODEL_FEATURES), rows)
+    return found.select("n", F.col("accuracy").between(0.5, 1.0).alias("beats_chance"))
+
+
+@query
+def forest_score_keys(spark, sf):
+    """Every pair of the scoring set has one probability and the model's id."""
+    scores = pair_scores(spark, sf)
+    return scores.select(
+        *S.PAIR_KEY, "run_id",
+        F.col("score").between(0.0, 1.0).alias("is_probability"),
+        F.col("post_train_model_id").isNotNull().alias("has_model"),
+    )
+
+
 # --- review batches ---------------------------------------------------------
 
 

@@ -76,7 +76,7 @@ def import_records(spark: SparkSession, run: Run, new: DataFrame, record_type: s
     shaped = importing.drop_sentinels(shaped, text_columns)
     batch = f"{run.process_id}-{record_type}"
     # Blocks come from the stored rows, so the source is read once.
-    kept = tables.append_changes(shaped, run.path("record"), batch)
+    kept = tables.append_changes(shaped, run.path("record"), batch, schema=S.RECORD)
     blocks = blocking.block_rows(latest.latest_records(kept))
     blocks = importing.with_metadata(blocks, run_id=run.run_id, created_at=run.now)
     tables.append_changes(blocks, run.path("block_record"), batch, ("run_id",))
@@ -90,16 +90,26 @@ def import_feedback(spark: SparkSession, run: Run, new: DataFrame, source_type:
     shaped = importing.with_metadata(
         importing.label_to_boolean(new, run.label), input_type=source_type, imported_at=run.now
     )
-    tables.append_changes(shaped, run.path("feedback"), f"{run.process_id}-{source_type}")
+    tables.append_changes(
+        shaped, run.path("feedback"), f"{run.process_id}-{source_type}", schema=S.FEEDBACK
+    )
     return True
 
 
 def records(spark: SparkSession, run: Run) -> DataFrame:
-    return tables.read_latest(spark, run.path("record"), S.RECORD_KEY, "tess_modified_at")
+    return tables.read_latest(
+        spark, run.path("record"), S.RECORD_KEY, "tess_modified_at", S.RECORD
+    )
 
 
 def pair_records(spark: SparkSession, run: Run) -> None:
-    """Rank the targets of the run's sources and store the pairs with their blocks."""
+    """Store the pairs that the classifier is to score, with their blocks.
+
+    For each source and each set of attributes that agree, the first targets of its
+    blocks, and the best ones by name; so whatever agreement the classifier weighs most,
+    such pairs are there. Only a pair that is no better in any agreement than five others
+    of its source, and only nearer in spelling, is not scored.
+    """
     blocks = tables.read(spark, run.path("block_record"))
     known = records(spark, run)
     of_run = export.all_sources(blocks, run.run_id, run.source_type).withColumnRenamed(
@@ -113,9 +123,18 @@ def pair_records(spark: SparkSession, run: Run) -> None:
         matching.linkable(sources).unionByName(matching.linkable(targets))
     )
     best = matching.best_targets(linked, run.source_type, run.target_type)
+    attributes = list(features.MATCH_ATTRIBUTES)
+    values = stored(
+        matching.agreeing(sources, attributes).unionByName(matching.agreeing(targets, attributes))
+    )
+    alike = matching.proposed_pairs(values, len(attributes), run.source_type, run.target_type)
     keys = linked.select(*S.RECORD_KEY, F.explode("blocks").alias("block"))
-    pairs = blocking.pairs_in_blocks(best.select(*S.PAIR_KEY), keys)
-    tables.append_run(pairs.withColumn("run_id", F.lit(run.run_id)), run.path("run_pairs"))
+    pairs = blocking.pairs_in_blocks(
+        best.select(*S.PAIR_KEY).unionByName(alike.select(*S.PAIR_KEY)).distinct(), keys
+    )
+    tables.replace_part(
+        pairs.withColumn("run_id", F.lit(run.run_id)), run.path("run_pairs"), "pairs"
+    )
 
 
 def _sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
@@ -133,24 +152,36 @@ def build_features(spark: SparkSession, run: Run, group: features.FeatureGroup)
     )
     if pairs.isEmpty():
         return False
-    _write_features(spark, run, group, pairs.select(*S.PAIR_KEY).distinct(), *_sides(spark, run))
+    pairs = pairs.select(*S.PAIR_KEY).distinct()
+    _write_features(run, group, pairs, *_sides(spark, run), f"pairs-{run.blocking_key or 'all'}")
     return True
 
 
 def backfill_features(spark: SparkSession, run: Run, group: features.FeatureGroup) -> None:
-    """Features of labelled pairs that the group has no row for."""
-    feedback = tables.read(spark, run.path("feedback"))
-    held = tables.read(spark, run.path(group.table))
+    """Features of labelled pairs that the group has no row for: all, where it has no table."""
+    feedback = tables.read_log(spark, run.path("feedback"), S.FEEDBACK)
+    part = "backfill"
+    held = None
+    if tables.exists(spark, run.path(group.table)):
+        # What this run's backfill wrote before is written anew.
+        held = tables.read(spark, run.path(group.table)).where(
+            (F.col("run_id") != run.run_id) | (F.col("part") != part)
+        )
     pairs = stored(features.backfill_pairs(feedback, held, run.label))
-    _write_features(spark, run, group, pairs, *_sides(spark, run))
+    sources, targets = _sides(spark, run)
+    _write_features(
+        run, group, pairs,
+        features.backfill_records(sources, pairs, "source"),
+        features.backfill_records(targets, pairs, "target"), part,
+    )
 
 
-def _write_features(spark, run, group, pairs, sources, targets) -> None:
+def _write_features(run, group, pairs, sources, targets, part) -> None:
     rows = group.run(
         pairs, sources, targets,
         run_id=run.run_id, process_id=run.process_id, created_at=run.now,
     )
-    tables.append_run(rows, run.path(group.table))
+    tables.replace_part(rows, run.path(group.table), part)
 
 
 def _groups(spark: SparkSession, run: Run) -> dict[str, DataFrame]:
@@ -162,7 +193,7 @@ def train(spark: SparkSession, run: Run) -> tuple[str, str]:
     """Fit the model on all labelled pairs and record it; returns both model ids."""
     names = list(run.features)
     rows = training.training_set(
-        tables.read(spark, run.path("feedback")), _groups(spark, run), names, run.label
+        tables.read_log(spark, run.path("feedback"), S.FEEDBACK), _groups(spark, run), names, run.label
     )
     if run.drop_incomplete:
         rows = training.drop_incomplete(rows)
@@ -235,7 +266,9 @@ def score(spark: SparkSession, run: Run, pre_id: str) -> bool:
         run_id=run.run_id, pre_train_model_id=pre_id, post_train_model_id=post_id,
         created_at=run.now,
     )
-    tables.append_run(scores, run.path("record_pair_match_score"))
+    # One model's scores of one block, or of all; scored again, they replace themselves.
+    part = f"{run.blocking_key or 'all'}-{post_id}"
+    tables.replace_part(scores, run.path("record_pair_match_score"), part)
     return True
 
 
@@ -263,12 +296,11 @@ def assemble(spark: SparkSession, run: Run) -> DataFrame:
     groups = {
         name: tables.read(spark, run.path(name)) for name in naming.features_by_group(names)
     }
-    known = tables.read(spark, run.path("record"))
-    missing = [c for c in S.EXPORT_ATTRIBUTES if c not in known.columns]
+    known = tables.read_log(spark, run.path("record"), S.RECORD)
     return export.export_assembly(
         tables.read(spark, run.path("block_record")),
         tables.read(spark, run.path("record_pair_match_score")),
-        known.withColumns({c: F.lit(None).cast("string") for c in missing}),
+        known,
         groups,
         names,
         run.run_id,
@@ -282,10 +314,12 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
     """Everything an export appends, one DataFrame per review table.
 
     ``review_tables`` holds the current LookupSource, em.BatchCollectionSource,
-    em.Batch, em.MatchingResult, em.Configuration, em.BatchColumnConfiguration and
-    gpov1.ApproveRejectData. Besides the tables to append, the result names sources
-    without a collection source (``missing_sources``) and collection sources that
-    are not active (``unknown_sources``); both are for the log.
+    em.Batch, em.MatchingResult, em.Configuration, em.BatchColumnConfiguration,
+    em.MatchingResultDetail and gpov1.ApproveRejectData; those two before the last may be
+    absent where nothing was exported yet. Besides the tables to append, the result has
+    the match rows that no batch takes, whole (``rejected``), and for the log sources
+    without a collection source (``missing_sources``) and collection sources that are not
+    active (``unknown_sources``).
     """
     rows = stored(assemble(spark, run))
     kept = export.drop_missing_source(rows)
@@ -316,15 +350,27 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
     output["em.BatchColumnConfiguration"] = review.column_config_rows(
         assigned, review.column_config(spark, matched.schema, run.now, run.user)
     )
+    columns = current.get("em.BatchColumnConfiguration")
     output["em.MatchingResultDetail"] = review.detail_rows(
-        matched, assigned, names, run.now, run.user
+        matched, assigned, names, run.now, run.user, columns
     )
+    output["rejected"] = review.rejected(matched, config)
     output["gpov1.DSNonMatches"] = export.no_match_output(export.no_matches(kept))
     if run.auto_approve:
         batches = assigned.select(
             F.col("CollectionSourceId").alias("collection_source_id_src"), "BatchId"
         )
-        proposals = lookup_join(matched, batches, ["collection_source_id_src"]).select("source_id", "target_id", F.col(export.SCORE).alias("score"), "BatchId")
+        proposals = lookup_join(matched, batches, ["collection_source_id_src"]).select(
+            "source_id", "target_id", F.col(export.SCORE).alias("score"), "BatchId"
+        )
+        details = current.get("em.MatchingResultDetail")
+        if details is not None and columns is not None:
+            # A batch's sources are ranked over all its rows, those of earlier exports too.
+            held = review.earlier_proposals(
+                details, current["em.MatchingResult"], columns, export.SCORE
+            )
+            touched = batches.select("BatchId").distinct()
+            proposals = proposals.unionByName(held.join(touched, "BatchId", "left_semi"))
         output["gpov1.ApproveRejectData"] = review.auto_approvals(
             proposals, current["gpov1.ApproveRejectData"], run.auto_approve_score, run.user
         )
@@ -333,7 +379,19 @@ def export_run(spark: SparkSession, run: Run, review_tables: dict[str, DataFrame
     return output
 
 
+LOGGED = ("missing_sources", "unknown_sources")
+
+
 def write_export(run: Run, output: dict[str, DataFrame]) -> None:
-    """Append every output to its table, all collection sources at once."""
+    """Write every output into its table's folder of the run; written again, it replaces itself.
+
+    What is for the log is no table. ``log_counts`` reports it.
+    """
     for name, rows in output.items():
-        tables.append(rows, run.path(f"export/{name}"))
+        if name not in LOGGED:
+            rows.write.mode("overwrite").parquet(run.path(f"export/{name}/run_id={run.run_id}"))
+
+
+def log_counts(output: dict[str, DataFrame]) -> dict[str, int]:
+    """Numbers of sources that an export leaves out, by reason."""
+    return {name: output[name].count() for name in LOGGED}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +25,25 @@ def build_session(app: str = "linkweave", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names.
+    """Folder for intermediate tables, which driver and executors share.
 
-    A local folder is used only where the session names none, as in tests.
+    The one the cluster names in spark.checkpoint.dir, else one in the warehouse, where
+    the session's tables lie. Never a folder of one machine's own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="linkweave-")
-    return _local_folders[application]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path for an intermediate table that nothing else uses."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -50,6 +53,13 @@ def stored(df: DataFrame) -> DataFrame:
     survives the loss of executors, and readers take only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables, at its end: readers need them before."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

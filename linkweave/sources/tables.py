@@ -82,30 +82,87 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
         df.write.mode("append").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, Path = _filesystem(spark, path)
+    return fs.exists(Path(path))
+
+
 def append_run(df: DataFrame, path: str) -> None:
     append(df, path, ["run_id"])
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows in a declared form: its columns, in its order and types.
+
+    A column that is not there becomes typed NULLs. A column that the form does not know,
+    or that has another type, is an error: it would be lost, or change the table's type.
+    """
+    given = {f.name: f.dataType for f in df.schema.fields}
+    declared = {f.name: f.dataType for f in schema.fields}
+    unknown = sorted(given.keys() - declared.keys())
+    if unknown:
+        raise ValueError(f"columns unknown to the table: {unknown}")
+    void = T.NullType()
+    wrong = sorted(c for c, t in given.items() if t not in (declared[c], void))
+    if wrong:
+        raise TypeError(
+            "columns of another type: " + ", ".join(
+                f"{c} is {given[c].simpleString()}, not {declared[c].simpleString()}" for c in wrong
+            )
+        )
+    return df.select([
+        (F.col(c) if c in given else F.lit(None)).cast(t).alias(c) for c, t in declared.items()
+    ])
+
+
 def append_changes(
-    df: DataFrame, path: str, batch_id: str, partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    batch_id: str,
+    partition_by: tuple[str, ...] = (),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Add one import to a change log; returns its rows as stored.
 
-    Writing the same import again replaces its folder.
+    Writing the same import again replaces its folder. With a declared schema, imports with
+    different columns lie in one log and none is lost.
     """
+    rows = df.withColumn("import_process_id", F.lit(batch_id))
+    if schema is not None:
+        rows = conform(rows, schema)
     (
-        df.withColumn("import_process_id", F.lit(batch_id))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, "import_process_id")
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path).where(F.col("import_process_id") == batch_id)
+    return read_log(df.sparkSession, path, schema).where(F.col("import_process_id") == batch_id)
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All versions of a change log, in the declared form where one is given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
+def replace_part(df: DataFrame, path: str, part: str) -> None:
+    """Write what a stage made for its runs; the same stage again replaces its own folder.
+
+    ``part`` tells apart what different calls of a stage write for one run.
+    """
+    keys = ["run_id", "part"]
+    (
+        df.withColumn("part", F.lit(part)).hint("rebalance", *keys)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(path)
+    )
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str], precombine: str) -> DataFrame:
-    """Latest version per key of a change log."""
-    return latest.first_per_key(spark.read.parquet(path), keys, precombine)
+def read_latest(
+    spark: SparkSession, path: str, keys: list[str], precombine: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Latest version per key of a change log; the later import wins a tie."""
+    return latest.latest_version(read_log(spark, path, schema), keys, precombine)
 
 
 def _filesystem(spark: SparkSession, path: str):

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from linkweave.session import build_session  # noqa: E402
+from linkweave.session import build_session, drop_stored  # noqa: E402
 
 TESTDATA = Path(os.environ.get("TESTDATA_DIR", "/root/testdata"))
 
@@ -24,4 +24,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_stored(session)
     session.stop()

@@ -59,10 +59,36 @@ def test_upsert_twice_changes_nothing(spark):
 
 
 def test_first_per_key_is_the_same_however_rows_lie(spark):
-    rows = [("pm", i % 7, T0, str(i)) for i in range(70)]
-    schema = "record_type STRING, record_id BIGINT, tess_modified_at TIMESTAMP, v STRING"
+    rows = [("pm", i % 7, T0, str(i), f"p{i:02}") for i in range(70)]
+    schema = "record_type STRING, record_id BIGINT, tess_modified_at TIMESTAMP, v STRING, import_process_id STRING"
     df = spark.createDataFrame(rows, schema)
-    results = [
-        sorted(map(tuple, latest.latest_records(df.repartition(n, "v")).collect())) for n in (1, 3, 8)
-    ]
-    assert results[0] == results[1] == results[2]
+    for found in (latest.latest_records, latest.dedup_records):
+        results = [sorted(map(tuple, found(df.repartition(n, "v")).collect())) for n in (1, 3, 8)]
+        assert results[0] == results[1] == results[2]
+    # Of equal times the later import's row stands.
+    assert {r.v for r in latest.latest_records(df).collect()} == {str(i) for i in range(63, 70)}
+
+
+def test_incoming_row_wins_at_the_same_time(spark):
+    schema = "record_type STRING, record_id BIGINT, tess_modified_at TIMESTAMP, v STRING"
+    old = spark.createDataFrame([("pm", 1, T0, "a_old")], schema)
+    new = spark.createDataFrame([("pm", 1, T0, "b_new")], schema)
+    assert [r.v for r in latest.upsert(old, new, S.RECORD_KEY, "tess_modified_at").collect()] == ["b_new"]
+    assert [r.v for r in latest.upsert(new, old, S.RECORD_KEY, "tess_modified_at").collect()] == ["a_old"]
+
+
+def test_latest_records_read_only_what_is_asked_for(spark, tmp_path):
+    schema = "record_type STRING, record_id BIGINT, tess_modified_at TIMESTAMP, imported_at TIMESTAMP, first_name STRING, city STRING"
+    spark.createDataFrame([("pm", 1, T0, T0, "a", "b")], schema).write.parquet(f"{tmp_path}/r")
+    plan = latest.latest_records(spark.read.parquet(f"{tmp_path}/r")).select("record_id", "first_name")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "city" not in text
+    assert "first_name" in text and "imported_at" in text
+
+
+def test_pair_scored_often_takes_one_place(spark):
+    schema = "source_type STRING, source_id BIGINT, target_type STRING, target_id BIGINT, score DOUBLE, created_at TIMESTAMP"
+    later = T0 + dt.timedelta(hours=1)
+    rows = [("gpo", 1, "pm", 1, 0.9, T0)] * 5 + [("gpo", 1, "pm", 1, 0.4, later), ("gpo", 1, "pm", 1, 0.6, later), ("gpo", 1, "pm", 2, 0.3, T0)]
+    found = latest.latest_scores(spark.createDataFrame(rows, schema)).collect()
+    assert {(r.target_id, r.score) for r in found} == {(1, 0.6), (2, 0.3)}

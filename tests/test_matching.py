@@ -113,3 +113,69 @@ def test_pairs_in_blocks_share_their_block(spark):
     }
     found = {(r.source_id, r.target_id, r.block) for r in blocking.pairs_in_blocks(pairs, blocks).collect()}
     assert found == expected
+
+
+WEIGHTS = {"first_name": 1.0, "last_name": 1.5, "npi": 4.0, "country": 0.25}
+
+
+def classified_brute(records, k=5, least=0.2):
+    """Every pair of every block, scored and ranked."""
+    out = []
+    sources = [r for r in records if r["record_type"] == "gpo"]
+    targets = [r for r in records if r["record_type"] == "pm"]
+    for s in sources:
+        scored = []
+        for t in targets:
+            if not blocks_of(s) & blocks_of(t):
+                continue
+            z = -2.0 + sum(w for a, w in WEIGHTS.items() if s[a] is not None and t[a] is not None and s[a].lower() == t[a].lower())
+            scored.append((-z, t["record_id"], 1 / (1 + math.exp(-z))))
+        ranked = sorted(scored)[:k]
+        out += [(s["record_id"], t, round(p, 9)) for i, (_, t, p) in enumerate(ranked) if p >= least or i == 0]
+    return sorted(out)
+
+
+def blocks_of(r):
+    names = [r["first_name"]] + ([r["last_name"]] if r["record_type"] == "gpo" else [])
+    return {n[0].lower() for n in names if n}
+
+
+def classified(spark, records):
+    df = spark.createDataFrame(
+        [(r["record_type"], r["record_id"], r["first_name"], None, r["last_name"], r["npi"], r["country"]) for r in records],
+        "record_type STRING, record_id BIGINT, first_name STRING, middle_name STRING, last_name STRING, npi STRING, country STRING",
+    )
+    linked = matching.agreeing(df, list(WEIGHTS))
+    found = matching.classified_targets(linked, WEIGHTS, -2.0).collect()
+    return sorted((r.source_id, r.target_id, round(r.score, 9)) for r in found)
+
+
+def person(kind, number, first, last, npi=None, country="us"):
+    return {"record_type": kind, "record_id": number, "first_name": first, "last_name": last, "npi": npi, "country": country}
+
+
+def test_classified_targets_equal_scoring_every_pair(spark):
+    rng = random.Random(4)
+    records = [
+        person(
+            rng.choice(["gpo", "pm"]), i, rng.choice(["Anna", "anna", "Bob", "Bea", None]), rng.choice(["Abel", "Bond", None]),
+            rng.choice([None, "1", "2", "3"]), rng.choice(["us", "fr", None]),
+        )
+        for i in range(200)
+    ]
+    assert classified(spark, records) == classified_brute(records)
+
+
+def test_equal_npi_outranks_many_equal_names(spark):
+    """Hot block and hot name: the one target with the same npi still comes first."""
+    records = [person("pm", i, "Jack", "Other", f"n{i}") for i in range(300)]
+    records += [person("pm", 900, "Jim", "Smith", "x1"), person("gpo", 1, "Jack", "Other", "x1")]
+    found = classified(spark, records)
+    assert found == classified_brute(records)
+    assert max(found, key=lambda r: r[2])[1] == 900
+
+
+def test_weights_must_not_be_negative(spark):
+    linked = matching.agreeing(spark.createDataFrame([("pm", 1, "a")], "record_type STRING, record_id BIGINT, first_name STRING").selectExpr("*", "first_name AS middle_name", "first_name AS last_name"), ["first_name"])
+    with pytest.raises(ValueError):
+        matching.classified_targets(linked, {"first_name": -1.0}, 0.0)

@@ -49,8 +49,34 @@ def test_column_config(spark):
 
 def test_stored_column_map_equals_the_one_it_was_made_from(spark):
     config = review.column_config(spark, FIELDS, NOW).selectExpr("*", "7 AS BatchId")
-    stored = review.stored_column_map(config, 7)
-    assert {k: v for k, v in stored.items() if k not in ("sourceid", "targetid")} == review.column_map(FIELDS)
+    stored = review.stored_fields(config).first()
+    made = {v: k for k, v in review.column_map(FIELDS).items() if v.startswith("fieldvalue")}
+    assert stored.BatchId == 7 and stored.fields == made
+
+
+def test_existing_batch_keeps_its_own_fields(spark):
+    """A new export with its columns in another order writes into the batch's fields."""
+    matches = spark.createDataFrame([(1, 2, 0.5, "x", 11), (3, 4, 0.25, "y", 12), (5, 6, 0.75, "z", 99)], "source_id BIGINT, target_id BIGINT, a DOUBLE, b STRING, collection_source_id_src INT")
+    assigned = spark.createDataFrame([(11, 1, 7, 70), (12, 0, 8, 80), (13, 1, 9, 90)], "CollectionSourceId INT, append_mode INT, BatchId BIGINT, MatchingResultId BIGINT")
+    config = spark.createDataFrame([(7, "b", "fieldvalue1"), (7, "a", "fieldvalue2"), (7, "sourceid", "sourceid")], "BatchId BIGINT, PrimaryColumnName STRING, MappingColumnName STRING")
+    names = {"source_id": "sourceid", "target_id": "targetid", "a": "fieldvalue1", "b": "fieldvalue2"}
+    rows = review.detail_rows(matches, assigned, names, NOW, config=config).collect()
+    assert {(r.sourceid, r.fieldvalue1, r.fieldvalue2, r.MatchingResultId) for r in rows} == {(1, "x", "0.5", 70), (3, "0.25", "y", 80)}
+
+
+def test_rows_of_unknown_sources_are_kept_whole(spark):
+    matches = spark.createDataFrame([(1, 11), (2, 12), (3, None)], "source_id BIGINT, collection_source_id_src INT")
+    config = spark.createDataFrame([(11, "one")], "CollectionSourceId INT, collectionSourceName STRING")
+    assert sorted(r.source_id for r in review.rejected(matches, config).collect()) == [2, 3]
+    assert review.rejected(matches, config).columns == matches.columns
+
+
+def test_earlier_details_are_ranked_with_new_proposals(spark):
+    details = spark.createDataFrame([(1, 2, "0.99", "q", 70), (1, 3, "r", "0.5", 80), (2, 3, "no number", "s", 70)], "sourceid BIGINT, targetid BIGINT, fieldvalue1 STRING, fieldvalue2 STRING, MatchingResultId BIGINT")
+    results = spark.createDataFrame([(70, 7), (80, 8)], "MatchingResultId BIGINT, BatchId BIGINT")
+    config = spark.createDataFrame([(7, "score", "fieldvalue1"), (8, "score", "fieldvalue2")], "BatchId BIGINT, PrimaryColumnName STRING, MappingColumnName STRING")
+    held = review.earlier_proposals(details, results, config, "score")
+    assert {tuple(r) for r in held.collect()} == {(1, 2, 0.99, 7), (1, 3, 0.5, 8), (2, 3, None, 7)}
 
 
 def config_tables(spark):

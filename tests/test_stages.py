@@ -113,7 +113,12 @@ def test_export(spark, finished):
     assert schema["schema"]["source"]
     no_match = written("gpov1.DSNonMatches")
     assert "TargetSpeciality" in no_match.columns
-    assert {r.source_id for r in written("missing_sources").collect()} <= {3}
+    assert {r.source_id for r in output["missing_sources"].collect()} <= {3}
+    assert stages.log_counts(output)["missing_sources"] <= 1
+    # Written again, nothing is doubled.
+    counts = {name: written(name).count() for name in output if name not in stages.LOGGED}
+    stages.write_export(run, stages.export_run(spark, run, review_tables(spark)))
+    assert counts == {name: written(name).count() for name in counts}
     approved = written("gpov1.ApproveRejectData")
     assert approved.count() == approved.select("BatchID", "SourceID").distinct().count()
     columns = written("em.BatchColumnConfiguration")

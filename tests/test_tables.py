@@ -102,3 +102,30 @@ def test_json_lines(spark, tmp_path):
     lines = [json.loads(l) for p in Path(path).glob("*.json") for l in p.read_text().splitlines()]
     assert sorted(l["record_id"] for l in lines) == [1, 2]
     assert lines[0]["tess_modified_at"] == "2024-01-01T00:00:00.000000"
+
+
+def test_imports_with_different_columns_lose_none(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    one = spark.sql("SELECT 'gpo' AS record_type, 1L AS record_id, 'a' AS first_name")
+    two = spark.sql("SELECT 'pm' AS record_type, 2L AS record_id, 'o-1' AS orcid, 'p' AS npi")
+    tables.append_changes(one, path, "p1", schema=S.RECORD)
+    kept = tables.append_changes(two, path, "p2", schema=S.RECORD)
+    assert kept.count() == 1
+    rows = {r.record_id: r for r in tables.read_log(spark, path, S.RECORD).collect()}
+    assert rows[2].orcid == "o-1" and rows[1].orcid is None and rows[1].first_name == "a"
+
+
+def test_conform_refuses_unknown_columns_and_other_types(spark):
+    with pytest.raises(ValueError, match="colour"):
+        tables.conform(spark.sql("SELECT 'x' AS colour"), S.RECORD)
+    with pytest.raises(TypeError, match="record_id"):
+        tables.conform(spark.sql("SELECT 'x' AS record_id"), S.RECORD)
+    assert tables.conform(spark.sql("SELECT NULL AS city"), S.RECORD).schema["city"].dataType.simpleString() == "string"
+
+
+def test_a_stage_replaces_its_own_part_only(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for run, part, n in (("r1", "a", 3), ("r1", "b", 2), ("r2", "a", 1), ("r1", "a", 4)):
+        tables.replace_part(spark.range(n).selectExpr("id", f"'{run}' AS run_id"), path, part)
+    found = {(r.run_id, r.part): r["count"] for r in spark.read.parquet(path).groupBy("run_id", "part").count().collect()}
+    assert found == {("r1", "a"): 4, ("r1", "b"): 2, ("r2", "a"): 1}
