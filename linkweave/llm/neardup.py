@@ -13,9 +13,14 @@ one changed word changes five of them, and edited copies of one text, all alike,
 meet again and again in buckets without a link. Classes are the connected parts.
 
 A bucket of equal sketches is not written out in pairs. First each text is checked against
-the bucket's smallest; then only texts of one bucket that are still in different classes
+the bucket's hub, the text that meets most others over all its buckets: of edited copies the
+one they were made from. Then only texts of one bucket that are still in different classes
 are checked against each other. Links inside a class would not change it, so classes are
-those of all links between candidates. Texts with equal words are one text throughout.
+those of all links between candidates. Two texts at known distances from their hub need no
+check if these differ too much: the distance n + m - 2c obeys the triangle inequality, and
+similar texts have one of (n + m) / 9 at most. Nor need two texts whose words, counted in
+``BINS`` bins, have too few in common whatever their order, as texts have that share no more
+than a passage. Both rules are exact. Texts with equal words are one text throughout.
 
 Rows with null text or null id are in no class (class_id null). Texts without words are
 copies of each other only if equal. Repeated rows fall into one class. An empty table gives
@@ -44,6 +49,8 @@ SIMILARITY = 0.8
 #: Sketch values that are in memory at once, so that long texts need no more.
 AT_ONCE = 1 << 16
 KEPT_WORDS = 500_000
+#: Bins in which a text's words are counted; a power of two.
+BINS = 256
 
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -160,44 +167,63 @@ def common_length(a: list[int], b: list[int], need: int) -> int:
     return begin + end + len(a) - row.bit_count()
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether the aligned words of two texts have the similarity."""
-    n, m = len(a), len(b)
+def needed(n: int, m: int, least: float = SIMILARITY) -> int:
+    """Words that texts of n and m words must have in common to be similar."""
     # c / (n + m - c) >= s; the small term keeps exact fractions in.
-    need = int(np.ceil(least * (n + m) / (1 + least) - 1e-9))
-    if min(n, m) < need:
-        return False
+    return int(np.ceil(least * (n + m) / (1 + least) - 1e-9))
+
+
+def common_words(a: np.ndarray, b: np.ndarray) -> int:
+    """Words in common whatever their order: never fewer than the common subsequence has."""
     va, ca = np.unique(a, return_counts=True)
     vb, cb = np.unique(b, return_counts=True)
     _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
-    if np.minimum(ca[ia], cb[ib]).sum() < need:
+    return int(np.minimum(ca[ia], cb[ib]).sum())
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether the aligned words of two texts have the similarity."""
+    need = needed(len(a), len(b), least)
+    if min(len(a), len(b)) < need or common_words(a, b) < need:
         return False
     return common_length(a.tolist(), b.tolist(), need) >= need
 
 
+def distance(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[int, int]:
+    """Bounds of n + m - 2c; equal, and exact, unless the words alone rule similarity out."""
+    n, m = len(a), len(b)
+    most = common_words(a, b)
+    if most < needed(n, m, least):
+        return n + m - 2 * most, n + m
+    exact = n + m - 2 * common_length(a.tolist(), b.tolist(), 0)
+    return exact, exact
+
+
 def _sketched(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums = batch.column("text_md5").to_pylist()
             at = 0
             for doc_ids, texts in chunks([batch], chars=1 << 22):
-                names, sizes, buckets = [], [], []
+                names, sizes, buckets, bins = [], [], [], []
                 for text in texts:
                     known, name = words_of(text)
                     names.append(name)
                     sizes.append(len(known))
                     buckets.append(sketches(shingles(known)))
+                    bins.append(np.bincount(known & np.uint64(BINS - 1), minlength=BINS).tolist())
                 yield pa.record_batch(
                     [
                         pa.array(doc_ids, pa.int64()), pa.array(sums[at:at + len(texts)], pa.string()), pa.array(names),
                         pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
+                        pa.array(bins, pa.list_(pa.int32())),
                     ],
-                    names=["doc_id", "text_md5", "name", "size", "buckets"],
+                    names=["doc_id", "text_md5", "name", "size", "buckets", "bins"],
                 )
                 at += len(texts)
 
     return documents.mapInArrow(
-        run, "doc_id long, text_md5 string, name string, size long, buckets array<long>"
+        run, "doc_id long, text_md5 string, name string, size long, buckets array<long>, bins array<int>"
     )
 
 
@@ -220,6 +246,38 @@ def _sequences(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "uid long, sequence binary").dropDuplicates(["uid"])
 
 
+def _with_sequences(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
+    left = sequences.select(F.col("uid").alias("a"), F.col("sequence").alias("left"))
+    right = sequences.select(F.col("uid").alias("b"), F.col("sequence").alias("right"))
+    return lookup_join(lookup_join(pairs, left, ["a"]), right, ["b"]).select("a", "b", "left", "right")
+
+
+def _distances(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(a, b, low, up, linked) of every pair: bounds of its distance, and whether it is similar."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                low, up, linked = [], [], []
+                for x, y in zip(part.column("left").to_pylist(), part.column("right").to_pylist(), strict=True):
+                    a, b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                    bounds = distance(a, b)
+                    low.append(bounds[0])
+                    up.append(bounds[1])
+                    linked.append(len(a) + len(b) - bounds[1] >= 2 * needed(len(a), len(b)))
+                yield pa.record_batch(
+                    [
+                        part.column("a"), part.column("b"), pa.array(low, pa.int64()),
+                        pa.array(up, pa.int64()), pa.array(linked, pa.bool_()),
+                    ],
+                    names=["a", "b", "low", "up", "linked"],
+                )
+
+    return _with_sequences(pairs, sequences).mapInArrow(
+        run, "a long, b long, low long, up long, linked boolean"
+    )
+
+
 def _links(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,11 +290,7 @@ def _links(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
                 ]
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    left = sequences.select(F.col("uid").alias("a"), F.col("sequence").alias("left"))
-    right = sequences.select(F.col("uid").alias("b"), F.col("sequence").alias("right"))
-    return lookup_join(lookup_join(pairs, left, ["a"]), right, ["b"]).select(
-        "a", "b", "left", "right"
-    ).mapInArrow(run, "a long, b long")
+    return _with_sequences(pairs, sequences).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -277,20 +331,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     usable = F.col("doc_id").isNotNull() & F.col("text_md5").isNotNull()
     texts = stored(
         rows.where(usable).groupBy("name")
-        .agg(F.min(F.struct("uid", "doc_id", "size", "buckets")).alias("t"), F.min(F.struct("doc_id", "text_md5")).alias("least"))
+        .agg(F.min(F.struct("uid", "doc_id", "size", "buckets", "bins")).alias("t"), F.min(F.struct("doc_id", "text_md5")).alias("least"))
         .select("name", "t.*", "least")
     )
     members = texts.select("uid", "size", F.explode("buckets").alias("bucket"))
     close = (F.least("size", "hub_size") >= SIMILARITY * F.greatest("size", "hub_size"))
 
-    shared = members.groupBy("bucket").agg(
-        F.min(F.struct("uid", "size")).alias("hub"), F.count("*").alias("n")
-    ).where(F.col("n") > 1)
-    members = stored(
-        lookup_join(members, shared, ["bucket"]).select(
-            "uid", "size", "bucket", F.col("hub.uid").alias("hub"), F.col("hub.size").alias("hub_size")
-        )
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    members = stored(lookup_join(members, shared, ["bucket"]))
+    meetings = members.groupBy("uid").agg(F.sum("n").alias("meetings"))
+    hubs = (
+        lookup_join(members, meetings, ["uid"])
+        .groupBy("bucket")
+        .agg(F.max(F.struct("meetings", -F.col("uid"), "size")).alias("hub"))
+        .select("bucket", (-F.col("hub.col2")).alias("hub"), F.col("hub.size").alias("hub_size"))
     )
+    members = stored(lookup_join(members.drop("n"), hubs, ["bucket"]))
     wanted = members.select("uid").distinct().join(texts.select("uid", "doc_id", "name"), "uid")
     sequences = stored(_sequences(lookup_join(pick(documents, "doc_id", "text"), wanted, ["doc_id"])))
 
@@ -298,24 +354,40 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         members.where((F.col("uid") != F.col("hub")) & close)
         .select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
     )
-    links = stored(_links(stars, sequences))
-    parts = components(links)
+    measured = stored(_distances(stars, sequences))
+    parts = components(measured.where("linked").select("a", "b"))
 
     # What the stars left apart: pairs of a bucket that lie in different classes.
-    placed = stored(_with_parts(members.select("uid", "size", "bucket"), parts))
+    from_hub = measured.select(F.col("a").alias("hub"), F.col("b").alias("uid"), "low", "up")
+    is_hub = F.col("uid") == F.col("hub")
+    placed = stored(
+        lookup_join(_with_parts(members, parts), from_hub, ["uid", "hub"], "left").select(
+            "uid", "size", "bucket", "part",
+            # A hub is at 0; a text too long or too short for it has its distance bounded by that.
+            F.coalesce("low", F.when(is_hub, 0).otherwise(F.abs(F.col("size") - F.col("hub_size")))).alias("low"),
+            F.coalesce("up", F.when(is_hub, 0).otherwise(F.col("size") + F.col("hub_size"))).alias("up"),
+        )
+    )
     mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
-    open_members = placed.join(mixed.select("bucket"), "bucket", "left_semi")
+    open_members = lookup_join(
+        placed.join(mixed.select("bucket"), "bucket", "left_semi"), texts.select("uid", "bins"), ["uid"]
+    )
     other = open_members.select(
-        F.col("uid").alias("b"), F.col("size").alias("hub_size"), F.col("part").alias("to"), "bucket"
+        F.col("uid").alias("b"), F.col("size").alias("hub_size"), F.col("part").alias("to"), "bucket",
+        F.col("low").alias("b_low"), F.col("up").alias("b_up"), F.col("bins").alias("b_bins"),
     )
+    apart = F.greatest(F.col("low") - F.col("b_up"), F.col("b_low") - F.col("up"))
+    within = apart * (1 + SIMILARITY) <= (F.col("size") + F.col("hub_size")) * (1 - SIMILARITY) + 1e-6
+    shared = F.aggregate(F.zip_with("bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    enough = shared * (1 + SIMILARITY) >= (F.col("size") + F.col("hub_size")) * SIMILARITY - 1e-6
     pairs = (
         open_members.withColumnRenamed("uid", "a").join(other, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("part") != F.col("to")) & close)
-        .select("a", "b", "part", "to").distinct()
+        .where((F.col("a") < F.col("b")) & (F.col("part") != F.col("to")) & close & within & enough)
+        .select("a", "b").distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     more = stored(lookup_join(
-        _links(stored(pairs.select("a", "b")), sequences), parts.withColumnRenamed("node", "a").withColumnRenamed("part", "pa"), ["a"], "left"
+        _links(stored(pairs), sequences), parts.withColumnRenamed("node", "a").withColumnRenamed("part", "pa"), ["a"], "left"
     ))
     more = lookup_join(more, parts.withColumnRenamed("node", "b").withColumnRenamed("part", "pb"), ["b"], "left")
     bridges = more.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))

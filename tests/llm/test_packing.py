@@ -68,8 +68,8 @@ def test_islands(spark, library, monkeypatch):
 
 
 def test_best_fit_leaves_least_room():
-    bins = P.best_fit([[5], [7], [3, 4]], [3, 2, 9, 1], 10)
-    assert bins == [[5, 2], [7, 3], [3, 4], [9, 1]]
+    bins = P.best_fit([[5], [7], [2, 4]], [3, 2, 9, 1], 10)
+    assert bins == [[5], [7, 3], [2, 4, 2], [9, 1]]
 
 
 def test_crossover_keeps_all_pieces():
