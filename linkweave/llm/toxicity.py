@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from linkweave.llm.common import chunks, pick, stored
 from linkweave.llm.quality import labelled_sample
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 TERMS = 4096
 LEANS = 5.0
 #: Words that lean to the mark from which on a marked row has the next grade.
@@ -177,30 +177,24 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
     )
     if not leaning:
         return Ordinal()
-    words = {w: i for i, w in enumerate(dict.fromkeys([LENGTH, *[r.word for r in leaning]]))}
-    known = counts.where(F.col("word").isin(list(words)))
-    rows = known.groupBy("doc_id").agg(
-        F.first("label").alias("label"), F.collect_list(F.struct("word", "n")).alias("words")
+    terms = list(dict.fromkeys([LENGTH, *[r.word for r in leaning]]))
+    index = documents.sparkSession.createDataFrame(
+        [(t, i) for i, t in enumerate(terms)], "word string, i int"
     )
-    # Documents without a word of the model: one grade each, counted.
-    entries = rows.select("label", "words").collect()
-    toward = {r.word for r in leaning if r.z > 0}
-
-    def leaning_words(found: list) -> int:
-        """A word has one term of each length at most, so the most of one length is counted."""
-        by_length: Counter = Counter()
-        for w in found:
-            if w.word in toward:
-                by_length[len(w.word) if w.word.endswith("*") else 0] += w.n
-        return max(by_length.values(), default=0)
-
-    grades = [1 + sum(leaning_words(r.words) >= k for k in NEXT_GRADE) if r.label else 0 for r in entries]
-    with_words = Counter(r.label for r in entries)
-    grades += [0] * (others - with_words[0]) + [1] * (marked - with_words[1])
-    triples = [(i, words[w.word], np.log1p(w.n)) for i, r in enumerate(entries) for w in r.words]
-    at, columns, values = (np.array(c) for c in zip(*triples, strict=True))
-    thresholds, weights = fit(at, columns, values, np.array(grades), len(words))
-    return Ordinal(thresholds, {w: float(weights[i]) for w, i in words.items()})
+    # At most ``TERMS`` terms; and of the sample's documents numbers only.
+    found = counts.join(F.broadcast(index), "word").select("doc_id", "label", "i", "n").toArrow()
+    columns, n = (np.asarray(found.column(c)) for c in ("i", "n"))
+    ids, rows = np.unique(np.asarray(found.column("doc_id")), return_inverse=True)
+    marks = np.zeros(len(ids), bool)
+    marks[rows] = np.asarray(found.column("label")) == 1
+    # A word has one term of each length at most, so the most of one length is counted.
+    length = np.array([len(t) if t.endswith("*") else 0 for t in terms])
+    toward = np.isin(terms, [r.word for r in leaning if r.z > 0])[columns]
+    by_length = np.zeros((len(ids), length.max() + 1))
+    np.add.at(by_length, (rows[toward], length[columns[toward]]), n[toward])
+    grades = np.where(marks, 1 + (by_length.max(1)[:, None] >= NEXT_GRADE).sum(1), 0)
+    thresholds, weights = fit(rows, columns, np.log1p(n), grades, len(terms))
+    return Ordinal(thresholds, dict(zip(terms, weights.tolist(), strict=True)))
 
 
 def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> DataFrame:
