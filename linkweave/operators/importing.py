@@ -41,15 +41,17 @@ def feedback_range_end(mark: Column) -> Column:
 
 
 def import_range(
-    stored: DataFrame, record_type: str, initial: dt.datetime | None = None
+    stored: DataFrame, record_type: str, initial: dt.datetime | None = None, passed=None
 ) -> tuple:
     """Start and end of the next import of a type, as two driver-side values.
 
     ``initial`` is the start for a dated type with nothing stored yet; without it
-    such a type is an error.
+    such a type is an error. ``passed`` is the end of ranges already looked through:
+    one without rows leaves no other trace.
     """
     key = S.IMPORT_KEYS[record_type]
     mark = stored.where(F.col("record_type") == record_type).agg(F.max(key)).first()[0]
+    mark = max((m for m in (mark, passed) if m is not None), default=None)
     if key == "record_id":
         start = 1 if mark is None else int(mark)
         return start, start + S.IMPORT_ID_SPAN

@@ -7,6 +7,7 @@ is bounded: import marks, model ids, column names and the fitted model.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,47 @@ def import_records(spark: SparkSession, run: Run, new: DataFrame, record_type: s
     return True
 
 
+MARKS = "record_type STRING, passed_id BIGINT, passed_at TIMESTAMP"
+
+
+def run_import(
+    spark: SparkSession,
+    run: Run,
+    record_type: str,
+    source: Callable[[object, object], DataFrame],
+    initial: dt.datetime | None = None,
+) -> dict[str, int]:
+    """Import the next range of a type: mark, range, bounded read, records and blocks.
+
+    ``source`` gives the rows between two bounds, such as ``tables.read_database_range``
+    or a filter on a folder. Returns the numbers of records and blocks stored, 0 where the
+    range is empty; also an empty range moves the mark, but never beyond the time of the run.
+    """
+    key = S.IMPORT_KEYS[record_type]
+    column = "passed_id" if key == "record_id" else "passed_at"
+    try:
+        marks = tables.read_current(spark, run.path("import_mark"))
+    except FileNotFoundError:
+        marks = spark.createDataFrame([], MARKS)
+    passed = marks.where(F.col("record_type") == record_type).agg(F.max(column)).first()[0]
+    held = spark.createDataFrame([], S.RECORD)
+    if tables.exists(spark, run.path("record")):
+        held = tables.read_log(spark, run.path("record"), S.RECORD)
+    start, end = importing.import_range(held, record_type, initial, passed)
+    rows = source(start, end)
+    counts = {"records": 0, "blocks": 0}
+    if import_records(spark, run, rows.where(importing.between(rows, key, start, end)), record_type):
+        of_import = F.col("import_process_id") == f"{run.process_id}-{record_type}"
+        for name, table in (("records", "record"), ("blocks", "block_record")):
+            counts[name] = tables.read(spark, run.path(table)).where(of_import).count()
+    elif key != "record_id":
+        # Rows with larger ids may come later, but no rows of a time that is over.
+        mark = (record_type, None, min(end, run.now))
+        others = marks.where(F.col("record_type") != record_type)
+        tables.replace(others.unionByName(spark.createDataFrame([mark], MARKS)), run.path("import_mark"))
+    return counts
+
+
 def import_feedback(spark: SparkSession, run: Run, new: DataFrame, source_type: str) -> bool:
     """Store new feedback. Feedback on master records is not taken in."""
     if source_type in S.MASTER_RECORD_TYPES or new.isEmpty():

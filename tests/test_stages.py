@@ -143,3 +143,43 @@ def test_run_without_model_is_an_error(spark, finished):
     run, pre_id, _ = finished
     with pytest.raises(LookupError):
         stages.score(spark, run, "unknown")
+
+
+def test_import_stage_moves_on_over_empty_ranges(spark, tmp_path):
+    run = stages.Run(str(tmp_path), "r1", "p1", now=NOW)
+    early = NOW - dt.timedelta(days=60)
+    times = [early + dt.timedelta(days=d) for d in (1, 40, 41)]
+    rows = spark.createDataFrame(
+        [("gpo", i, "Anna", "Lee", t) for i, t in enumerate(times)],
+        "record_type STRING, record_id BIGINT, first_name STRING, last_name STRING, tess_modified_at TIMESTAMP",
+    )
+    asked = []
+
+    def source(start, end):
+        asked.append((start, end))
+        return rows
+
+    with pytest.raises(ValueError):
+        stages.run_import(spark, run, "gpo", source)
+    counts = []
+    for i in range(5):
+        step = stages.Run(run.base, "r1", f"p{i}", now=NOW)
+        counts.append(stages.run_import(spark, step, "gpo", source, early)["records"])
+    assert counts[:3] == [1, 0, 0] and sum(counts) == 3
+    assert all(a[0] < b[0] for a, b in zip(asked, asked[1:]))
+    assert {r.record_id for r in stages.records(spark, run).collect()} == {0, 1, 2}
+    for i in range(5, 8):
+        stages.run_import(spark, stages.Run(run.base, "r1", f"p{i}", now=NOW), "gpo", source, early)
+    assert max(start for start, _ in asked) <= NOW
+
+
+def test_backfill_without_a_group_table(spark, tmp_path):
+    run = stages.Run(str(tmp_path), "r1", "p1", now=NOW)
+    for kind, seed in (("gpo", 1), ("pm", 2)):
+        stages.import_records(spark, run, spark.createDataFrame(people(10, seed), COLUMNS), kind)
+    label = spark.createDataFrame([("gpo", 1, "pm", 2, "true")], "source_type STRING, source_id BIGINT, target_type STRING, target_id BIGINT, is_match STRING").withColumn("tess_modified_at", F.lit(NOW))
+    stages.import_feedback(spark, run, label, "gpo")
+    group = features.FgLegacy()
+    for _ in range(2):
+        stages.backfill_features(spark, run, group)
+    assert tables.read(spark, run.path(group.table)).count() == 1
