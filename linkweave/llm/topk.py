@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -120,7 +121,7 @@ def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
 def best_in_block(table: pa.Table, k: int) -> pa.Table:
     """The k best of every query of one block against one block of vectors."""
     is_query = np.asarray(table.column("is_query"))
-    dims = int(np.asarray(pa.compute.list_value_length(table.column("v"))).max(initial=0))
+    dims = int(np.asarray(pc.list_value_length(table.column("v"))).max(initial=0))
     every = _matrix(table.column("v"), dims)
     uids, ids = np.asarray(table.column("uid")), np.asarray(table.column("vec_id"))
     vectors, queries = every[~is_query], every[is_query]
