@@ -1,16 +1,15 @@
-"""Near duplicates by Order MinHash, verified by banded alignment.
+"""Near duplicates by Order MinHash, verified by counting shingles.
 
 A text is the sequence of its lower-case words; a shingle is five words in a row (a text
-with fewer words is one shingle). Each sketch takes the ``KEPT`` smallest of a text's
-shingles, labelled with their occurrence, under its own hash, and keeps their order in the
-text. Equal sketches make two texts candidates, which favours texts that share shingles in
-the same order, as edited copies do.
+with fewer words is one shingle), labelled with its occurrence. Each sketch takes the
+``KEPT`` smallest of a text's shingles under its own hash. Equal sketches make two texts
+candidates, whatever the order of the sketch's shingles, so a moved passage hides none.
 
-The similarity of two texts is that of their aligned words: with c the longest common
-subsequence of n and m words, c / (n + m - c). At ``SIMILARITY`` or more they are linked;
-alignment then never leaves a band around the diagonal. Shingles alone would not do here:
-one changed word changes five of them, and edited copies of one text, all alike, would
-meet again and again in buckets without a link. Classes are the connected parts.
+The similarity of two texts is that of their labelled shingles: with c in common of n and
+m, c / (n + m - c). At ``SIMILARITY`` or more they are linked. An alignment of the two
+sequences of shingles (``similar``) never has more in common than the count, so the count
+decides for texts in order and for those with moved passages alike. Classes are the
+connected parts.
 
 A bucket of equal sketches is not written out in pairs. First each text is checked against
 the bucket's hub, the text that meets most others over all its buckets: of edited copies the
@@ -18,9 +17,9 @@ one they were made from. Then only texts of one bucket that are still in differe
 are checked against each other. Links inside a class would not change it, so classes are
 those of all links between candidates. Two texts at known distances from their hub need no
 check if these differ too much: the distance n + m - 2c obeys the triangle inequality, and
-similar texts have one of (n + m) / 9 at most. Nor need two texts whose words, counted in
-``BINS`` bins, have too few in common whatever their order, as texts have that share no more
-than a passage. Both rules are exact. Texts with equal words are one text throughout.
+similar texts have one of (n + m) / 9 at most. Nor need two texts whose shingles, counted in
+``BINS`` bins, have too few in common. Both rules are exact. Texts with equal words are one
+text throughout.
 
 Rows with null text or null id are in no class (class_id null). Texts without words are
 copies of each other only if equal. Repeated rows fall into one class. An empty table gives
@@ -49,7 +48,7 @@ SIMILARITY = 0.8
 #: Sketch values that are in memory at once, so that long texts need no more.
 AT_ONCE = 1 << 16
 KEPT_WORDS = 500_000
-#: Bins in which a text's words are counted; a power of two.
+#: Bins in which a text's shingles are counted; a power of two.
 BINS = 256
 
 WORD = re.compile(r"\w+")
@@ -101,30 +100,39 @@ def shingles(known: np.ndarray) -> np.ndarray:
     return _mixed(out + np.uint64(size))
 
 
-def sketches(found: np.ndarray, count: int = SKETCHES, kept: int = KEPT) -> list[int]:
-    """One bucket per sketch: the hash of its shingles in text order."""
+def labelled(found: np.ndarray) -> np.ndarray:
+    """The shingles, in order, with the k-th occurrence of one as a shingle of its own."""
+    n = len(found)
+    values, inverse = np.unique(found, return_inverse=True)
+    if len(values) == n:
+        return found
+    order = np.argsort(inverse, kind="stable")
+    counts = np.bincount(inverse)
+    begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    nth = np.empty(n, np.uint64)
+    nth[order] = np.arange(n) - np.repeat(begins, counts)
+    return found + nth * BASE
+
+
+def sketches(found: np.ndarray, count: int = SKETCHES, kept: int = KEPT, ordered: bool = True) -> list[int]:
+    """One bucket per sketch: the hash of its shingles in text order, or in the order of their hashes."""
     n = len(found)
     if not n:
         return []
-    labelled = found
-    values, first, inverse = np.unique(found, return_index=True, return_inverse=True)
-    if len(values) < n:
-        # The k-th occurrence of a shingle is a shingle of its own.
-        order = np.argsort(inverse, kind="stable")
-        begins = np.concatenate([[0], np.cumsum(np.bincount(inverse))[:-1]])
-        nth = np.empty(n, np.uint64)
-        nth[order] = np.arange(n) - np.repeat(begins, np.bincount(inverse))
-        labelled = found + nth * BASE
+    labels = labelled(found)
     seeds = _seeds(count)
     out = []
     step = max(1, AT_ONCE // n)
     for at in range(0, count, step):
         part = seeds[at:at + step]
-        keys = _mixed(labelled[None, :] ^ part[:, None])
+        keys = _mixed(labels[None, :] ^ part[:, None])
         small = np.argpartition(keys, kept - 1, axis=1)[:, :kept] if n > kept else np.tile(np.arange(n), (len(part), 1))
         small.sort(axis=1)
+        chosen = found[small]
+        if not ordered:
+            chosen.sort(axis=1)
         bucket = part.copy()
-        for column in found[small].T:
+        for column in chosen.T:
             bucket = _mixed(bucket * BASE + column)
         out += bucket.view(np.int64).tolist()
     return out
@@ -168,13 +176,13 @@ def common_length(a: list[int], b: list[int], need: int) -> int:
 
 
 def needed(n: int, m: int, least: float = SIMILARITY) -> int:
-    """Words that texts of n and m words must have in common to be similar."""
+    """What sequences of n and m must have in common to be similar."""
     # c / (n + m - c) >= s; the small term keeps exact fractions in.
     return int(np.ceil(least * (n + m) / (1 + least) - 1e-9))
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Words in common whatever their order: never fewer than the common subsequence has."""
+    """What two sequences have in common whatever their order: never less than the common subsequence has."""
     va, ca = np.unique(a, return_counts=True)
     vb, cb = np.unique(b, return_counts=True)
     _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
@@ -182,7 +190,7 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether the aligned words of two texts have the similarity."""
+    """Whether two sequences, aligned, have the similarity."""
     need = needed(len(a), len(b), least)
     if min(len(a), len(b)) < need or common_words(a, b) < need:
         return False
@@ -190,7 +198,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def distance(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[int, int]:
-    """Bounds of n + m - 2c; equal, and exact, unless the words alone rule similarity out."""
+    """Bounds of n + m - 2c; equal, and exact, unless the counts alone rule similarity out."""
     n, m = len(a), len(b)
     most = common_words(a, b)
     if most < needed(n, m, least):
@@ -199,6 +207,18 @@ def distance(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[i
     return exact, exact
 
 
+def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether the shingles of two texts, labelled, have the similarity in whatever order."""
+    return common_labels(a, b) >= needed(len(a), len(b), least)
+
+
+def common_labels(a: np.ndarray, b: np.ndarray) -> int:
+    """Labelled shingles in common; each stands once in its text."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _sketched(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,10 +228,11 @@ def _sketched(documents: DataFrame) -> DataFrame:
                 names, sizes, buckets, bins = [], [], [], []
                 for text in texts:
                     known, name = words_of(text)
+                    found = shingles(known)
                     names.append(name)
-                    sizes.append(len(known))
-                    buckets.append(sketches(shingles(known)))
-                    bins.append(np.bincount(known & np.uint64(BINS - 1), minlength=BINS).tolist())
+                    sizes.append(len(found))
+                    buckets.append(sketches(found, ordered=False))
+                    bins.append(np.bincount(found & np.uint64(BINS - 1), minlength=BINS).tolist())
                 yield pa.record_batch(
                     [
                         pa.array(doc_ids, pa.int64()), pa.array(sums[at:at + len(texts)], pa.string()), pa.array(names),
@@ -228,17 +249,17 @@ def _sketched(documents: DataFrame) -> DataFrame:
 
 
 def _sequences(texts: DataFrame) -> DataFrame:
-    """(uid, sequence): the words of texts, four bytes each."""
+    """(uid, sequence): the labelled shingles of texts, smallest first, eight bytes each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 uids, raws = [], []
                 for row in batch.slice(start, 256).to_pylist():
-                    found, name = words_of(row["text"])
+                    known, name = words_of(row["text"])
                     # Another text may have the same id.
                     if name == row["name"]:
                         uids.append(row["uid"])
-                        raws.append((found >> np.uint64(32)).astype("<u4").tobytes())
+                        raws.append(np.sort(labelled(shingles(known))).astype("<u8").tobytes())
                 yield pa.record_batch(
                     [pa.array(uids, pa.int64()), pa.array(raws, pa.binary())], names=["uid", "sequence"]
                 )
@@ -253,29 +274,23 @@ def _with_sequences(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
 
 
 def _distances(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
-    """(a, b, low, up, linked) of every pair: bounds of its distance, and whether it is similar."""
+    """(a, b, far, linked) of every pair: its distance n + m - 2c, and whether it is similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                low, up, linked = [], [], []
+                far, linked = [], []
                 for x, y in zip(part.column("left").to_pylist(), part.column("right").to_pylist(), strict=True):
-                    a, b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                    bounds = distance(a, b)
-                    low.append(bounds[0])
-                    up.append(bounds[1])
-                    linked.append(len(a) + len(b) - bounds[1] >= 2 * needed(len(a), len(b)))
+                    a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    common = common_labels(a, b)
+                    far.append(len(a) + len(b) - 2 * common)
+                    linked.append(common >= needed(len(a), len(b)))
                 yield pa.record_batch(
-                    [
-                        part.column("a"), part.column("b"), pa.array(low, pa.int64()),
-                        pa.array(up, pa.int64()), pa.array(linked, pa.bool_()),
-                    ],
-                    names=["a", "b", "low", "up", "linked"],
+                    [part.column("a"), part.column("b"), pa.array(far, pa.int64()), pa.array(linked, pa.bool_())],
+                    names=["a", "b", "far", "linked"],
                 )
 
-    return _with_sequences(pairs, sequences).mapInArrow(
-        run, "a long, b long, low long, up long, linked boolean"
-    )
+    return _with_sequences(pairs, sequences).mapInArrow(run, "a long, b long, far long, linked boolean")
 
 
 def _links(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
@@ -285,7 +300,7 @@ def _links(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 keep = [
-                    similar(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))
+                    alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"))
                     for x, y in zip(part.column("left").to_pylist(), part.column("right").to_pylist(), strict=True)
                 ]
                 yield part.select(["a", "b"]).filter(pa.array(keep))
@@ -358,14 +373,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     parts = components(measured.where("linked").select("a", "b"))
 
     # What the stars left apart: pairs of a bucket that lie in different classes.
-    from_hub = measured.select(F.col("a").alias("hub"), F.col("b").alias("uid"), "low", "up")
+    from_hub = measured.select(F.col("a").alias("hub"), F.col("b").alias("uid"), "far")
     is_hub = F.col("uid") == F.col("hub")
     placed = stored(
         lookup_join(_with_parts(members, parts), from_hub, ["uid", "hub"], "left").select(
             "uid", "size", "bucket", "part",
             # A hub is at 0; a text too long or too short for it has its distance bounded by that.
-            F.coalesce("low", F.when(is_hub, 0).otherwise(F.abs(F.col("size") - F.col("hub_size")))).alias("low"),
-            F.coalesce("up", F.when(is_hub, 0).otherwise(F.col("size") + F.col("hub_size"))).alias("up"),
+            F.coalesce("far", F.when(is_hub, 0).otherwise(F.abs(F.col("size") - F.col("hub_size")))).alias("low"),
+            F.coalesce("far", F.when(is_hub, 0).otherwise(F.col("size") + F.col("hub_size"))).alias("up"),
         )
     )
     mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")

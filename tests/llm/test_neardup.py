@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -171,3 +172,40 @@ def test_one_of_each_stays_and_repeated_rows_go(spark):
 def test_components(spark, links, parts):
     df = spark.createDataFrame(links, "a long, b long")
     assert {r.node: r.part for r in N.components(df).collect()} == parts
+
+
+def jaccard(x, y):
+    """Of the five-word shingles of two lists of words, each occurrence counted."""
+    a, b = (Counter(tuple(t[i:i + 5]) for i in range(max(1, len(t) - 4))) for t in (x, y))
+    common = sum((a & b).values())
+    return common / (sum(a.values()) + sum(b.values()) - common)
+
+
+def test_moved_passages_are_linked_and_rewritten_texts_are_not(spark):
+    rng = random.Random(11)
+    rows, together = [], {}
+    for i in range(40):
+        base = words(rng, 100)
+        moved, rewritten = base[50:] + base[:50], [f"other{k}" if k % 10 == 4 else w for k, w in enumerate(base)]
+        assert jaccard(base, moved) >= N.SIMILARITY > jaccard(base, rewritten)
+        rows += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(moved)), (3 * i + 2, " ".join(rewritten))]
+        together |= {3 * i: 3 * i, 3 * i + 1: 3 * i, 3 * i + 2: 3 * i + 2}
+    assert {r.doc_id: r.class_id for r in classes(documents(spark, rows))} == together
+
+
+def test_classes_against_all_pairs_of_shingle_counts(spark):
+    rng = random.Random(12)
+    texts = [words(rng, rng.randrange(60, 300)) for _ in range(30)]
+    base = words(rng, 200)
+    texts += [edited(rng, base, rng.randrange(1, 8)) for _ in range(40)]
+    chain = words(rng, 200)
+    for _ in range(12):  # each like the one before, the last unlike the first
+        chain = edited(rng, chain, 3)
+        texts.append(chain)
+    passage = words(rng, 60)
+    texts += [words(rng, 150) + passage for _ in range(40)]
+    links = [
+        (i, j) for (i, x), (j, y) in itertools.combinations(enumerate(texts), 2) if jaccard(x, y) >= N.SIMILARITY
+    ]
+    got = classes(documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]))
+    assert {r.doc_id: r.class_id for r in got} == partition(links, range(len(texts)))
