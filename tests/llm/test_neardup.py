@@ -209,3 +209,23 @@ def test_classes_against_all_pairs_of_shingle_counts(spark):
     ]
     got = classes(documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]))
     assert {r.doc_id: r.class_id for r in got} == partition(links, range(len(texts)))
+
+
+@pytest.mark.parametrize("size", [60, 200, 1000])
+def test_pairs_just_above_the_similarity_meet(size):
+    """Changed words, or changed words and a moved passage: every such pair shares a bucket."""
+    rng = random.Random(size)
+    met = []
+    while len(met) < 200:
+        a = words(rng, size)
+        b = a[size // 3:] + a[:size // 3] if len(met) % 2 else list(a)
+        last = b
+        while jaccard(a, b) >= N.SIMILARITY:
+            last, b = b, list(b)
+            b[rng.randrange(size)] = f"new{rng.randrange(10**9)}"
+        assert N.SIMILARITY <= jaccard(a, last) < 0.95
+        found = [
+            set(N.sketches(N.shingles(N.words_of(" ".join(t))[0]), ordered=False)) for t in (a, last)
+        ]
+        met.append(bool(found[0] & found[1]))
+    assert all(met)
