@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from linkweave.llm.common import chunks, pick, stored
 from linkweave.llm.quality import labelled_sample
 
-SAMPLE = 10_000
+SAMPLE = 20_000
 TERMS = 4096
 LEANS = 5.0
 #: Words that lean to the mark from which on a marked row has the next grade.

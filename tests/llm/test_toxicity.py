@@ -65,3 +65,14 @@ def test_held_out_accuracy(spark):
     found = [r.toxic for r in held if marks[r.doc_id]]
     wrong = [r.toxic for r in held if not marks[r.doc_id]]
     assert np.mean(found) > 0.9 and np.mean(wrong) < 0.01
+
+
+def test_sample_is_not_cut_below_20000(spark):
+    """A word on 5 marked rows of 20,000 enters the model; on half the rows it would mostly not."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "'plain words' AS text")
+    marks = docs.selectExpr("doc_id", "1 AS quality", "CAST(doc_id % 9 = 0 AS INT) AS toxic")
+    sampled = T.labelled_sample(marks, "toxic", T.SAMPLE).collect()
+    assert len(sampled) == 20_000
+    rare = [r.doc_id for r in sampled if r.label][-5:]
+    docs = docs.selectExpr("doc_id", f"IF(doc_id IN ({', '.join(map(str, rare))}), 'plain qzx', text) AS text")
+    assert "qzx" in T.train(docs, marks).weights
