@@ -1,8 +1,9 @@
 """Corpus pipeline: toxic documents go, then poor ones, then near copies; the rest is packed.
 
-Each stage takes the documents that the one before kept. A document without text, or
-without an id, goes through the filters like an empty one and is never a near copy. Rows
-that a stage keeps are whole rows of its input; rows that repeat an id are judged together.
+Each stage takes the documents that the one before kept. The filters judge each row by its
+own text, also rows without an id or that repeat one; a row without text counts as empty.
+Rows without text or id are never near copies. Rows that a stage keeps are whole rows of
+its input.
 """
 
 from __future__ import annotations
@@ -13,23 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.llm import neardup, packing, quality, toxicity
-from linkweave.llm.common import DOCUMENT_COLUMNS, pick, shared_folder, table
+from linkweave.llm.common import DOCUMENT_COLUMNS, pick, shared_folder, stored, table
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose ids are not among the rejected."""
-    rows = pick(docs, *DOCUMENT_COLUMNS)
-    return rows.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents, each row with a number of its own."""
+    return stored(pick(docs, *DOCUMENT_COLUMNS).withColumn("uid", F.monotonically_increasing_id()))
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose own numbers are not among the rejected."""
+    return rows.join(rejected.select("uid"), "uid", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = toxicity.score(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where(F.col("toxic") == 1))
+    rows = _numbered(docs)
+    judged = toxicity.score(rows, table(spark, sf_dir, "labels"), row="uid")
+    return _without(rows, judged.where(F.col("toxic") == 1))
 
 
 def poor_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.score(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where(F.col("predicted") == 0))
+    rows = _numbered(docs)
+    judged = quality.score(rows, table(spark, sf_dir, "labels"), row="uid")
+    return _without(rows, judged.where(F.col("predicted") == 0))
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

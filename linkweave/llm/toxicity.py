@@ -197,8 +197,12 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
     return Ordinal(thresholds, dict(zip(terms, weights.tolist(), strict=True)))
 
 
-def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> DataFrame:
-    """doc_id, severity (expected grade), toxic (1 or 0) of every document."""
+def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC, row: str = "doc_id") -> DataFrame:
+    """doc_id, severity (expected grade), toxic (1 or 0) of every document.
+
+    ``row`` names a column of whole numbers that stands in the place of doc_id, in the result
+    only; the model still learns by doc_id.
+    """
     model = train(documents, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +213,7 @@ def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> Data
                 [pa.array(doc_ids, pa.int64()), pa.array(model.severities(sums))], names=["doc_id", "severity"]
             )
 
-    return pick(documents, "doc_id", "text").mapInArrow(run, "doc_id long, severity double").withColumn(
-        "toxic", F.when(F.col("severity") >= toxic, 1).otherwise(0)
+    rows = pick(documents, row, "text").toDF("doc_id", "text")
+    return rows.mapInArrow(run, "doc_id long, severity double").select(
+        F.col("doc_id").alias(row), "severity", F.when(F.col("severity") >= toxic, 1).otherwise(0).alias("toxic")
     )

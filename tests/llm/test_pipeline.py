@@ -81,3 +81,16 @@ def test_odd_rows_go_through(spark):
     empty = documents(spark).limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0
+
+
+def test_each_row_follows_its_own_verdict(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*DOCUMENT_COLUMNS)
+    marks = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    toxic = {r.doc_id for r in toxicity.score(docs, marks).collect() if r.toxic}
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").collect()
+    bad = next(r for r in rows if r.doc_id in toxic)
+    good = next(r for r in rows if r.doc_id not in toxic)
+    extra = spark.createDataFrame([(None, bad.text), (-7, bad.text), (-7, good.text)], "doc_id long, text string")
+    more = docs.unionByName(extra, allowMissingColumns=True)
+    kept = pipeline.toxic_out(spark, more, FOLDER).where("doc_id IS NULL OR doc_id = -7").collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(-7, good.text)]
