@@ -35,8 +35,10 @@ SEEDS = (
     "ads", "adult", "bet", "bets", "betting", "bingo", "casino", "escort", "gambling", "jackpot",
     "lottery", "pills", "poker", "porn", "roulette", "sex", "slots", "spam", "viagra", "xxx",
 )
-#: Times that a seed word counts as seen, so that names are cut around it.
+#: Times that a seed word counts as seen, so that names are cut around it: at least so often,
+#: and at least once in so many words, so that cuts do not depend on the size of the input.
 SEED_COUNT = 1000
+SEED_SHARE = 1000
 NUMBER = "0"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -87,17 +89,21 @@ def matching_rule(rules: tuple[Rule, ...]) -> Column:
     return found
 
 
+def seed_count(total: int) -> int:
+    """Times that each seed word counts as seen besides ``total`` words."""
+    return max(SEED_COUNT, total // SEED_SHARE)
+
+
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     """(word, n) over the text of all pages, with the seed words."""
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(html), F.lit(""))), r"<[^>]*>", " ")
     words = pages.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where(
         F.length("word").between(1, LONGEST)
     )
-    seeds = pages.sparkSession.createDataFrame([(w, SEED_COUNT) for w in SEEDS], "word string, n long")
-    return (
-        words.groupBy("word").agg(F.count("*").alias("n"))
-        .unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
-    )
+    counts = stored(words.groupBy("word").agg(F.count("*").alias("n")))
+    n = seed_count(counts.agg(F.sum("n")).first()[0] or 0)
+    seeds = pages.sparkSession.createDataFrame([(w, n) for w in SEEDS], "word string, n long")
+    return counts.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def best_cut(name: str, counts: dict[tuple[int, int], int], total: int) -> list[str]:

@@ -131,3 +131,22 @@ def test_odds_against_brute_force(spark):
             math.log((by[True][t] + 1) / sums[True]) - math.log((by[False][t] + 1) / sums[False]) for t in tokens[key]
         )
         assert r.odds == pytest.approx(odds)
+
+
+def test_cuts_do_not_depend_on_the_size_of_the_input():
+    seen = {"be": 4000, "t": 3000, "my": 2000, "s": 3000, "and": 20_000, "other": 1_068_000}
+    names = ["mybet", *U.SEEDS]
+
+    def cuts(times):
+        counts = Counter({w: n * times for w, n in seen.items()})
+        counts.update(dict.fromkeys(U.SEEDS, U.seed_count(counts.total())))
+        total = counts.total()
+        return [
+            U.best_cut(
+                name,
+                {(i, j - i): counts[name[i:j]] for i in range(len(name)) for j in range(i + 1, len(name) + 1)}, total,
+            )
+            for name in names
+        ]
+
+    assert cuts(1) == cuts(10_000) == [["my", "bet"], *[[w] for w in U.SEEDS]]
