@@ -94,3 +94,17 @@ def test_each_row_follows_its_own_verdict(spark):
     more = docs.unionByName(extra, allowMissingColumns=True)
     kept = pipeline.toxic_out(spark, more, FOLDER).where("doc_id IS NULL OR doc_id = -7").collect()
     assert [(r.doc_id, r.text) for r in kept] == [(-7, good.text)]
+
+
+def test_marked_documents_go_where_labels_are_many(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in pipeline.STAGES[:2]:
+        docs = stage(spark, docs, folder)
+    kept = set(ids(docs))
+    marks = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    held = [r for r in marks if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    clean = [r.doc_id in kept for r in held if r.quality and not r.toxic]
+    marked = [r.doc_id in kept for r in held if not r.quality or r.toxic]
+    print("clean kept", sum(clean), len(clean), "marked kept", sum(marked), len(marked))
+    assert sum(clean) > 0.97 * len(clean) and sum(marked) < 0.2 * len(marked)
