@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from linkweave.llm import (
     bpe,
     chat,
+    merkle,
     neardup,
+    oracle,
     packing,
     quality,
     sharding,
@@ -84,6 +86,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents under one root, and what a tampered copy folds to."""
+    return merkle.verify_tampered(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_extendible_shards,
         op10_bpe,
+        op13_merkle_manifest,
     )
 }
 
@@ -123,4 +131,5 @@ ORACLE = {
             address >> ({sharding.BITS} - depth) AS prefix, 0::BIGINT AS page
         FROM placed
     """,
+    "op13_merkle_manifest": oracle.merkle(),
 }
