@@ -80,3 +80,35 @@ def merkle() -> str:
             g.folded AS folded_root, g.folded = r.digest AS verified
         FROM placed p JOIN g{ROOT_LEVELS} g ON g.uid = p.uid JOIN tops t ON t.name = p.tree CROSS JOIN r{ROOT_LEVELS} r
     """
+
+
+def lexical() -> str:
+    """Every document scored for every item by plain joins."""
+    terms = (
+        r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+        WITH rows AS (SELECT row_number() OVER () AS uid, doc_id, text FROM documents),
+        words AS (SELECT uid, doc_id, unnest({terms}) AS term FROM rows),
+        tfs AS (SELECT uid, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        lengths AS (SELECT uid, sum(tf)::BIGINT AS n FROM tfs GROUP BY uid),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, total GROUP BY term
+        ),
+        items AS (SELECT row_number() OVER () AS number, item_id, text FROM benchmark),
+        asked AS (SELECT DISTINCT number, item_id, unnest({terms}) AS term FROM items),
+        scored AS (
+            SELECT number, item_id, uid, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (uid), total
+            GROUP BY number, item_id, uid, doc_id
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id NULLS FIRST, uid) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """

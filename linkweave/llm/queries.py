@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkweave.llm import (
     bpe,
     chat,
+    lexical,
     merkle,
     neardup,
     oracle,
@@ -86,6 +87,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents under one root, and what a tampered copy folds to."""
     return merkle.verify_tampered(table(spark, sf_dir, "documents"))
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_extendible_shards,
         op10_bpe,
+        op12_block_max_search,
         op13_merkle_manifest,
     )
 }
@@ -131,5 +138,6 @@ ORACLE = {
             address >> ({sharding.BITS} - depth) AS prefix, 0::BIGINT AS page
         FROM placed
     """,
+    "op12_block_max_search": oracle.lexical(),
     "op13_merkle_manifest": oracle.merkle(),
 }
