@@ -16,6 +16,7 @@ from linkweave.llm import (
     oracle,
     packing,
     quality,
+    sanitise,
     sharding,
     topk,
     toxicity,
@@ -87,6 +88,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op11_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return sanitise.digests(sanitise.sanitise(table(spark, sf_dir, "documents")))
+
+
 def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifty best documents of every benchmark item."""
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_extendible_shards,
         op10_bpe,
+        op11_sanitisation,
         op12_block_max_search,
         op13_merkle_manifest,
     )
