@@ -7,10 +7,11 @@ word and beginning of a word in the model that the text holds, so few entries.
 The tables hold no grades, only a mark toxic or not. Grades are made from it: 0 for rows
 not marked; of marked rows, by how many words lean to the mark: 1, from 3 on 2, from 6 on 3.
 A word or beginning leans if its share of the marked rows and of the others differ with a z
-of ``LEANS`` or more; at most ``TERMS`` enter the model, those with the largest z.
+of ``LEANS`` or more; all that lean enter the model, terms with equal z by their letters.
 
 It is fitted on at most ``SAMPLE`` labelled documents, those whose ids hash lowest, none of
-them held out; of rows that repeat an id one counts. Without labels of both kinds every
+them held out; of rows that repeat an id the smallest text counts. Whole texts count and are
+scored, however long. Without labels of both kinds every
 severity is 0. Null and empty texts have no words. Rows are scored one by one, repeated
 rows and null ids like any other; an empty table gives no rows.
 """
@@ -31,7 +32,6 @@ from linkweave.llm.common import chunks, pick, stored
 from linkweave.llm.quality import labelled_sample
 
 SAMPLE = 20_000
-TERMS = 4096
 LEANS = 5.0
 #: Words that lean to the mark from which on a marked row has the next grade.
 NEXT_GRADE = (3, 6)
@@ -44,6 +44,8 @@ TOXIC = 0.5
 #: Lengths of the beginnings that count besides whole words.
 BEGINNINGS = (3, 4, 5, 6, 7)
 KEPT_WORDS = 300_000
+#: Terms whose counts a task holds before it gives them on.
+COUNTED_TERMS = 1_000_000
 
 #: Term that counts all words of a text: a word weighs less in a long text.
 LENGTH = "#"
@@ -127,25 +129,58 @@ def fit(
     return point[width] + np.concatenate([[0], np.cumsum(np.exp(point[width + 1:]))]), point[:width]
 
 
-def _term_counts(documents: DataFrame) -> DataFrame:
-    """(doc_id, label, word, n) of the terms of each document."""
+def _terms_in(text: str) -> Counter[str]:
+    words = words_of(text)
+    found = Counter(t for w in words for t in terms_of(w))
+    found[LENGTH] = len(words)
+    return found
+
+
+def _rows_by_term(texts: DataFrame) -> DataFrame:
+    """(word, marked, rows): how many of the documents, and of the marked ones, hold each term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: Counter[str] = Counter()
+        marked: Counter[str] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            terms = list(rows)
+            return pa.record_batch(
+                [pa.array(terms), pa.array([marked[t] for t in terms], pa.int64()), pa.array(list(rows.values()), pa.int64())],
+                names=["word", "marked", "rows"],
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = _terms_in(row["text"] or "").keys()
+                rows.update(found)
+                if row["label"]:
+                    marked.update(found)
+                if len(rows) > COUNTED_TERMS:
+                    yield counted()
+                    rows.clear()
+                    marked.clear()
+        if rows:
+            yield counted()
+
+    counts = texts.mapInArrow(run, "word string, marked long, rows long")
+    return counts.groupBy("word").agg(F.sum("marked").alias("marked"), F.sum("rows").alias("rows"))
+
+
+def _entries(texts: DataFrame, index: dict[str, int]) -> DataFrame:
+    """(label, at, n): one row per document, with the numbers and counts of its terms in the model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words = words_of(row["text"] or "")
-                found = Counter(t for w in words for t in terms_of(w))
-                found[LENGTH] = len(words)
-                if found:
-                    yield pa.record_batch(
-                        [
-                            pa.array([row["doc_id"]] * len(found), pa.int64()),
-                            pa.array([row["label"]] * len(found), pa.int32()),
-                            pa.array(list(found)), pa.array(list(found.values()), pa.int64()),
-                        ],
-                        names=["doc_id", "label", "word", "n"],
-                    )
-
-    return documents.mapInArrow(run, "doc_id long, label int, word string, n long")
+                found = {index[t]: n for t, n in _terms_in(row["text"] or "").items() if t in index}
+                yield pa.record_batch(
+                    [
+                        pa.array([row["label"]], pa.int32()), pa.array([list(found)], pa.list_(pa.int32())),
+                        pa.array([list(found.values())], pa.list_(pa.int32())),
+                    ],
+                    names=["label", "at", "n"],
+                )
+
+    return texts.mapInArrow(run, "label int, at array<int>, n array<int>")
 
 
 def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordinal:
@@ -154,43 +189,36 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
     marked, others = by_label.get(1, 0), by_label.get(0, 0)
     if not marked or not others:
         return Ordinal()
-    texts = (
-        # At most ``size`` ids of 8 bytes.
+    # At most ``size`` ids of 8 bytes; and then one text for each.
+    texts = stored(
         pick(documents, "doc_id", "text").join(F.broadcast(sample), "doc_id")
-        .select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    )
-    counts = stored(
-        _term_counts(texts).groupBy("doc_id", "word").agg(F.min("label").alias("label"), F.min("n").alias("n"))
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").cast("int").alias("label"))
     )
     share = F.col("rows") / F.lit(marked + others)
     z = (F.col("marked") / marked - F.col("others") / others) / F.sqrt(
         F.greatest(share * (1 - share), F.lit(1e-9)) * F.lit(1 / marked + 1 / others)
     )
     leaning = (
-        counts.groupBy("word")
-        .agg(F.sum("label").alias("marked"), F.count("*").alias("rows"))
+        _rows_by_term(texts)
         .withColumn("others", F.col("rows") - F.col("marked"))
         .withColumn("z", z)
         .where((F.abs("z") >= LEANS) & (F.col("word") != LENGTH))
-        .orderBy(F.desc(F.abs("z")), "word").limit(TERMS)
+        .orderBy(F.desc(F.abs("z")), "word")
         .select("word", "z").collect()
     )
     if not leaning:
         return Ordinal()
-    terms = list(dict.fromkeys([LENGTH, *[r.word for r in leaning]]))
-    index = documents.sparkSession.createDataFrame(
-        [(t, i) for i, t in enumerate(terms)], "word string, i int"
-    )
-    # At most ``TERMS`` terms; and of the sample's documents numbers only.
-    found = counts.join(F.broadcast(index), "word").select("doc_id", "label", "i", "n").toArrow()
-    columns, n = (np.asarray(found.column(c)) for c in ("i", "n"))
-    ids, rows = np.unique(np.asarray(found.column("doc_id")), return_inverse=True)
-    marks = np.zeros(len(ids), bool)
-    marks[rows] = np.asarray(found.column("label")) == 1
+    terms = [LENGTH, *[r.word for r in leaning]]
+    # Of at most ``size`` documents, numbers of their leaning terms only.
+    found = _entries(texts, {t: i for i, t in enumerate(terms)}).toArrow()
+    at, n = (found.column(c).combine_chunks() for c in ("at", "n"))
+    columns, n, sizes = np.asarray(at.flatten()), np.asarray(n.flatten()), np.asarray(at.value_lengths())
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    marks = np.asarray(found.column("label")) == 1
     # A word has one term of each length at most, so the most of one length is counted.
     length = np.array([len(t) if t.endswith("*") else 0 for t in terms])
     toward = np.isin(terms, [r.word for r in leaning if r.z > 0])[columns]
-    by_length = np.zeros((len(ids), length.max() + 1))
+    by_length = np.zeros((len(sizes), length.max() + 1))
     np.add.at(by_length, (rows[toward], length[columns[toward]]), n[toward])
     grades = np.where(marks, 1 + (by_length.max(1)[:, None] >= NEXT_GRADE).sum(1), 0)
     thresholds, weights = fit(rows, columns, np.log1p(n), grades, len(terms))
