@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,8 @@ from linkweave.llm.common import DOCUMENT_COLUMNS, pick
 
 from cases import TEXTS, documents
 
+WORD = re.compile(r"\w+")
+
 
 def lcs(a, b):
     row = [0] * (len(b) + 1)
@@ -94,14 +97,21 @@ def partition(pairs, nodes):
     return {n: top(n) for n in nodes}
 
 
+def jaccard(x, y):
+    """Of the five-word shingles of two lists of words, each occurrence counted."""
+    a, b = (Counter(tuple(t[i:i + 5]) for i in range(max(1, len(t) - 4))) for t in (x, y))
+    common = sum((a & b).values())
+    return common / (sum(a.values()) + sum(b.values()) - common)
+
+
 def brute(rows):
-    """Classes of all pairs of texts with the similarity."""
-    usable = [(i, N.words_of(t)) for i, t in rows if i is not None and t is not None]
+    """Classes of all pairs of texts whose five-word shingles, counted, have the similarity."""
+    usable = [(i, t, WORD.findall(t.lower())) for i, t in rows if i is not None and t is not None]
     links = [
-        (i, j) for (i, (a, x)), (j, (b, y)) in itertools.combinations(usable, 2)
-        if x == y or (len(a) and len(b) and N.similar(a, b))
+        (i, j) for (i, s, x), (j, t, y) in itertools.combinations(usable, 2)
+        if s == t or (x and y and jaccard(x, y) >= N.SIMILARITY)
     ]
-    return partition(links, [i for i, _ in usable])
+    return partition(links, [i for i, _, _ in usable])
 
 
 def classes(df):
@@ -174,13 +184,6 @@ def test_components(spark, links, parts):
     assert {r.node: r.part for r in N.components(df).collect()} == parts
 
 
-def jaccard(x, y):
-    """Of the five-word shingles of two lists of words, each occurrence counted."""
-    a, b = (Counter(tuple(t[i:i + 5]) for i in range(max(1, len(t) - 4))) for t in (x, y))
-    common = sum((a & b).values())
-    return common / (sum(a.values()) + sum(b.values()) - common)
-
-
 def test_moved_passages_are_linked_and_rewritten_texts_are_not(spark):
     rng = random.Random(11)
     rows, together = [], {}
