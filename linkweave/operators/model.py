@@ -10,11 +10,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.functions import naming
+from linkweave.session import new_path
 
 LABEL = "_label"
 
@@ -101,17 +102,43 @@ def pre_train_model_id(pipeline: Pipeline, features: list[str], label: str = "is
     return _digest(json.dumps([model_code_hash(pipeline), list(features), label]))
 
 
+#: What of a saved tree node decides its predictions.
+_NODE = "nodeData.id, nodeData.prediction, nodeData.impurityStats, nodeData.leftChild, nodeData.rightChild, nodeData.split"
+#: 15 hex digits of a digest as a number: sums of them do not depend on the order.
+_PART = "CAST(conv(substr({digest}, {at}, 15), 16, 10) AS DECIMAL(38, 0))"
+
+
+def tree_nodes(fitted: PipelineModel) -> DataFrame:
+    """The nodes of all trees, as Spark saves them: treeID and nodeData."""
+    spark = SparkSession.active()
+    path = new_path(spark)
+    fitted.write().save(path)
+    return spark.read.parquet(f"{path}/stages/1_*/data")
+
+
+def _combined(rows: DataFrame, digest: str, *keys: str) -> DataFrame:
+    """One digest for the rows of each key, whatever their order."""
+    parts = [F.sum(F.expr(_PART.format(digest=digest, at=at))).alias(f"_{at}") for at in (1, 16, 31, 46)]
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *parts)
+    return sums.select(*keys, F.sha2(F.concat_ws(",", "_n", "_1", "_16", "_31", "_46"), 256).alias("digest"))
+
+
+def nodes_digest(nodes: DataFrame) -> str:
+    """Digest of the nodes of a forest: of each node, put together by tree, then over the trees."""
+    each = nodes.select("treeID", F.sha2(F.to_json(F.expr(f"struct({_NODE})")), 256).alias("node"))
+    trees = _combined(each, "node", "treeID")
+    whole = _combined(trees.select(F.sha2(F.concat_ws(",", "treeID", "digest"), 256).alias("tree")), "tree")
+    return whole.first()["digest"]
+
+
 def post_train_model_id(fitted: PipelineModel) -> str:
-    """Hash of the fitted trees and the order of their inputs.
+    """Hash of the fitted trees, their weights and the order of their inputs.
 
-    The trees are hashed one by one, so no text of the whole forest is built.
+    The nodes are read as Spark saves them and hashed by Spark: no tree passes the driver.
     """
     assembler, forest = fitted.stages
-    whole = hashlib.sha256(json.dumps(assembler.getInputCols()).encode())
-    for tree, weight in zip(forest.trees, forest.treeWeights, strict=True):
-        lines = tree.toDebugString.splitlines()[1:]  # the first line holds a random uid
-        whole.update(json.dumps([weight, lines]).encode())
-    return whole.hexdigest()
+    shape = [assembler.getInputCols(), list(forest.treeWeights), nodes_digest(tree_nodes(fitted))]
+    return _digest(json.dumps(shape))
 
 
 def model_path(base: str, pre_id: str, post_id: str) -> str:

@@ -103,6 +103,10 @@ VIEWS = {
         SELECT DISTINCT s.record_id AS source_id, t.record_id AS target_id
         FROM block_record s JOIN block_record t ON s.block = t.block
         WHERE s.record_type = 'gpo' AND t.record_type = 'pm'""",
+    "typed_names": f"""
+        SELECT record_type, record_id, CASE WHEN record_type = 'pm' AND record_id % 3 = 1
+            THEN substr(name, 1, 2) || substr(name, 4) ELSE name END AS name
+        FROM (SELECT record_type, record_id, {_NAME} AS name FROM record)""",
     "name_terms": f"""
         SELECT DISTINCT record_type, record_id, term FROM (
           SELECT record_type, record_id, trim({_ascii('first_name')}) AS term FROM record
@@ -332,6 +336,13 @@ BODIES = {
             JOIN record s ON s.record_type = 'gpo' AND s.record_id = p.source_id
             JOIN record t ON t.record_type = 'pm' AND t.record_id = p.target_id))
         WHERE (rn <= 5 AND 1 / (1 + exp(-z)) >= 0.2) OR rn = 1""",
+    "near_names": """
+        SELECT DISTINCT s.name AS source_name, t.name AS target_name, levenshtein(s.name, t.name)::INTEGER AS edits
+        FROM block_pairs p
+        JOIN typed_names s ON s.record_type = 'gpo' AND s.record_id = p.source_id
+        JOIN typed_names t ON t.record_type = 'pm' AND t.record_id = p.target_id
+        WHERE greatest(length(s.name), length(t.name)) > 0
+          AND levenshtein(s.name, t.name) * 100 <= 20 * greatest(length(s.name), length(t.name))""",
     "forest_score_keys": f"""
         SELECT {PAIR}, 'run_1' AS run_id, true AS is_probability, true AS has_model FROM pair_features f WHERE EXISTS (
           SELECT 1 FROM block_record s JOIN block_record t ON s.block = t.block

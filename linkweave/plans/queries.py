@@ -20,9 +20,11 @@ from linkweave.operators import (
     features,
     importing,
     latest,
+    lattice,
     matching,
     model,
     review,
+    spelling,
     training,
     vectors,
 )
@@ -398,6 +400,34 @@ def classified_targets(spark, sf):
     )
 
 
+@query
+def near_names(spark, sf):
+    """Pairs of names near in spelling, of sources and targets that share a block.
+
+    A third of the targets lack a letter of their names, as a typing error has it.
+    """
+    known = spelling.named(fx.record(spark, sf))
+    typed = "if(record_type = 'pm' AND record_id % 3 = 1, concat(left(name, 2), substr(name, 4)), name)"
+    known = stored(known.withColumn("name", F.expr(typed)))
+    found = spelling.near_names(known.where("record_type = 'gpo'"), known.where("record_type = 'pm'"))
+    return found.select("source_name", "target_name", "edits").distinct()
+
+
+def forest(spark, sf):
+    """The forest of a run, fitted on the labelled pairs."""
+    return model.fit(stored(_sample(spark, sf)), fx.MODEL_FEATURES)
+
+
+@query
+def forest_targets(spark, sf):
+    """Best five targets by the forest, over all pairs of a source's blocks."""
+    known = fx.record(spark, sf)
+    found = lattice.forest_targets(
+        known.where("record_type = 'gpo'"), known.where("record_type = 'pm'"), forest(spark, sf)
+    )
+    return _rounded(found, "score")
+
+
 @query
 def pairs_in_blocks(spark, sf):
     return fx.run_pairs(spark, sf)

@@ -21,9 +21,11 @@ from linkweave.operators import (
     features,
     importing,
     latest,
+    lattice,
     matching,
     model,
     review,
+    spelling,
     training,
 )
 from linkweave.operators.lookup import lookup_join
@@ -145,22 +147,13 @@ def records(spark: SparkSession, run: Run) -> DataFrame:
 
 
 def pair_records(spark: SparkSession, run: Run) -> None:
-    """Store the pairs that the classifier is to score, with their blocks.
+    """Store the first pairs that a classifier is to score, with their blocks.
 
-    For each source and each set of attributes that agree, the first targets of its
-    blocks, and the best ones by name; so whatever agreement the classifier weighs most,
-    such pairs are there. Only a pair that is no better in any agreement than five others
-    of its source, and only nearer in spelling, is not scored.
+    For each source the best targets by name, the first ones of each set of attributes that
+    agree, and all whose names are near in spelling. From these a model is trained;
+    ``pair_by_model`` then adds the pairs that it puts first among all pairs of the blocks.
     """
-    blocks = tables.read(spark, run.path("block_record"))
-    known = records(spark, run)
-    of_run = export.all_sources(blocks, run.run_id, run.source_type).withColumnRenamed(
-        "source_id", "record_id"
-    )
-    sources = known.where(F.col("record_type") == run.source_type).join(
-        of_run, "record_id", "left_semi"
-    )
-    targets = known.where(F.col("record_type") == run.target_type)
+    sources, targets = _run_sides(spark, run)
     linked = stored(
         matching.linkable(sources).unionByName(matching.linkable(targets))
     )
@@ -170,13 +163,46 @@ def pair_records(spark: SparkSession, run: Run) -> None:
         matching.agreeing(sources, attributes).unionByName(matching.agreeing(targets, attributes))
     )
     alike = matching.proposed_pairs(values, len(attributes), run.source_type, run.target_type)
-    keys = linked.select(*S.RECORD_KEY, F.explode("blocks").alias("block"))
-    pairs = blocking.pairs_in_blocks(
-        best.select(*S.PAIR_KEY).unionByName(alike.select(*S.PAIR_KEY)).distinct(), keys
+    named = stored(
+        lattice.comparable(sources, attributes).unionByName(lattice.comparable(targets, attributes))
     )
-    tables.replace_part(
-        pairs.withColumn("run_id", F.lit(run.run_id)), run.path("run_pairs"), "pairs"
+    near = spelling.near_pairs(named, run.source_type, run.target_type)
+    proposed = best.select(*S.PAIR_KEY).unionByName(alike.select(*S.PAIR_KEY)).unionByName(near)
+    _write_pairs(run, proposed.distinct(), linked, "pairs")
+
+
+def pair_by_model(spark: SparkSession, run: Run, pre_id: str) -> None:
+    """Add the pairs that the run's model ranks first, over all pairs of each source's blocks.
+
+    With their features built and scored, no pair that the export could name is missing.
+    """
+    post_id = _model_of(spark, run, pre_id)
+    fitted = model.load(run.path("models"), pre_id, post_id)
+    sources, targets = _run_sides(spark, run)
+    # Frequencies count all records of the type, as the features do.
+    whole, _ = _sides(spark, run)
+    for column, alias in (("first_name", "f_name_freq"), ("last_name", "l_name_freq")):
+        whole = features.name_frequency(whole, column, alias)
+    sources = whole.join(sources.select("record_id"), "record_id", "left_semi")
+    best = lattice.forest_targets(sources, targets, fitted, run.source_type, run.target_type)
+    linked = matching.linkable(sources).unionByName(matching.linkable(targets))
+    _write_pairs(run, best.select(*S.PAIR_KEY), linked, f"model-{post_id}")
+
+
+def _run_sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
+    """Source records of the run, and all targets."""
+    blocks = tables.read(spark, run.path("block_record"))
+    of_run = export.all_sources(blocks, run.run_id, run.source_type).withColumnRenamed(
+        "source_id", "record_id"
     )
+    sources, targets = _sides(spark, run)
+    return sources.join(of_run, "record_id", "left_semi"), targets
+
+
+def _write_pairs(run: Run, pairs: DataFrame, linked: DataFrame, part: str) -> None:
+    keys = linked.select(*S.RECORD_KEY, F.explode("blocks").alias("block"))
+    rows = blocking.pairs_in_blocks(pairs, keys).withColumn("run_id", F.lit(run.run_id))
+    tables.replace_part(rows, run.path("run_pairs"), part)
 
 
 def _sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
@@ -284,15 +310,18 @@ def _register(spark, run, name, rows, combine) -> None:
     tables.replace(rows, path)
 
 
-def score(spark: SparkSession, run: Run, pre_id: str) -> bool:
-    """Score the run's pairs with the model the run uses. False when there are none."""
+def _model_of(spark: SparkSession, run: Run, pre_id: str) -> str:
+    """The fitted model that the run uses."""
+    held = tables.read_current(spark, run.path("run_model_inference"))
     chosen = training.only_row(
-        training.run_models(
-            tables.read_current(spark, run.path("run_model_inference")), run.run_id, pre_id
-        ),
-        f"model {pre_id} for run {run.run_id}",
+        training.run_models(held, run.run_id, pre_id), f"model {pre_id} for run {run.run_id}"
     )
-    post_id = chosen["post_train_model_id"]
+    return chosen["post_train_model_id"]
+
+
+def score(spark: SparkSession, run: Run, pre_id: str) -> bool:
+    """Score the run's pairs with the model the run uses. False when there are none."""
+    post_id = _model_of(spark, run, pre_id)
     rows = training.scoring_set(
         tables.read(spark, run.path("run_pairs")),
         _groups(spark, run),

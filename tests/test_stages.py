@@ -47,6 +47,8 @@ def finished(spark, tmp_path_factory):
     stages.backfill_features(spark, run, group)
     pre_id, post_id = stages.train(spark, run)
     stages.use_model(spark, run, pre_id, post_id)
+    stages.pair_by_model(spark, run, pre_id)
+    assert stages.build_features(spark, run, group)
     assert stages.score(spark, run, pre_id)
     return run, pre_id, post_id
 
