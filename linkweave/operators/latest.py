@@ -27,8 +27,11 @@ def _remaining(df: DataFrame, used: list[str]) -> list[Column]:
     ]
 
 
-#: What settles equal times of a stored table: the import that came later wins.
-IMPORT_ORDER = ("imported_at", "import_process_id")
+#: Number that every row of an import gets when it is stored.
+SEQUENCE = "sequence"
+#: What settles equal times of a stored table: the later import wins, and in one import the
+#: later row.
+IMPORT_ORDER = ("imported_at", "import_process_id", SEQUENCE)
 
 
 def first_per_key(
@@ -62,14 +65,35 @@ def latest_records(records: DataFrame) -> DataFrame:
     return latest_version(records, S.RECORD_KEY, "tess_modified_at")
 
 
+def merged(held: DataFrame, new: DataFrame, keys: list[str], newest: str) -> DataFrame:
+    """Current rows and newer ones, one row per key on either side, as current rows.
+
+    A join on the key: where the current rows lie in buckets by it, they are read as they lie.
+    Each column is chosen by itself, so a reader of few columns scans few.
+    """
+    order = [newest, *[c for c in IMPORT_ORDER if c in held.columns]]
+    a, b = held.alias("held"), new.alias("new")
+    both = a.join(b, [F.col(f"held.{k}") == F.col(f"new.{k}") for k in keys], "full")
+    first, second = (F.struct(*[F.col(f"{side}.{c}") for c in order]) for side in ("held", "new"))
+    is_new = F.col(f"held.{keys[0]}").isNull() | (F.col(f"new.{keys[0]}").isNotNull() & (second >= first))
+    return both.select([F.when(is_new, F.col(f"new.{c}")).otherwise(F.col(f"held.{c}")).alias(c) for c in held.columns])
+
+
 def latest_feedback(feedback: DataFrame) -> DataFrame:
+    """Newest label per pair; rows of a stored log carry what settles equal times."""
+    if SEQUENCE in feedback.columns:
+        return latest_version(feedback, S.PAIR_KEY, "tess_modified_at")
     return first_per_key(feedback, S.PAIR_KEY, "tess_modified_at")
 
 
 def latest_features(features: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Newest feature row per pair, of one run where a run is given."""
+    """Newest feature row per pair, of one run where a run is given.
+
+    A stage writes a pair once in a run's part, so run, process and part settle equal times.
+    """
     rows = features if run_id is None else features.where(F.col("run_id") == run_id)
-    return first_per_key(rows, S.PAIR_KEY, "created_at")
+    written = [F.col(c).desc_nulls_last() for c in ("run_id", "process_id", "part") if c in rows.columns]
+    return first_per_key(rows, S.PAIR_KEY, "created_at", written or None)
 
 
 def latest_scores(scores: DataFrame) -> DataFrame:

@@ -343,6 +343,17 @@ BODIES = {
         JOIN typed_names t ON t.record_type = 'pm' AND t.record_id = p.target_id
         WHERE greatest(length(s.name), length(t.name)) > 0
           AND levenshtein(s.name, t.name) * 100 <= 20 * greatest(length(s.name), length(t.name))""",
+    "ties_within_import": """
+        SELECT record_type, record_id, CASE WHEN record_id % 3 = 0 THEN 'second' ELSE last_name END AS last_name FROM record""",
+    "compacted_records": """
+        SELECT record_type, record_id, last_name, tess_modified_at FROM (
+          SELECT *, row_number() OVER (PARTITION BY record_type, record_id ORDER BY tess_modified_at DESC) AS rn FROM (
+            SELECT record_type, record_id, last_name, tess_modified_at FROM record_version WHERE record_id % 5 <> 2
+            UNION ALL
+            SELECT record_type, record_id, 'changed', tess_modified_at + INTERVAL 1 DAY FROM record_version WHERE record_id % 4 <> 1))
+        WHERE rn = 1""",
+    "rerun_empty": """
+        SELECT record_type, record_id, last_name, 'run_1' AS run_id, 'a' AS part FROM record WHERE record_id % 2 = 0""",
     "forest_score_keys": f"""
         SELECT {PAIR}, 'run_1' AS run_id, true AS is_probability, true AS has_model FROM pair_features f WHERE EXISTS (
           SELECT 1 FROM block_record s JOIN block_record t ON s.block = t.block

@@ -153,6 +153,44 @@ def mixed_import_columns(spark, sf):
     )
 
 
+@query
+def ties_within_import(spark, sf):
+    """Rows of one key and time in one import: the row that came later stands, for every reader."""
+    path = new_path(spark)
+    first = importing.cast_columns(fx.record(spark, sf))
+    second = first.where("record_id % 3 = 0").withColumn("last_name", F.lit("second"))
+    tables.append_changes(first.unionByName(second), path, "one import", schema=S.RECORD)
+    log = tables.read_latest(spark, path, S.RECORD_KEY, "tess_modified_at", S.RECORD)
+    return log.select(*S.RECORD_KEY, "last_name")
+
+
+@query
+def compacted_records(spark, sf):
+    """Current records from a snapshot of the first import and the one after it."""
+    path = new_path(spark)
+    versions = importing.cast_columns(fx.record_version(spark, sf))
+    changed = versions.where("record_id % 4 <> 1").withColumns(
+        {"last_name": F.lit("changed"), "tess_modified_at": F.expr("tess_modified_at + INTERVAL 1 DAY")}
+    )
+    args = (spark, path, S.RECORD_KEY, "tess_modified_at", S.RECORD)
+    tables.append_changes(versions.where("record_id % 5 <> 2"), path, "first", schema=S.RECORD)
+    tables.compact(*args)
+    tables.append_changes(changed, path, "second", schema=S.RECORD)
+    return tables.read_latest(*args).select(*S.RECORD_KEY, "last_name", "tess_modified_at")
+
+
+@query
+def rerun_empty(spark, sf):
+    """Parts of a run after a stage was run again: one with fewer rows, one with none."""
+    path = new_path(spark)
+    rows = fx.record(spark, sf).select(*S.RECORD_KEY, "last_name")
+    for part, again in (("a", "record_id % 2 = 0"), ("b", "false"), ("c", "true")):
+        tables.replace_part(rows, path, fx.RUN, part)
+        tables.replace_part(rows.where(again), path, fx.RUN, part)
+    tables.empty_part(spark, path, fx.RUN, "c")
+    return tables.read(spark, path)
+
+
 # --- projections and filters -------------------------------------------------
 
 

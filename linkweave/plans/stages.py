@@ -146,6 +146,11 @@ def records(spark: SparkSession, run: Run) -> DataFrame:
     )
 
 
+def compact_records(spark: SparkSession, run: Run) -> int:
+    """Write the current records as a snapshot, so that readers rank later imports only."""
+    return tables.compact(spark, run.path("record"), S.RECORD_KEY, "tess_modified_at", S.RECORD)
+
+
 def pair_records(spark: SparkSession, run: Run) -> None:
     """Store the first pairs that a classifier is to score, with their blocks.
 
@@ -201,8 +206,7 @@ def _run_sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
 
 def _write_pairs(run: Run, pairs: DataFrame, linked: DataFrame, part: str) -> None:
     keys = linked.select(*S.RECORD_KEY, F.explode("blocks").alias("block"))
-    rows = blocking.pairs_in_blocks(pairs, keys).withColumn("run_id", F.lit(run.run_id))
-    tables.replace_part(rows, run.path("run_pairs"), part)
+    tables.replace_part(blocking.pairs_in_blocks(pairs, keys), run.path("run_pairs"), run.run_id, part)
 
 
 def _sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
@@ -218,10 +222,12 @@ def build_features(spark: SparkSession, run: Run, group: features.FeatureGroup)
     pairs = tables.read(spark, run.path("run_pairs")).where(
         (F.col("run_id") == run.run_id) & blocking.in_blocks(run.blocking_key)
     )
+    part = f"pairs-{run.blocking_key or 'all'}"
     if pairs.isEmpty():
+        tables.empty_part(spark, run.path(group.table), run.run_id, part)
         return False
     pairs = pairs.select(*S.PAIR_KEY).distinct()
-    _write_features(run, group, pairs, *_sides(spark, run), f"pairs-{run.blocking_key or 'all'}")
+    _write_features(run, group, pairs, *_sides(spark, run), part)
     return True
 
 
@@ -249,7 +255,7 @@ def _write_features(run, group, pairs, sources, targets, part) -> None:
         pairs, sources, targets,
         run_id=run.run_id, process_id=run.process_id, created_at=run.now,
     )
-    tables.replace_part(rows, run.path(group.table), part)
+    tables.replace_part(rows, run.path(group.table), run.run_id, part)
 
 
 def _groups(spark: SparkSession, run: Run) -> dict[str, DataFrame]:
@@ -329,7 +335,10 @@ def score(spark: SparkSession, run: Run, pre_id: str) -> bool:
         run.run_id,
         run.blocking_key,
     )
+    # One model's scores of one block, or of all; scored again, they replace themselves.
+    path, part = run.path("record_pair_match_score"), f"{run.blocking_key or 'all'}-{post_id}"
     if rows.isEmpty():
+        tables.empty_part(spark, path, run.run_id, part)
         return False
     fitted = model.load(run.path("models"), pre_id, post_id)
     scores = model.pair_scores(
@@ -337,9 +346,7 @@ def score(spark: SparkSession, run: Run, pre_id: str) -> bool:
         run_id=run.run_id, pre_train_model_id=pre_id, post_train_model_id=post_id,
         created_at=run.now,
     )
-    # One model's scores of one block, or of all; scored again, they replace themselves.
-    part = f"{run.blocking_key or 'all'}-{post_id}"
-    tables.replace_part(scores, run.path("record_pair_match_score"), part)
+    tables.replace_part(scores, path, run.run_id, part)
     return True
 
 

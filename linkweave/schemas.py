@@ -57,6 +57,7 @@ RECORD = T.StructType(
         T.StructField("tess_modified_at", T.TimestampType()),
         T.StructField("import_process_id", T.StringType()),
         T.StructField("imported_at", T.TimestampType()),
+        T.StructField("sequence", T.LongType()),
     ]
     + [T.StructField(name, T.StringType()) for name in EXPORT_ATTRIBUTES]
 )
@@ -78,6 +79,7 @@ FEEDBACK = T.StructType(
         T.StructField("input_type", T.StringType()),
         T.StructField("import_process_id", T.StringType()),
         T.StructField("imported_at", T.TimestampType()),
+        T.StructField("sequence", T.LongType()),
     ]
 )
 

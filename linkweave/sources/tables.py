@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +15,14 @@ from linkweave.operators import importing, latest
 
 
 def read(spark: SparkSession, name_or_path: str, **params) -> DataFrame:
-    """A query with parameters, a parquet folder, or a catalogued table."""
+    """A query with parameters, a parquet folder or one of committed parts, or a catalogued table."""
     head = name_or_path.lstrip().split(None, 1)[0].lower()
     if head in ("select", "with"):
         return spark.sql(name_or_path, args=params or None)
-    if "/" in name_or_path:
-        return spark.read.parquet(name_or_path)
-    return spark.table(name_or_path)
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    parts = _parts(spark, name_or_path)
+    return spark.read.parquet(name_or_path) if parts is None else read_parts(spark, name_or_path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -128,6 +132,9 @@ def append_changes(
     different columns lie in one log and none is lost.
     """
     rows = df.withColumn("import_process_id", F.lit(batch_id))
+    if schema is not None and latest.SEQUENCE in schema.fieldNames():
+        # Stored with the rows: what an order by it says does not change from reader to reader.
+        rows = rows.withColumn(latest.SEQUENCE, F.monotonically_increasing_id())
     if schema is not None:
         rows = conform(rows, schema)
     (
@@ -145,24 +152,147 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.parquet(path)
 
 
-def replace_part(df: DataFrame, path: str, part: str) -> None:
-    """Write what a stage made for its runs; the same stage again replaces its own folder.
+def _part_path(path: str, run_id: str, part: str) -> str:
+    return f"{path}/run_id={quote(run_id, safe='')}/part={quote(part, safe='')}"
 
-    ``part`` tells apart what different calls of a stage write for one run.
+
+def _parts(spark: SparkSession, path: str) -> list[str] | None:
+    """Folder of the last complete version of each part; None where a path holds no parts."""
+    fs, Path = _filesystem(spark, path)
+    if not fs.globStatus(Path(f"{path}/run_id=*/part=*/v=*")):
+        return None
+    last: dict[str, int] = {}
+    for status in fs.globStatus(Path(f"{path}/run_id=*/part=*/v=*/_SUCCESS")) or []:
+        version = status.getPath().getParent()
+        part = version.getParent()
+        name = f"{path}/{part.getParent().getName()}/{part.getName()}"
+        last[name] = max(last.get(name, 0), int(version.getName()[2:]))
+    return [f"{name}/v={n}" for name, n in sorted(last.items())]
+
+
+def replace_part(df: DataFrame, path: str, run_id: str, part: str) -> None:
+    """Write what a stage made for a run; the same stage again replaces it, also by no rows.
+
+    ``part`` tells apart what different calls of a stage write for one run. Each write is a new
+    version beside the old one, and counts when its success marker is there: a write that dies half
+    way is not seen, and ``df`` may read the table.
     """
-    keys = ["run_id", "part"]
-    (
-        df.withColumn("part", F.lit(part)).hint("rebalance", *keys)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).parquet(path)
-    )
+    replace(df.drop("run_id", "part").hint("rebalance"), _part_path(path, run_id, part))
+
+
+def empty_part(spark: SparkSession, path: str, run_id: str, part: str) -> None:
+    """What a stage that found nothing leaves: no rows, also where it wrote some before."""
+    if _versions(spark, _part_path(path, run_id, part)):
+        replace_part(read_parts(spark, path).limit(0), path, run_id, part)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed parts, with run_id and part."""
+    folders = _parts(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"no complete part under {path}")
+    return spark.read.option("basePath", path).parquet(*folders).drop("v")
+
+
+#: Buckets of a snapshot, unless the writer names another number.
+BUCKETS = 64
 
 
 def read_latest(
     spark: SparkSession, path: str, keys: list[str], precombine: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Latest version per key of a change log; the later import wins a tie."""
-    return latest.latest_version(read_log(spark, path, schema), keys, precombine)
+    """Latest version per key of a change log; the later import wins a tie.
+
+    Where a snapshot is there, only imports that came after it are ranked and exchanged, and
+    merged into its buckets. A snapshot of files that an import has replaced since is passed over.
+    """
+    log = _log_files(spark, path)
+    snapshot = _snapshot(spark, path, log)
+    if snapshot is None:
+        return latest.latest_version(read_log(spark, path, schema), keys, precombine)
+    version, inside = snapshot
+    details = spark.read.json(f"{path}_snapshot/form/v={version}").first()
+    held = spark.table(_registered(spark, _snapshot_path(path, version), keys, details))
+    later = sorted(log - inside)
+    if not later:
+        return held
+    reader = (spark.read if schema is None else spark.read.schema(schema)).option("basePath", path)
+    new = latest.latest_version(reader.parquet(*later), keys, precombine)
+    # Dealt as the snapshot lies; else Spark would deal the side anew that has fewer parts.
+    return latest.merged(held, new.repartition(details["buckets"], *keys), keys, precombine)
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    keys: list[str],
+    precombine: str,
+    schema: T.StructType | None = None,
+    buckets: int = BUCKETS,
+) -> int:
+    """Write the current rows of a change log as its next snapshot, in buckets by key.
+
+    The snapshot counts when its success marker is there. With nothing new since the last one
+    nothing is written. Returns the number of the snapshot. One writer at a time.
+    """
+    log = _log_files(spark, path)
+    snapshot = _snapshot(spark, path, log)
+    if snapshot and snapshot[1] == log:
+        return snapshot[0]
+    root = f"{path}_snapshot"
+    version = max([0, *_versions(spark, f"{root}/files"), *_versions(spark, f"{root}/rows")]) + 1
+    rows = read_latest(spark, path, keys, precombine, schema)
+    spark.createDataFrame([(f,) for f in sorted(log)], "file STRING").write.mode("overwrite").parquet(f"{root}/files/v={version}")
+    target = _snapshot_path(path, version)
+    (
+        rows.repartition(buckets, *keys)
+        .write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", target)
+        .saveAsTable(_snapshot_name(target))
+    )
+    details = spark.createDataFrame([(buckets, rows.schema.json())], "buckets INT, form STRING")
+    details.write.mode("overwrite").json(f"{root}/form/v={version}")
+    return version
+
+
+def _snapshot_path(path: str, version: int) -> str:
+    return f"{path}_snapshot/rows/v={version}"
+
+
+def _snapshot_name(target: str) -> str:
+    return f"snapshot_{hashlib.md5(target.encode()).hexdigest()}"
+
+
+def _registered(spark: SparkSession, target: str, keys: list[str], details) -> str:
+    """The snapshot's name in the catalogue, which knows its buckets; entered where it is missing."""
+    name = _snapshot_name(target)
+    if not spark.catalog.tableExists(name):
+        form = T.StructType.fromJson(json.loads(details["form"]))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in form.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(keys)}) "
+            f"SORTED BY ({', '.join(keys)}) INTO {details['buckets']} BUCKETS LOCATION '{target}'"
+        )
+    return name
+
+
+def _log_files(spark: SparkSession, path: str) -> set[str]:
+    """The files of a change log; one per import and task, so their number follows the imports."""
+    fs, Path = _filesystem(spark, path)
+    files, found = fs.listFiles(Path(path), True), set()
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.endswith(".parquet") and "/_temporary/" not in name:
+            found.add(name)
+    return found
+
+
+def _snapshot(spark: SparkSession, path: str, log: set[str]) -> tuple[int, set[str]] | None:
+    """Number and files of the last complete snapshot, if all its files are still in the log."""
+    versions = set(_versions(spark, f"{path}_snapshot/rows")) & set(_versions(spark, f"{path}_snapshot/form"))
+    if not versions:
+        return None
+    inside = {r.file for r in spark.read.parquet(f"{path}_snapshot/files/v={max(versions)}").collect()}
+    return (max(versions), inside) if inside <= log else None
 
 
 def _filesystem(spark: SparkSession, path: str):

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from linkweave import schemas as S
+from linkweave.operators import latest
 from linkweave.sources import tables
 
 T0 = dt.datetime(2024, 1, 1)
@@ -82,8 +83,8 @@ def test_change_log_and_repeated_import(spark, tmp_path):
     for _ in range(2):  # the second import runs twice
         tables.append_changes(rows(spark, (1, 1, "c"), (3, 0, "d")), path, "p2")
     assert spark.read.parquet(path).count() == 4
-    latest = tables.read_latest(spark, path, S.RECORD_KEY, "tess_modified_at")
-    assert found(latest) == {(1, "c"), (2, "b"), (3, "d")}
+    current = tables.read_latest(spark, path, S.RECORD_KEY, "tess_modified_at")
+    assert found(current) == {(1, "c"), (2, "b"), (3, "d")}
 
 
 def test_upsert_of_a_stored_table(spark, tmp_path):
@@ -123,9 +124,105 @@ def test_conform_refuses_unknown_columns_and_other_types(spark):
     assert tables.conform(spark.sql("SELECT NULL AS city"), S.RECORD).schema["city"].dataType.simpleString() == "string"
 
 
+def counts(spark, path):
+    return {(r.run_id, r.part): r["count"] for r in tables.read(spark, path).groupBy("run_id", "part").count().collect()}
+
+
 def test_a_stage_replaces_its_own_part_only(spark, tmp_path):
     path = f"{tmp_path}/t"
     for run, part, n in (("r1", "a", 3), ("r1", "b", 2), ("r2", "a", 1), ("r1", "a", 4)):
-        tables.replace_part(spark.range(n).selectExpr("id", f"'{run}' AS run_id"), path, part)
-    found = {(r.run_id, r.part): r["count"] for r in spark.read.parquet(path).groupBy("run_id", "part").count().collect()}
-    assert found == {("r1", "a"): 4, ("r1", "b"): 2, ("r2", "a"): 1}
+        tables.replace_part(spark.range(n), path, run, part)
+    assert counts(spark, path) == {("r1", "a"): 4, ("r1", "b"): 2, ("r2", "a"): 1}
+
+
+def test_a_stage_that_finds_nothing_empties_its_part(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for run, part, n in (("r1", "a", 3), ("r/1 %", "b=c", 2)):
+        tables.replace_part(spark.range(n), path, run, part)
+    assert counts(spark, path) == {("r1", "a"): 3, ("r/1 %", "b=c"): 2}
+    tables.empty_part(spark, path, "r1", "a")
+    tables.empty_part(spark, path, "r1", "never written")
+    assert counts(spark, path) == {("r/1 %", "b=c"): 2}
+    tables.replace_part(spark.range(0), path, "r/1 %", "b=c")
+    assert counts(spark, path) == {} and tables.read(spark, path).columns == ["id", "run_id", "part"]
+
+
+def test_a_part_that_is_half_written_is_not_seen(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.replace_part(spark.range(3), path, "r1", "a")
+    half = Path(path) / "run_id=r1" / "part=a" / "v=2"
+    half.mkdir()
+    whole = next((Path(path) / "run_id=r1" / "part=a" / "v=1").glob("*.parquet"))
+    (half / "part-0.parquet").write_bytes(whole.read_bytes())
+    new = Path(path) / "run_id=r2" / "part=a" / "v=1"
+    new.mkdir(parents=True)
+    (new / "part-0.parquet").write_bytes(whole.read_bytes())
+    assert counts(spark, path) == {("r1", "a"): 3}
+    with pytest.raises(FileNotFoundError):
+        half_only = f"{tmp_path}/u"
+        (Path(half_only) / "run_id=r1" / "part=a" / "v=1").mkdir(parents=True)
+        tables.read(spark, half_only)
+
+
+def records(spark, *values):
+    return spark.createDataFrame(
+        [("pm", i, T0 + dt.timedelta(days=d), v) for i, d, v in values],
+        "record_type STRING, record_id BIGINT, tess_modified_at TIMESTAMP, first_name STRING",
+    )
+
+
+def test_ties_within_one_import_have_one_winner(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    many = records(spark, *[(i % 50, 0, f"v{i}") for i in range(1000)]).repartition(8)
+    tables.append_changes(many, path, "p1", schema=S.RECORD)
+    log = tables.read_log(spark, path, S.RECORD)
+    assert log.select("sequence").distinct().count() == 1000
+    winners = {r.record_id: r.first_name for r in tables.read_latest(spark, path, S.RECORD_KEY, "tess_modified_at", S.RECORD).collect()}
+    by_sequence = {}
+    for r in sorted(log.collect(), key=lambda r: r.sequence):
+        by_sequence[r.record_id] = r.first_name
+    assert winners == by_sequence
+    narrow = tables.read_latest(spark, path, S.RECORD_KEY, "tess_modified_at", S.RECORD).select(*S.RECORD_KEY, "first_name")
+    for _ in range(2):
+        assert {r.record_id: r.first_name for r in narrow.repartition(3).collect()} == winners
+    scan = narrow._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert "last_name" not in scan and "imported_at:timestamp,seque" in scan
+
+
+def test_snapshot_and_later_imports(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    args = (path, S.RECORD_KEY, "tess_modified_at", S.RECORD)
+
+    def current():
+        return {(r.record_id, r.first_name) for r in tables.read_latest(spark, *args).collect()}
+
+    def whole():
+        log = tables.read_log(spark, path, S.RECORD)
+        return {(r.record_id, r.first_name) for r in latest.latest_version(log, S.RECORD_KEY, "tess_modified_at").collect()}
+
+    tables.append_changes(records(spark, (1, 0, "a"), (2, 5, "b"), (3, 0, "c"), (3, 0, "d")), path, "p1", schema=S.RECORD)
+    assert tables.compact(spark, *args, buckets=4) == 1
+    assert tables.compact(spark, *args, buckets=4) == 1
+    assert current() == whole()
+    tables.append_changes(records(spark, (1, 1, "newer"), (2, 4, "older"), (3, 0, "later"), (4, 0, "e")), path, "p2", schema=S.RECORD)
+    assert current() == whole() == {(1, "newer"), (2, "b"), (3, "later"), (4, "e")}
+    plan = tables.read_latest(spark, *args)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "FileScan" in line and "Bucketed: true" in line)
+    depth, above = plan[at].index("FileScan"), []
+    for line in reversed(plan[:at]):
+        here = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if here < depth:
+            depth = here
+            above.append(line)
+    assert not any("Exchange" in line for line in above) and any("SortMergeJoin" in line for line in above)
+    # The catalogue of another session does not know the snapshot.
+    spark.sql(f"DROP TABLE {tables._snapshot_name(tables._snapshot_path(path, 1))}")
+    assert current() == whole()
+    # An import that is run again replaces files that the snapshot holds: it is passed over.
+    tables.append_changes(records(spark, (1, 9, "again")), path, "p1", schema=S.RECORD)
+    assert current() == whole() == {(1, "again"), (2, "older"), (3, "later"), (4, "e")}
+    assert tables.compact(spark, *args, buckets=4) == 2
+    assert current() == whole()
+    # A snapshot that died half way is not seen.
+    (Path(f"{path}_snapshot") / "rows" / "v=3").mkdir()
+    assert current() == whole()
