@@ -44,6 +44,64 @@ def _accented_letters() -> tuple[str, str]:
 
 
 ACCENTED, PLAIN = _accented_letters()
+
+#: Blocks of lower-case or caseless letters whose Unicode names spell their sounds.
+NAMED_SCRIPTS = {
+    "GREEK SMALL LETTER ": range(0x0370, 0x0400),
+    "CYRILLIC SMALL LETTER ": range(0x0400, 0x0530),
+    "HEBREW LETTER ": range(0x05D0, 0x05F3),
+    "ARABIC LETTER ": range(0x0620, 0x06D4),
+    "HIRAGANA LETTER ": range(0x3041, 0x3097),
+    "KATAKANA LETTER ": range(0x30A1, 0x30FB),
+}
+#: First words of such names that say how a letter is written, not how it sounds.
+_FORMS = ("FINAL ", "SMALL ", "BYELORUSSIAN-UKRAINIAN ", "UKRAINIAN ", "SHORT ", "DOTLESS ")
+
+
+def _sounding(name: str) -> str:
+    """The letter that a letter's name begins to spell; of names such as EN and ES the consonant."""
+    for form in _FORMS:
+        name = name.removeprefix(form)
+    word = name.split()[0].lower() if name.split() else ""
+    if word == "ie":
+        return "e"
+    if len(word) == 2 and word[0] == "e" and word[1] not in "aeiou":
+        return word[1]
+    return word[:1]
+
+
+def _named_letters() -> tuple[str, str]:
+    """Letters of other alphabets, and the Latin letter that stands for each."""
+    letters, plain = [], []
+    for start, codes in NAMED_SCRIPTS.items():
+        for code in codes:
+            # A letter with marks sounds as the letter under them.
+            base = unicodedata.normalize("NFD", chr(code))[0]
+            name = unicodedata.name(base, "")
+            sound = _sounding(name[len(start):]) if name.startswith(start) else ""
+            # Signs without a sound of their own begin no name.
+            if "a" <= sound <= "z" and "SIGN" not in name:
+                letters.append(chr(code))
+                plain.append(sound)
+    return "".join(letters), "".join(plain)
+
+
+OTHER_LETTERS, OTHER_PLAIN = _named_letters()
+
+
+def _hangul_initials() -> str:
+    """The Latin letter of each first consonant of a syllable; the silent one is a blank."""
+    names = [unicodedata.name(chr(0x1100 + i)).split()[-1] for i in range(19)]
+    return "".join(" " if n == "IEUNG" else n.removeprefix("SSANG")[0].lower() for n in names)
+
+
+def _hangul_vowels() -> str:
+    return "".join(unicodedata.name(chr(0x1161 + i)).split()[-1][0].lower() for i in range(21))
+
+
+HANGUL_INITIALS, HANGUL_VOWELS = _hangul_initials(), _hangul_vowels()
+#: Syllables are numbered by first consonant, vowel and last consonant.
+HANGUL_FIRST, HANGUL_LAST, PER_INITIAL, PER_VOWEL = 0xAC00, 0xD7A3, 588, 28
 INITIALS = "".join(spelling[0] for spelling in LONG_SPELLINGS.values())
 
 
@@ -60,9 +118,14 @@ def ascii_name_sql(column: str) -> str:
 
 
 def block_key_sql(column: str) -> str:
-    letters = ACCENTED + "".join(LONG_SPELLINGS)
-    name = f"translate({_lower_name(column)}, '{letters}', '{PLAIN + INITIALS}')"
-    return f"nullif(regexp_extract({name}, '[a-z -]', 0), '')"
+    letters = ACCENTED + "".join(LONG_SPELLINGS) + OTHER_LETTERS
+    name = f"translate({_lower_name(column)}, '{letters}', '{PLAIN + INITIALS + OTHER_PLAIN}')"
+    first = f"regexp_extract({name}, '[a-z -]|[{chr(HANGUL_FIRST)}-{chr(HANGUL_LAST)}]', 0)"
+    at = f"(ascii({first}) - {HANGUL_FIRST})"
+    initial = f"substr('{HANGUL_INITIALS}', {at} DIV {PER_INITIAL} + 1, 1)"
+    vowel = f"substr('{HANGUL_VOWELS}', {at} % {PER_INITIAL} DIV {PER_VOWEL} + 1, 1)"
+    syllable = f"if({initial} = ' ', {vowel}, {initial})"
+    return f"nullif(if({first} >= '{chr(HANGUL_FIRST)}', {syllable}, {first}), '')"
 
 
 def ascii_name(column: str) -> Column:
@@ -74,9 +137,11 @@ def ascii_name(column: str) -> Column:
 
 
 def block_key(column: str) -> Column:
-    """First character of the ASCII name; NULL when nothing is left of it.
+    """First character of the name in ASCII; NULL when nothing is left of it.
 
-    Only the first letter of a long spelling can matter, so one translation does.
+    Only the first letter of a long spelling can matter, so one translation does. Greek, Cyrillic,
+    Hebrew, Arabic, kana and Hangul have the letter that the Unicode name of theirs spells, so
+    keys stay a to z; scripts whose signs have no such names, as Han, give none.
     """
     return F.expr(block_key_sql(column))
 

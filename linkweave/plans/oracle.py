@@ -343,6 +343,9 @@ BODIES = {
         JOIN typed_names t ON t.record_type = 'pm' AND t.record_id = p.target_id
         WHERE greatest(length(s.name), length(t.name)) > 0
           AND levenshtein(s.name, t.name) * 100 <= 20 * greatest(length(s.name), length(t.name))""",
+    "block_key_scripts": f"""
+        SELECT record_type, record_id, script, {_key('first_name')} AS block FROM record
+        CROSS JOIN (VALUES ('greek'), ('cyrillic'), ('hebrew'), ('arabic'), ('katakana'), ('hangul')) v(script)""",
     "ties_within_import": """
         SELECT record_type, record_id, CASE WHEN record_id % 3 = 0 THEN 'second' ELSE last_name END AS last_name FROM record""",
     "compacted_records": """

@@ -407,6 +407,30 @@ def block_key(spark, sf):
     )
 
 
+#: Letters, and those of other scripts that sound so.
+SCRIPTS = {
+    "greek": ("abgdezklmnxoprst", "αβγδεζκλμνξοπρστ"),
+    "cyrillic": ("abvgdezklmnoprstuf", "абвгдезклмнопрстуф"),
+    "hebrew": ("abgdhvzklmnpqrst", "אבגדהוזכלמנפקרשת"),
+    "arabic": ("abtjhkdrzsfqlmnwy", "ابتجحخدرزسفقلمنوي"),
+    "katakana": ("akstnhmyrw", "アカサタナハマヤラワ"),
+    "hangul": ("kntrmpschaou", "가나다라마바사자하아오우"),
+}
+
+
+@query
+def block_key_scripts(spark, sf):
+    """Keys of first names whose first letter stands in another script: those of the names in Latin."""
+    latin = fx.record(spark, sf).select(*S.RECORD_KEY, text.block_key("first_name").alias("latin"))
+    written = F.array(*[
+        F.struct(F.lit(name).alias("script"), F.translate("latin", plain, letters).alias("name"))
+        for name, (plain, letters) in SCRIPTS.items()
+    ])
+    return latin.select(*S.RECORD_KEY, F.explode(written).alias("w")).select(
+        *S.RECORD_KEY, "w.script", F.col("w.name").alias("name")
+    ).select(*S.RECORD_KEY, "script", text.block_key("name").alias("block"))
+
+
 @query
 def blocks(spark, sf):
     return fx.block_record(spark, sf)

@@ -95,12 +95,17 @@ def run_import(
     record_type: str,
     source: Callable[[object, object], DataFrame],
     initial: dt.datetime | None = None,
+    next_key: Callable[[object], object] | None = None,
 ) -> dict[str, int]:
     """Import the next range of a type: mark, range, bounded read, records and blocks.
 
     ``source`` gives the rows between two bounds, such as ``tables.read_database_range``
     or a filter on a folder. Returns the numbers of records and blocks stored, 0 where the
     range is empty; also an empty range moves the mark, but never beyond the time of the run.
+
+    ``next_key`` gives the smallest key above a bound, or None. Where a range of ids is empty it
+    is asked once, and the range before that key is read instead: no gap stops the import. Ids
+    that are not there yet move no mark.
     """
     key = S.IMPORT_KEYS[record_type]
     column = "passed_id" if key == "record_id" else "passed_at"
@@ -113,9 +118,16 @@ def run_import(
     if tables.exists(spark, run.path("record")):
         held = tables.read_log(spark, run.path("record"), S.RECORD)
     start, end = importing.import_range(held, record_type, initial, passed)
-    rows = source(start, end)
     counts = {"records": 0, "blocks": 0}
-    if import_records(spark, run, rows.where(importing.between(rows, key, start, end)), record_type):
+
+    def taken_in(start, end) -> bool:
+        rows = source(start, end)
+        return import_records(spark, run, rows.where(importing.between(rows, key, start, end)), record_type)
+
+    found = taken_in(start, end)
+    if not found and key == "record_id" and next_key is not None and (beyond := next_key(end)) is not None:
+        found = taken_in(int(beyond) - 1, int(beyond) - 1 + S.IMPORT_ID_SPAN)
+    if found:
         of_import = F.col("import_process_id") == f"{run.process_id}-{record_type}"
         for name, table in (("records", "record"), ("blocks", "block_record")):
             counts[name] = tables.read(spark, run.path(table)).where(of_import).count()

@@ -48,10 +48,16 @@ def _literal(value) -> str:
     return str(int(value))
 
 
-def range_predicates(key: str, start, end, parts: int) -> list[str]:
-    """``(start, end]`` cut into WHERE clauses, one per parallel database read."""
-    step = (end - start) / parts
-    bounds = [start + step * i for i in range(parts)] + [end]
+def range_predicates(key: str, start, end, parts: int, cuts: list | None = None) -> list[str]:
+    """``(start, end]`` cut into WHERE clauses, one per parallel database read.
+
+    ``cuts`` are the bounds between the parts, as ``quantile_cuts`` finds them; without them
+    the parts are of equal width.
+    """
+    if cuts is None:
+        step = (end - start) / parts
+        cuts = [start + step * i for i in range(1, parts)]
+    bounds = [start, *cuts, end]
     if not isinstance(start, dt.datetime):
         bounds = [int(b) for b in bounds]
     return [
@@ -61,11 +67,31 @@ def range_predicates(key: str, start, end, parts: int) -> list[str]:
     ]
 
 
+def quantile_cuts(keys: DataFrame, key: str, start, end, parts: int, accuracy: int = 10_000) -> list:
+    """Bounds that cut the rows in ``(start, end]`` into parts of nearly equal numbers.
+
+    ``keys`` may be the source's key column alone: one pass over it, a sketch of bounded size.
+    """
+    is_time = isinstance(start, dt.datetime)
+    inside = keys.where(importing.between(keys, key, start, end))
+    number = F.unix_micros(F.col(key).cast("timestamp")) if is_time else F.col(key)
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = inside.agg(F.percentile_approx(number, shares, accuracy)).first()[0] or []
+    if is_time:
+        return [dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=n) for n in sorted(set(found))]
+    return sorted(set(found))
+
+
 def read_database_range(
-    spark: SparkSession, url: str, table: str, key: str, start, end, parts: int = 32, **options
+    spark: SparkSession, url: str, table: str, key: str, start, end, parts: int = 32,
+    keys: DataFrame | None = None, **options
 ) -> DataFrame:
-    """Range of a database table, read in parallel by range predicates."""
-    predicates = range_predicates(key, start, end, parts)
+    """Range of a database table, read in parallel by range predicates.
+
+    ``keys`` is the table's key column, where parts are to hold equal numbers of rows.
+    """
+    cuts = None if keys is None else quantile_cuts(keys, key, start, end, parts)
+    predicates = range_predicates(key, start, end, parts, cuts)
     return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 

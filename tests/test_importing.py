@@ -64,3 +64,22 @@ def test_range_predicates_cover_the_range_once():
         "t > '2024-01-01 00:00:00.000' AND t <= '2024-01-02 00:00:00.000'",
         "t > '2024-01-02 00:00:00.000' AND t <= '2024-01-03 00:00:00.000'",
     ]
+
+
+def test_cuts_follow_the_rows(spark):
+    """99 % of the ids lie in 1 % of the span; parts still hold like numbers, each id once."""
+    keys = spark.range(20000).selectExpr("if(id % 100 = 0, id * 50, 500000 + id % 10000) AS record_id")
+    cuts = tables.quantile_cuts(keys, "record_id", 1, 1_000_000, 8)
+    parts = [keys.where(p).count() for p in tables.range_predicates("record_id", 1, 1_000_000, 8, cuts)]
+    assert len(parts) == 8 and sum(parts) == keys.where("record_id > 1 AND record_id <= 1000000").count()
+    assert max(parts) <= 2 * min(parts)
+    assert tables.quantile_cuts(keys.limit(0), "record_id", 1, 10, 4) == []
+    assert len(tables.range_predicates("record_id", 1, 10, 4, [])) == 1
+
+
+def test_cuts_of_times(spark):
+    times = spark.range(1000).selectExpr("timestamp_seconds(1704067200 + if(id < 990, id, id * 1000)) AS t")
+    end = T0 + dt.timedelta(days=14)
+    cuts = tables.quantile_cuts(times, "t", T0, end, 4)
+    parts = [times.where(p).count() for p in tables.range_predicates("t", T0, end, 4, cuts)]
+    assert sum(parts) == 999 and max(parts) <= 2 * min(parts)

@@ -175,6 +175,23 @@ def test_import_stage_moves_on_over_empty_ranges(spark, tmp_path):
     assert max(start for start, _ in asked) <= NOW
 
 
+def test_a_gap_in_the_ids_is_crossed(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.createDataFrame(
+        [(i, "a", NOW) for i in (2, 3, 10_000_500, 10_000_900)], "record_id BIGINT, first_name STRING, tess_modified_at TIMESTAMP"
+    )
+
+    def next_key(bound):
+        return rows.where(F.col("record_id") > bound).agg(F.min("record_id")).first()[0]
+
+    counts = []
+    for i in range(4):
+        run = stages.Run(base, "r1", f"p{i}", now=NOW)
+        counts.append(stages.run_import(spark, run, "pm", lambda start, end: rows, next_key=next_key)["records"])
+    assert counts == [2, 2, 0, 0]
+    assert {r.record_id for r in stages.records(spark, run).collect()} == {2, 3, 10_000_500, 10_000_900}
+
+
 def test_backfill_without_a_group_table(spark, tmp_path):
     run = stages.Run(str(tmp_path), "r1", "p1", now=NOW)
     for kind, seed in (("gpo", 1), ("pm", 2)):

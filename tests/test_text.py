@@ -15,6 +15,12 @@ def test_block_key_edges(spark):
     assert values(spark, text.block_key("c"), inputs) == expected
 
 
+def test_block_key_of_other_scripts(spark):
+    inputs = ["Жанна", "Щукин", "Эмма", "Юрий", "ёлка", "Ωμέγα", "Άννα", "שרה", "محمد", "ちえこ", "ガ", "김", "이", "우", "박", "꽃", "한", "漢", "1김"]
+    expected = ["z", "s", "e", "y", "e", "o", "a", "s", "m", "t", "k", "k", "i", "u", "p", "k", "h", None, "k"]
+    assert values(spark, text.block_key("c"), inputs) == expected
+
+
 def test_ascii_name(spark):
     inputs = ["Straße", "Łódź", "Ñandú-Pérez", "Ærø", "Nguyễn", "anull b", None]
     expected = ["strasse", "lodz", "nandu-perez", "aero", "nguyen", "a b", None]
