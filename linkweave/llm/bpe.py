@@ -8,8 +8,9 @@ lists of the pairs beside a merge are changed. Words do not touch, so every word
 as if it had been encoded alone.
 
 Null and empty texts have no ids and decode to the empty string. Rows are taken one by
-one: repeated rows and null ids give rows of their own, an empty table none. Code points
-that Unicode 15.1 does not assign count as signs.
+one: repeated rows and null ids give rows of their own, an empty table none. Whole texts are
+encoded, however long. Of code points that Python's Unicode tables do not know, the library's own
+say how they are normalised and whether they are letters.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from linkweave.llm.common import chunks, pick
 
@@ -72,6 +74,8 @@ class Words:
         self.tokens_of: dict[str, str] = {}
         self.long = False
         self.assigned: set[str] = set()
+        self.kinds: dict[str, str] = {}
+        self.path = path
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         if not words:
@@ -83,20 +87,38 @@ class Words:
         ids[ends - 1] = self.last[raw[ends - 1]]
         return merge_all(ids, np.concatenate([[0], ends[:-1]]), self.merges)
 
+    def free_in(self, text: str) -> set[str]:
+        """The text's code points that Python's Unicode tables do not assign; the library's may."""
+        if text.isascii() or self.assigned.issuperset(text):
+            return set()
+        met = set(text) - self.assigned
+        free = {c for c in met if unicodedata.category(c) == "Cn"}
+        self.assigned.update(met - free)
+        return free
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def kind(self, c: str) -> str:
+        """A letter, digit or sign that stands for a code point which only the library may know."""
+        if c not in self.kinds:
+            def parts(text: str) -> int:
+                return len(self.library.pre_tokenizer.pre_tokenize_str(text))
+
+            self.kinds[c] = "a" if parts("a" + c) == 1 else "\u2603" if parts("!" + c) == 1 else "1"
+        return self.kinds[c]
+
     def words_in(self, piece: str) -> list[str]:
         """The words of a piece without white space."""
-        if not piece.isascii() and not self.assigned.issuperset(piece):
-            free = {c for c in piece if unicodedata.category(c) == "Cn"}
-            self.assigned.update(set(piece) - free)
-            if free:
-                # To the vocabulary's pattern a code point that is not assigned is a sign.
-                known = "".join("\u2603" if c in free else c for c in piece)
-                return [piece[m.start():m.end()] for m in self.word.finditer(known)]
+        if free := self.free_in(piece):
+            known = "".join(self.kind(c) if c in free else c for c in piece)
+            return [piece[m.start():m.end()] for m in self.word.finditer(known)]
         return self.word.findall(piece)
 
     def pieces(self, text: str) -> list[str]:
         """The text's parts between white space, in normal form; no word reaches beyond one."""
-        text = normal(text)
+        text = self.library.normalizer.normalize_str(text) if self.free_in(text) else normal(text)
         if not any(c in text for c in SEPARATORS):
             return text.split()
         # To the pattern these are signs, to Python white space.

@@ -51,6 +51,18 @@ def test_odd_texts_as_the_library(library, text):
     assert tokens == library.decode(found, skip_special_tokens=False)
 
 
+def test_every_code_point_as_the_library(library):
+    """Alone and between letters; also those that newer Unicode versions have added."""
+    codes = [chr(c) for c in range(0x40000) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0xE0000, 0xE01F0)]
+    words = bpe.words_of(PATH)
+    for start in range(0, len(codes), 4096):
+        texts = [f"x{c}y {c}{c} 1{c}" for c in codes[start:start + 4096]]
+        found = library.encode_batch(texts, add_special_tokens=False)
+        for text, (ids, _), wanted in zip(texts, bpe.encode_texts(texts, words), found, strict=True):
+            assert ids == " ".join(map(str, wanted.ids)), ascii(text)
+        words.forget()
+
+
 def test_index_against_one_word_at_a_time():
     """The index over many words gives what merging each word alone gives."""
     words = bpe.words_of(PATH)
