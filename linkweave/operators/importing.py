@@ -61,7 +61,10 @@ def import_range(
     return start, start + dt.timedelta(days=S.IMPORT_DAY_SPAN)
 
 
-def feedback_range(stored: DataFrame, input_type: str, target_type: str = "pm") -> tuple:
+def feedback_range(
+    stored: DataFrame, input_type: str, target_type: str = "pm", passed: dt.datetime | None = None
+) -> tuple:
+    """Start and end of the next feedback import; ``passed`` as in ``import_range``."""
     mark = (
         stored.where(
             (F.col("input_type") == input_type) & (F.col("target_type") == target_type)
@@ -69,7 +72,8 @@ def feedback_range(stored: DataFrame, input_type: str, target_type: str = "pm")
         .agg(F.max("tess_modified_at"))
         .first()[0]
     )
-    start = mark or dt.datetime.fromisoformat(S.FEEDBACK_START)
+    marks = [m for m in (mark, passed) if m is not None]
+    start = max(marks, default=dt.datetime.fromisoformat(S.FEEDBACK_START))
     return start, start + dt.timedelta(days=S.FEEDBACK_DAY_SPAN)
 
 

@@ -7,8 +7,8 @@ import json
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +39,6 @@ def random_forest(features: list[str]) -> Pipeline:
     )
 
 
-# A model is a function from feature columns to an unfitted pipeline.
-MODELS: dict[str, Callable[[list[str]], Pipeline]] = {"random_forest": random_forest}
-
-
 # A documented model with fixed weights: log odds by agreeing attribute. The weights are
 # sums of powers of two, so equal agreements have exactly equal scores in any order.
 FIXED_INTERCEPT = -2.0
@@ -54,6 +50,39 @@ FIXED_WEIGHTS = {
     "npi": 4.0,
     "organization_name": 0.75,
 }
+#: Log odds of a name that agrees letter by letter; a near one has its share.
+FIXED_SCORE_WEIGHT = 2.0
+
+
+def _fixed_weight(column: str) -> float:
+    if column.endswith("name_match_score"):
+        return FIXED_SCORE_WEIGHT
+    for attribute, weight in FIXED_WEIGHTS.items():
+        if column.endswith(f"_{attribute}_match"):
+            return weight
+    raise ValueError(f"the model of fixed weights has none for {column!r}")
+
+
+def fixed_logistic(features: list[str]) -> Pipeline:
+    """Logistic model with the fixed weights: learns nothing, and scores alike everywhere."""
+    odds = " + ".join([f"{FIXED_INTERCEPT}D", *(f"{_fixed_weight(c)}D * `{c}`" for c in features)])
+    return Pipeline(
+        stages=[
+            SQLTransformer(statement=f"SELECT *, {odds} AS _odds FROM __THIS__"),
+            SQLTransformer(
+                statement="SELECT *, CAST(_odds > 0 AS DOUBLE) AS _prediction, 1 / (1 + exp(_odds)) AS _p0, "
+                "1 / (1 + exp(-_odds)) AS _p1 FROM __THIS__"
+            ),
+            VectorAssembler(inputCols=["_p0", "_p1"], outputCol="_probability"),
+        ]
+    )
+
+
+# A model is a function from feature columns to an unfitted pipeline.
+MODELS: dict[str, Callable[[list[str]], Pipeline]] = {
+    "random_forest": random_forest,
+    "fixed_logistic": fixed_logistic,
+}
 
 
 def feature_columns(features: list[str]) -> list[str]:
@@ -67,7 +96,10 @@ def _labelled(training: DataFrame, label: str) -> DataFrame:
 def fit(
     training: DataFrame, features: list[str], label: str = "is_match", model: str = "random_forest"
 ) -> PipelineModel:
-    return MODELS[model](feature_columns(features)).fit(_labelled(training, label))
+    fitted = MODELS[model](feature_columns(features)).fit(_labelled(training, label))
+    # The copy leaves the training summary behind. It holds the session, which cannot go into
+    # tasks once rows were observed in it.
+    return fitted.copy()
 
 
 def accuracy(fitted: PipelineModel, training: DataFrame, label: str = "is_match") -> DataFrame:
@@ -89,13 +121,16 @@ def _digest(value: str) -> str:
     return hashlib.sha256(value.encode()).hexdigest()
 
 
-def model_code_hash(pipeline: Pipeline) -> str:
-    """Hash of the stages and their explicit parameters."""
-    stages = [
-        [type(stage).__name__, {p.name: repr(v) for p, v in stage._paramMap.items()}]
-        for stage in pipeline.getStages()
+def _stages_hash(stages: list) -> str:
+    """Hash of stages and their explicit parameters."""
+    named = [
+        [type(stage).__name__, {p.name: repr(v) for p, v in stage._paramMap.items()}] for stage in stages
     ]
-    return _digest(json.dumps(stages, sort_keys=True))
+    return _digest(json.dumps(named, sort_keys=True))
+
+
+def model_code_hash(pipeline: Pipeline) -> str:
+    return _stages_hash(pipeline.getStages())
 
 
 def pre_train_model_id(pipeline: Pipeline, features: list[str], label: str = "is_match") -> str:
@@ -135,8 +170,12 @@ def post_train_model_id(fitted: PipelineModel) -> str:
     """Hash of the fitted trees, their weights and the order of their inputs.
 
     The nodes are read as Spark saves them and hashed by Spark: no tree passes the driver.
+    A model without trees is what its stages' parameters say.
     """
-    assembler, forest = fitted.stages
+    forest = fitted.stages[-1]
+    if not isinstance(forest, RandomForestClassificationModel):
+        return _stages_hash(fitted.stages)
+    assembler = fitted.stages[0]
     shape = [assembler.getInputCols(), list(forest.treeWeights), nodes_digest(tree_nodes(fitted))]
     return _digest(json.dumps(shape))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.operators.lookup import lookup_join
+from linkweave.session import stored
 
 # Fixed value: words of two or more letters, digits or underscores.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -76,40 +77,51 @@ def tfidf(
     column: str,
     analyzer: str = "word",
     min_df: int | float = 1,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Term weights n * (ln((1 + texts) / (1 + df)) + 1), scaled to length 1 per text."""
+    """Term weights n * (ln((1 + texts) / (1 + df)) + 1), scaled to length 1 per text.
+
+    Rarity comes from all texts. With ``only``, a table of keys, the texts named there alone
+    are weighted.
+    """
     counts = term_counts(texts, key, column, analyzer, min_df)
     total = texts.agg(F.count(F.lit(1))).scalar().cast("double")
     rarity = _document_frequency(counts).select(
         "term", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("idf")
     )
-    raw = lookup_join(counts, rarity, ["term"]).withColumn("w", F.col("n") * F.col("idf"))
+    weighted = counts if only is None else counts.join(only.select(key).distinct(), key, "left_semi")
+    raw = lookup_join(weighted, rarity, ["term"]).withColumn("w", F.col("n") * F.col("idf"))
     # The window holds the terms of one text, no more.
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / length).alias("weight"))
 
 
+def packed(weights: DataFrame, key: str) -> DataFrame:
+    """One row per text: its terms in order, with their weights."""
+    return weights.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("vector")
+    )
+
+
+def _dot(left: str, right: str) -> Column:
+    """Dot product of two packed vectors: of both together in order, equal terms are neighbours."""
+    return F.expr(
+        f"transform(array(array_sort(concat({left}, {right}))), both -> aggregate("
+        "zip_with(both, slice(both, 2, size(both)), (x, y) -> if(x.term = y.term, x.weight * y.weight, 0.0D)), "
+        "0.0D, (total, z) -> total + z))[0]"
+    )
+
+
 def pair_cosine(pairs: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """Cosine of the two texts of each given pair; 0.0 where no term is shared.
 
-    ``weights`` are unit vectors in long form, keyed by record id. They are read for
-    either side, so store them first.
+    ``weights`` are unit vectors in long form, keyed by record id. Each text's vector is packed
+    into one row, so a pair stays one row throughout. Packed vectors are read for either side,
+    so they are stored first.
     """
-    source = weights.select(
-        F.col(key).alias("source_id"), "term", F.col("weight").alias("ws")
-    )
-    target = weights.select(
-        F.col(key).alias("target_id"), "term", F.col("weight").alias("wt")
-    )
-    shared = (
-        lookup_join(
-            lookup_join(pairs.select(*S.PAIR_KEY), source, ["source_id"]),
-            target,
-            ["target_id", "term"],
-        )
-        .groupBy(*S.PAIR_KEY)
-        .agg(F.sum(F.col("ws") * F.col("wt")).alias("cosine"))
-    )
-    return pairs.join(shared, S.PAIR_KEY, "left").withColumn(
-        "cosine", F.coalesce("cosine", F.lit(0.0))
-    )
+    vectors = stored(packed(weights, key))
+    source = vectors.select(F.col(key).alias("source_id"), F.col("vector").alias("_vs"))
+    target = vectors.select(F.col(key).alias("target_id"), F.col("vector").alias("_vt"))
+    both = lookup_join(lookup_join(pairs, source, ["source_id"], "left"), target, ["target_id"], "left")
+    # A text without terms has no vector.
+    return both.withColumn("cosine", F.coalesce(_dot("_vs", "_vt"), F.lit(0.0))).drop("_vs", "_vt")

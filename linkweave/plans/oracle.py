@@ -284,6 +284,10 @@ _A = "ds_combined_score, source_id, target_id, collection_source_id_src"
 _ALLOWED = "coalesce(collection_source_id_src NOT IN (17, 42, 44, 66, 108, 120, 122), true)"
 _LOW = "(ds_combined_score < 0.2 OR ds_combined_score IS NULL)"
 
+_ODDS = f"({model.FIXED_INTERCEPT} + {model.FIXED_SCORE_WEIGHT} * fg_legacy_name_match_score" + "".join(
+    f" + {model.FIXED_WEIGHTS[a]} * fg_legacy_{a}_match" for a in ("first_name", "last_name", "npi")
+) + ")"
+
 BODIES = {
     "watermark_max": """
         SELECT record_type, max(tess_modified_at) AS last_modified_at, max(record_id) AS last_record_id
@@ -474,7 +478,28 @@ BODIES = {
                CASE WHEN first_name IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY first_name) END AS f_name_freq,
                CASE WHEN last_name IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY last_name) END AS l_name_freq
         FROM record WHERE record_type = 'gpo'""",
-    "registry_append": "SELECT * FROM pre_train_model",
+    "registry_append": """
+        SELECT * REPLACE (CASE WHEN pre_train_model_id IN (SELECT pre_train_model_id FROM run_model_inference WHERE is_primary)
+                               THEN model_code_hash ELSE model_code_hash || '-new' END AS model_code_hash)
+        FROM pre_train_model""",
+    "fixed_accuracy": f"""
+        SELECT count(*) AS n, round(avg(CASE WHEN ({_ODDS} > 0) = is_match THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+        FROM sampled""",
+    "fixed_scores": f"""
+        SELECT {PAIR}, round(1.0 / (1.0 + exp(-{_ODDS})), 6) AS score, 'run_1' AS run_id
+        FROM (SELECT {PAIR}, {', '.join(f'{c} AS fg_legacy_{c}' for c in MODEL_COLUMNS)} FROM pair_features) f WHERE EXISTS (
+          SELECT 1 FROM block_record s JOIN block_record t ON s.block = t.block
+          WHERE s.record_type = f.source_type AND s.record_id = f.source_id AND t.record_type = f.target_type
+            AND t.record_id = f.target_id AND s.block BETWEEN 'a' AND 'z')""",
+    "import_stage_rows": """
+        SELECT record_type, record_id, first_name, nullif(last_name, 'null') AS last_name,
+               CASE record_type WHEN 'pm' THEN TIMESTAMP '2030-01-01 00:00:00' ELSE tess_modified_at END AS tess_modified_at
+        FROM record_version WHERE record_type = 'gpo' OR record_id > 1""",
+    "feedback_stage_rows": f"SELECT {PAIR}, is_match, tess_modified_at, 'gpo' AS input_type FROM feedback",
+    "stage_counts": """
+        SELECT 'import-p1-' || record_type AS stage, 'records' AS name, count(*) AS n FROM record GROUP BY record_type
+        UNION ALL SELECT 'import-p1-' || record_type, 'blocks', count(*) FROM block_record GROUP BY record_type
+        UNION ALL SELECT 'feedback-p1-gpo', 'feedback', count(*) FROM feedback""",
     "split_counts": """
         SELECT collection_source_id_src, count(*) AS n_rows, count(DISTINCT source_id) AS n_sources FROM assembly
         WHERE ds_combined_score >= 0.2 AND collection_source_id_src IS DISTINCT FROM 0 GROUP BY 1""",

@@ -29,6 +29,7 @@ from linkweave.operators import (
     vectors,
 )
 from linkweave.plans import fixtures as fx
+from linkweave.plans import stages
 from linkweave.session import new_path, stored
 from linkweave.sources import tables
 
@@ -36,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 NEW_SCHEMA = '{"a":"x","b":[1,2]}'
 CREATED = dt.datetime(2024, 3, 1)
+IMPORTED = dt.datetime(2030, 1, 1)
 
 
 def query(function):
@@ -615,7 +617,9 @@ def registry_append(spark, sf):
     models = fx.pre_train_model(spark, sf)
     held = fx.run_model_inference(spark, sf).where("is_primary").select("pre_train_model_id")
     stored = models.join(held, "pre_train_model_id", "left_semi").select(*models.columns)
-    return training.append_pre_train(stored, models)
+    # Of models held already the registry keeps its own rows.
+    changed = models.withColumn("model_code_hash", F.concat("model_code_hash", F.lit("-new")))
+    return training.append_pre_train(stored, changed)
 
 
 @query
@@ -715,10 +719,7 @@ def tfidf_terms(spark, sf):
 def pair_cosine(spark, sf):
     pairs = fx.feedback(spark, sf).select(*S.PAIR_KEY).distinct()
     named = pairs.select(F.explode(F.array("source_id", "target_id")).alias("doc_id")).distinct()
-    # Rarity comes from all texts; the weights of the texts in the pairs alone are kept.
-    weights = stored(
-        vectors.tfidf(fx.documents(spark, sf), "doc_id", "text").join(named, "doc_id", "left_semi")
-    )
+    weights = vectors.tfidf(fx.documents(spark, sf), "doc_id", "text", only=named)
     return _rounded(vectors.pair_cosine(pairs, weights, "doc_id"), "cosine")
 
 
@@ -796,6 +797,76 @@ def forest_score_keys(spark, sf):
     )
 
 
+@query
+def fixed_accuracy(spark, sf):
+    """The model of fixed weights on the sampled training rows."""
+    rows = stored(_sample(spark, sf))
+    fitted = model.fit(rows, fx.MODEL_FEATURES, model="fixed_logistic")
+    return _rounded(model.accuracy(fitted, rows), "accuracy")
+
+
+@query
+def fixed_scores(spark, sf):
+    """Probability of every pair of the scoring set under the model of fixed weights."""
+    fitted = model.fit(_training_set(spark, sf), fx.MODEL_FEATURES, model="fixed_logistic")
+    return _rounded(model.pair_scores(fitted, _scoring_set(spark, sf), run_id=fx.RUN), "score")
+
+
+# --- import stages ----------------------------------------------------------
+
+
+def _next_value(rows, key):
+    return lambda bound: rows.where(F.col(key) > F.lit(bound)).agg(F.min(key)).first()[0]
+
+
+def _imported(spark, step) -> str:
+    """Run a stage until it finds nothing; returns the folder of its tables."""
+    base = new_path(spark)
+    i = 0
+    while step(stages.Run(base, fx.RUN, f"p{i}", now=IMPORTED)):
+        i += 1
+    return base
+
+
+@query
+def import_stage_rows(spark, sf):
+    """Every version of every record, taken in range by range from each type's own mark."""
+    columns = ["record_type", "record_id", "first_name", "last_name", "tess_modified_at"]
+    rows = fx.record_version(spark, sf).select(*columns)
+    found = None
+    for kind, key in (("gpo", "tess_modified_at"), ("pm", "record_id")):
+        of_kind = rows.where(F.col("record_type") == kind)
+        base = _imported(spark, lambda run: stages.run_import(
+            spark, run, kind, lambda start, end: of_kind, dt.datetime(2023, 12, 31), _next_value(of_kind, key)
+        )["records"])
+        log = tables.read_log(spark, f"{base}/record", S.RECORD).select(*columns)
+        found = log if found is None else found.unionByName(log)
+    return found
+
+
+@query
+def feedback_stage_rows(spark, sf):
+    """All feedback, taken in month by month from its own mark."""
+    columns = [*S.PAIR_KEY, "is_match", "tess_modified_at"]
+    rows = fx.feedback(spark, sf).select(*columns)
+    base = _imported(spark, lambda run: stages.run_feedback_import(
+        spark, run, "gpo", lambda start, end: rows, _next_value(rows, "tess_modified_at")
+    ))
+    return tables.read_log(spark, f"{base}/feedback", S.FEEDBACK).select(*columns, "input_type")
+
+
+@query
+def stage_counts(spark, sf):
+    """What an import states about itself: the numbers of rows it stored, by observation."""
+    rows = fx.record(spark, sf).select(*S.RECORD_KEY, *S.NAME_PARTS, "tess_modified_at")
+    run = stages.Run(new_path(spark), fx.RUN, "p1", now=IMPORTED)
+    for kind in ("gpo", "pm"):
+        stages.import_records(spark, run, rows.where(F.col("record_type") == kind), kind)
+    feedback = fx.feedback(spark, sf).select(*S.PAIR_KEY, "is_match", "tess_modified_at")
+    stages.import_feedback(spark, run, feedback, "gpo")
+    return tables.read(spark, run.path("run_counts")).select("stage", "name", "n")
+
+
 # --- review batches ---------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave import schemas as S
@@ -62,14 +62,34 @@ class Run:
         return f"{self.base}/{name}"
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and how many of them the next action takes, which needs no job of its own."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+COUNTS = "stage STRING, name STRING, n BIGINT, counted_at TIMESTAMP"
+
+
+def _record_counts(spark: SparkSession, run: Run, stage: str, counts: dict[str, int]) -> None:
+    """Numbers of rows that a stage stored, in the run's record; a stage run again states them anew."""
+    rows = spark.createDataFrame([(stage, name, n, run.now) for name, n in counts.items()], COUNTS)
+    tables.replace_part(rows, run.path("run_counts"), run.run_id, stage)
+
+
 def import_records(spark: SparkSession, run: Run, new: DataFrame, record_type: str) -> bool:
     """Store new records of a type and their blocks. False when there are none.
 
     Records go to a change log, one folder per import, so an import that is run
     again replaces its own rows and nothing else is rewritten.
     """
+    return bool(_store_records(spark, run, new, record_type))
+
+
+def _store_records(spark: SparkSession, run: Run, new: DataFrame, record_type: str) -> dict[str, int]:
+    """Numbers of records and blocks stored; nothing where there are no new records."""
     if new.isEmpty():
-        return False
+        return {}
     shaped = importing.with_metadata(new, record_type=record_type, imported_at=run.now)
     shaped = importing.cast_columns(importing.fill_modified_at(shaped))
     text_columns = [
@@ -79,16 +99,39 @@ def import_records(spark: SparkSession, run: Run, new: DataFrame, record_type: s
     shaped = importing.drop_sentinels(shaped, text_columns)
     batch = f"{run.process_id}-{record_type}"
     # Blocks come from the stored rows, so the source is read once.
+    shaped, n_records = _counted(shaped)
     kept = tables.append_changes(shaped, run.path("record"), batch, schema=S.RECORD)
     blocks = blocking.block_rows(latest.latest_records(kept))
     blocks = importing.with_metadata(blocks, run_id=run.run_id, created_at=run.now)
+    blocks, n_blocks = _counted(blocks)
     tables.append_changes(blocks, run.path("block_record"), batch, ("run_id",))
-    return True
+    counts = {"records": n_records.get["n"], "blocks": n_blocks.get["n"]}
+    _record_counts(spark, run, f"import-{batch}", counts)
+    return counts
 
 
 MARKS = "record_type STRING, passed_id BIGINT, passed_at TIMESTAMP"
 
 
+def _marks(spark: SparkSession, path: str) -> DataFrame:
+    """Ends of ranges that were looked through, one row per record type at most."""
+    try:
+        return tables.read_current(spark, path)
+    except FileNotFoundError:
+        return spark.createDataFrame([], MARKS)
+
+
+def _move_mark(marks: DataFrame, path: str, record_type: str, passed_at: dt.datetime) -> None:
+    others = marks.where(F.col("record_type") != record_type)
+    row = marks.sparkSession.createDataFrame([(record_type, None, passed_at)], MARKS)
+    tables.replace(others.unionByName(row), path)
+
+
+def _before(key: object) -> object:
+    """The bound just below a key: the range above it begins with the key."""
+    return key - dt.timedelta(microseconds=1) if isinstance(key, dt.datetime) else int(key) - 1
+
+
 def run_import(
     spark: SparkSession,
     run: Run,
@@ -103,53 +146,84 @@ def run_import(
     or a filter on a folder. Returns the numbers of records and blocks stored, 0 where the
     range is empty; also an empty range moves the mark, but never beyond the time of the run.
 
-    ``next_key`` gives the smallest key above a bound, or None. Where a range of ids is empty it
-    is asked once, and the range before that key is read instead: no gap stops the import. Ids
-    that are not there yet move no mark.
+    ``next_key`` gives the smallest key above a bound, or None. Where a range is empty it
+    is asked once, and the range that begins with that key is read instead: no gap stops the
+    import. Ids that are not there yet move no mark.
     """
     key = S.IMPORT_KEYS[record_type]
     column = "passed_id" if key == "record_id" else "passed_at"
-    try:
-        marks = tables.read_current(spark, run.path("import_mark"))
-    except FileNotFoundError:
-        marks = spark.createDataFrame([], MARKS)
+    marks = _marks(spark, run.path("import_mark"))
     passed = marks.where(F.col("record_type") == record_type).agg(F.max(column)).first()[0]
     held = spark.createDataFrame([], S.RECORD)
     if tables.exists(spark, run.path("record")):
         held = tables.read_log(spark, run.path("record"), S.RECORD)
     start, end = importing.import_range(held, record_type, initial, passed)
-    counts = {"records": 0, "blocks": 0}
 
-    def taken_in(start, end) -> bool:
+    def taken_in(start, end) -> dict[str, int]:
         rows = source(start, end)
-        return import_records(spark, run, rows.where(importing.between(rows, key, start, end)), record_type)
-
-    found = taken_in(start, end)
-    if not found and key == "record_id" and next_key is not None and (beyond := next_key(end)) is not None:
-        found = taken_in(int(beyond) - 1, int(beyond) - 1 + S.IMPORT_ID_SPAN)
-    if found:
-        of_import = F.col("import_process_id") == f"{run.process_id}-{record_type}"
-        for name, table in (("records", "record"), ("blocks", "block_record")):
-            counts[name] = tables.read(spark, run.path(table)).where(of_import).count()
-    elif key != "record_id":
+        return _store_records(spark, run, rows.where(importing.between(rows, key, start, end)), record_type)
+
+    counts = taken_in(start, end)
+    if not counts and next_key is not None and (beyond := next_key(end)) is not None:
+        counts = taken_in(_before(beyond), _before(beyond) + (end - start))
+    if not counts and key != "record_id":
         # Rows with larger ids may come later, but no rows of a time that is over.
-        mark = (record_type, None, min(end, run.now))
-        others = marks.where(F.col("record_type") != record_type)
-        tables.replace(others.unionByName(spark.createDataFrame([mark], MARKS)), run.path("import_mark"))
-    return counts
+        _move_mark(marks, run.path("import_mark"), record_type, min(end, run.now))
+    return counts or {"records": 0, "blocks": 0}
+
+
+def run_feedback_import(
+    spark: SparkSession,
+    run: Run,
+    input_type: str,
+    source: Callable[[object, object], DataFrame],
+    next_time: Callable[[object], object] | None = None,
+) -> int:
+    """Import the next 30 days of feedback on a record type; returns the number of rows stored.
+
+    The mark is the last time of the stored feedback on pairs of this type with master
+    records; with none stored the range starts in 2021. ``source`` gives the rows between two
+    bounds. An empty range moves the mark, but never beyond the time of the run; ``next_time``
+    leads over gaps, as in ``run_import``. Feedback on master records is not taken in.
+    """
+    if input_type in S.MASTER_RECORD_TYPES:
+        return 0
+    key = "tess_modified_at"
+    marks = _marks(spark, run.path("feedback_mark"))
+    passed = marks.where(F.col("record_type") == input_type).agg(F.max("passed_at")).first()[0]
+    held = spark.createDataFrame([], S.FEEDBACK)
+    if tables.exists(spark, run.path("feedback")):
+        held = tables.read_log(spark, run.path("feedback"), S.FEEDBACK)
+    start, end = importing.feedback_range(held, input_type, run.target_type, passed)
+
+    def taken_in(start, end) -> int:
+        rows = source(start, end)
+        return _store_feedback(spark, run, rows.where(importing.between(rows, key, start, end)), input_type)
+
+    n = taken_in(start, end)
+    if not n and next_time is not None and (beyond := next_time(end)) is not None:
+        n = taken_in(_before(beyond), _before(beyond) + (end - start))
+    if not n:
+        _move_mark(marks, run.path("feedback_mark"), input_type, min(end, run.now))
+    return n
 
 
 def import_feedback(spark: SparkSession, run: Run, new: DataFrame, source_type: str) -> bool:
     """Store new feedback. Feedback on master records is not taken in."""
+    return _store_feedback(spark, run, new, source_type) > 0
+
+
+def _store_feedback(spark: SparkSession, run: Run, new: DataFrame, source_type: str) -> int:
     if source_type in S.MASTER_RECORD_TYPES or new.isEmpty():
-        return False
+        return 0
     shaped = importing.with_metadata(
         importing.label_to_boolean(new, run.label), input_type=source_type, imported_at=run.now
     )
-    tables.append_changes(
-        shaped, run.path("feedback"), f"{run.process_id}-{source_type}", schema=S.FEEDBACK
-    )
-    return True
+    shaped, seen = _counted(shaped)
+    batch = f"{run.process_id}-{source_type}"
+    tables.append_changes(shaped, run.path("feedback"), batch, schema=S.FEEDBACK)
+    _record_counts(spark, run, f"feedback-{batch}", {"feedback": seen.get["n"]})
+    return seen.get["n"]
 
 
 def records(spark: SparkSession, run: Run) -> DataFrame:
@@ -218,7 +292,9 @@ def _run_sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
 
 def _write_pairs(run: Run, pairs: DataFrame, linked: DataFrame, part: str) -> None:
     keys = linked.select(*S.RECORD_KEY, F.explode("blocks").alias("block"))
-    tables.replace_part(blocking.pairs_in_blocks(pairs, keys), run.path("run_pairs"), run.run_id, part)
+    rows, seen = _counted(blocking.pairs_in_blocks(pairs, keys))
+    tables.replace_part(rows, run.path("run_pairs"), run.run_id, part)
+    _record_counts(pairs.sparkSession, run, f"pairs-{part}", {"run_pairs": seen.get["n"]})
 
 
 def _sides(spark: SparkSession, run: Run) -> tuple[DataFrame, DataFrame]:
@@ -482,6 +558,27 @@ def write_export(run: Run, output: dict[str, DataFrame]) -> None:
             rows.write.mode("overwrite").parquet(run.path(f"export/{name}/run_id={run.run_id}"))
 
 
+def send_export(spark: SparkSession, run: Run, sink: Callable[[DataFrame, str], None]) -> list[str]:
+    """Append what the run's export wrote to the review database; returns the tables sent.
+
+    ``sink`` appends rows to a table of a name, such as
+    ``lambda rows, name: tables.append_database(rows, url, name)``. What was sent is recorded
+    table by table, so a run that stopped half way goes on with the tables still to send. A sink
+    that fails within a table must leave none of its rows.
+    """
+    folder = run.path("export")
+    sent = []
+    for name in tables.folders(spark, folder):
+        written = f"{folder}/{name}/run_id={run.run_id}"
+        done = run.path(f"export_sent/{name}/run_id={run.run_id}")
+        if name == "rejected" or not tables.exists(spark, f"{written}/_SUCCESS") or tables.exists(spark, f"{done}/_SUCCESS"):
+            continue
+        sink(spark.read.parquet(written), name)
+        spark.createDataFrame([(name, run.now)], "name STRING, sent_at TIMESTAMP").write.mode("overwrite").parquet(done)
+        sent.append(name)
+    return sent
+
+
 def log_counts(output: dict[str, DataFrame]) -> dict[str, int]:
     """Numbers of sources that an export leaves out, by reason."""
     return {name: output[name].count() for name in LOGGED}

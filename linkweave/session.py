@@ -34,7 +34,13 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(
+            "set spark.checkpoint.dir to a folder that driver and executors share: "
+            f"the warehouse {warehouse} is a folder of one machine"
+        )
+    return warehouse.rstrip("/") + "/_intermediate"
 
 
 def _own_folder(spark: SparkSession) -> str:

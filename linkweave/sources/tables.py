@@ -117,6 +117,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(Path(path))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under a path, in order."""
+    fs, Path = _filesystem(spark, path)
+    if not fs.exists(Path(path)):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory())
+
+
 def append_run(df: DataFrame, path: str) -> None:
     append(df, path, ["run_id"])
 

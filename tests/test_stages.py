@@ -202,3 +202,71 @@ def test_backfill_without_a_group_table(spark, tmp_path):
     for _ in range(2):
         stages.backfill_features(spark, run, group)
     assert tables.read(spark, run.path(group.table)).count() == 1
+
+
+def test_feedback_import_moves_by_its_own_mark(spark, tmp_path):
+    base = str(tmp_path)
+    times = [dt.datetime(2021, 1, 5), dt.datetime(2021, 1, 20), dt.datetime(2021, 4, 10), dt.datetime(2023, 6, 1)]
+    rows = spark.createDataFrame(
+        [("gpo", i, "pm", 7, "true", t) for i, t in enumerate(times)],
+        "source_type STRING, source_id BIGINT, target_type STRING, target_id BIGINT, is_match STRING, tess_modified_at TIMESTAMP",
+    )
+
+    def later(bound):
+        return rows.where(F.col("tess_modified_at") > F.lit(bound)).agg(F.min("tess_modified_at")).first()[0]
+
+    asked = []
+
+    def source(start, end):
+        asked.append((start, end))
+        return rows
+
+    def step(i, next_time=None):
+        run = stages.Run(base, "r1", f"p{i}", now=NOW)
+        return stages.run_feedback_import(spark, run, "gpo", source, next_time)
+
+    assert step(0) == 2
+    assert asked[0] == (dt.datetime(2021, 1, 1), dt.datetime(2021, 1, 31))
+    # An empty range moves the mark by 30 days; a later one holds a row.
+    assert [step(1), step(2)] == [0, 0]
+    assert asked[1][0] == times[1] and asked[2][0] == asked[1][1]
+    assert step(3) == 1
+    # A gap of years is led over.
+    assert [step(i, later) for i in (4, 5)] == [1, 0]
+    assert stages.run_feedback_import(spark, stages.Run(base, "r1", "p9", now=NOW), "pm", source) == 0
+    log = tables.read_log(spark, f"{base}/feedback", S.FEEDBACK)
+    assert log.where("is_match AND input_type = 'gpo'").count() == 4
+
+
+def test_counts_of_a_run_are_those_of_its_tables(spark, finished):
+    run = finished[0]
+    counts = {(r.stage, r.name): r.n for r in tables.read(spark, run.path("run_counts")).collect()}
+    records, blocks = tables.read(spark, run.path("record")), tables.read(spark, run.path("block_record"))
+    for kind in ("gpo", "pm"):
+        assert counts[f"import-p1-{kind}", "records"] == records.where(F.col("record_type") == kind).count()
+        assert counts[f"import-p1-{kind}", "blocks"] == blocks.where(F.col("record_type") == kind).count()
+    assert counts["feedback-p1-gpo", "feedback"] == tables.read_log(spark, run.path("feedback")).count()
+    pairs = {k: n for k, n in counts.items() if k[1] == "run_pairs"}
+    assert len(pairs) == 2
+    assert sum(pairs.values()) == tables.read(spark, run.path("run_pairs")).count()
+
+
+def test_an_export_is_sent_once(spark, finished):
+    run = finished[0]
+    stages.write_export(run, stages.export_run(spark, run, review_tables(spark)))
+    sent, broken = {}, {"em.MatchingResult"}
+
+    def sink(rows, name):
+        if name in broken:
+            raise OSError("no database")
+        sent[name] = sent.get(name, 0) + rows.count()
+
+    with pytest.raises(OSError):
+        stages.send_export(spark, run, sink)
+    before = set(sent)
+    broken.clear()
+    rest = stages.send_export(spark, run, sink)
+    assert before and not before & set(rest) and before | set(rest) == set(sent)
+    assert "rejected" not in sent and "em.MatchingResultDetail" in sent
+    assert sent == {n: spark.read.parquet(run.path(f"export/{n}")).count() for n in sent}
+    assert stages.send_export(spark, run, sink) == []

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 
@@ -84,6 +85,25 @@ def test_model_roundtrip(spark, tmp_path):
     assert all((score > 0.5) == (i % 10 == 0) for i, score in one.items())
 
 
+def test_model_of_fixed_weights(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("gpo", 1, "pm", 2, 1.0, 1.0, True), ("gpo", 3, "pm", 4, 0.0, 0.0, False), ("gpo", 5, "pm", 6, 0.5, 0.0, True)],
+        "source_type STRING, source_id BIGINT, target_type STRING, target_id BIGINT, g_name_match_score DOUBLE, g_npi_match DOUBLE, is_match BOOLEAN",
+    )
+    names = ["g.name_match_score", "g.npi_match"]
+    fitted = model.fit(df, names, model="fixed_logistic")
+    scores = {r.source_id: r.score for r in model.pair_scores(fitted, df).collect()}
+    assert scores == pytest.approx({1: 1 / (1 + math.exp(-4)), 3: 1 / (1 + math.exp(2)), 5: 1 / (1 + math.exp(1))})
+    assert model.accuracy(fitted, df).first().accuracy == pytest.approx(2 / 3)
+    post = model.post_train_model_id(fitted)
+    model.save(fitted, str(tmp_path), "pre", post)
+    loaded = model.load(str(tmp_path), "pre", post)
+    assert {r.source_id: r.score for r in model.pair_scores(loaded, df).collect()} == scores
+    assert post != model.post_train_model_id(model.fit(df, names[:1], model="fixed_logistic"))
+    with pytest.raises(ValueError):
+        model.fit(df, ["g.unknown"], model="fixed_logistic")
+
+
 def test_only_row(spark):
     df = spark.range(3)
     assert training.only_row(df.where("id = 1"), "row").id == 1
