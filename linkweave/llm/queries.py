@@ -75,7 +75,9 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "kept", "aligned_links", "moved_links"
+    )
 
 
 def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,19 +58,90 @@ def test_similar_at_the_very_limit():
     assert not N.similar(a, a[::-1].copy())
 
 
-def test_distances_bound_and_obey_the_triangle():
+def test_verdicts_against_plain_alignment_and_count():
+    """Distances by the count obey the triangle; what is aligned is linked; moved passages are linked only."""
     rng = random.Random(7)
-    for _ in range(200):
+    seen = Counter()
+    for _ in range(300):
         base = [rng.randrange(60) for _ in range(rng.randrange(1, 60))]
-        texts = [np.array(base), *(np.array([hash(x) % 97 for x in edited(rng, base, rng.randrange(6))] or [1]) for _ in range(2))]
-        exact = {}
+        cut = rng.randrange(len(base))
+        texts = [N.labelled(np.array(t or [1], np.uint64)) for t in (
+            base, edited_numbers(rng, base), base[cut:] + base[:cut]
+        )]
+        far = {}
         for i, j in itertools.combinations(range(3), 2):
             a, b = texts[i], texts[j]
-            exact[i, j] = len(a) + len(b) - 2 * lcs(a.tolist(), b.tolist())
-            low, up = N.distance(a, b)
-            assert low <= exact[i, j] <= up
-            assert (len(a) + len(b) - up >= 2 * N.needed(len(a), len(b))) == N.similar(a, b)
-        assert exact[1, 2] >= abs(exact[0, 1] - exact[0, 2])
+            common = sum((Counter(a.tolist()) & Counter(b.tolist())).values())
+            far[i, j], linked, aligned = N.verdict(a, b, True)
+            assert far[i, j] == len(a) + len(b) - 2 * common
+            need = N.needed(len(a), len(b))
+            assert linked == (common >= need)
+            assert aligned == (lcs(a.tolist(), b.tolist()) >= need)
+            assert N.verdict(a, b, False) == (far[i, j], linked, False)
+            seen[linked, aligned] += 1
+        assert far[1, 2] >= abs(far[0, 1] - far[0, 2])
+    assert min(seen[True, True], seen[True, False], seen[False, False]) > 20
+
+
+def edited_numbers(rng, base):
+    return [rng.randrange(100, 200) if rng.random() < 0.08 else x for x in base]
+
+
+def test_order_is_kept_beside_the_shingles():
+    """Sketches alike in shingles and order, and in shingles alone."""
+    rng = random.Random(3)
+    text = words(rng, 200)
+    found = N.shingles(N.words_of(" ".join(text))[0])
+    moved = N.shingles(N.words_of(" ".join(text[100:] + text[:100]))[0])
+    same = {s >> N.ORDER_BITS for s in N.sketches(found)} & {s >> N.ORDER_BITS for s in N.sketches(moved)}
+    in_order = set(N.sketches(found)) & set(N.sketches(moved))
+    assert len(same) > len(in_order)
+    assert {s >> N.ORDER_BITS for s in N.sketches(found)} == {
+        (s & (1 << 64 - N.ORDER_BITS) - 1) - ((s & 1 << 63 - N.ORDER_BITS) << 1) for s in N.sketches(found, ordered=False)
+    }
+
+
+def test_bands_lose_no_pair(spark):
+    """Rows of one bucket: every pair of sizes and distances that may be similar meets, in any size of bucket."""
+    rng = random.Random(5)
+    rows = []
+    for uid in range(300):
+        size = rng.randrange(1, 400)
+        true = rng.randrange(0, size + 200)
+        slack = rng.choice([0, 0, 0, rng.randrange(1, 300)])
+        rows.append((uid, size, true, max(0, true - slack), true + slack))
+    frame = spark.createDataFrame(rows, "uid long, size long, true long, low long, up long")
+    pairs = {}
+    for members in (300, N.WHOLE):
+        df = frame.selectExpr("*", f"{members}L AS members")
+        left, right = N._in_bands(df)
+        right = right.selectExpr("uid AS b", "band AS b_band", "lane", "place")
+        met = left.join(right, ["lane", "place"]).selectExpr("uid", "b").distinct().collect()
+        pairs[members] = {(min(p), max(p)) for p in met if p[0] != p[1]}
+    wanted = {
+        (x[0], y[0]) for x, y in itertools.combinations(rows, 2)
+        if min(x[1], y[1]) >= N.SIMILARITY * max(x[1], y[1]) and abs(x[2] - y[2]) * 9 <= x[1] + y[1]
+    }
+    assert wanted <= pairs[300] < pairs[N.WHOLE]
+    assert len(pairs[N.WHOLE]) == 300 * 299 // 2
+
+
+def test_groups_around_a_shared_passage(spark):
+    """More texts than a bucket that meets whole: near pairs among them are found, and no others."""
+    rng = random.Random(9)
+    passage = words(rng, 80)
+    texts = []
+    for i in range(100):
+        text = words(rng, rng.randrange(40, 90)) + passage
+        texts += [text, edited(rng, text, 2)]
+    links = [
+        (i, j) for (i, x), (j, y) in itertools.combinations(enumerate(texts), 2) if jaccard(x, y) >= N.SIMILARITY
+    ]
+    got = classes(documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]))
+    wanted = partition(links, range(len(texts)))
+    assert {r.doc_id: r.class_id for r in got} == wanted
+    alone = {c for c, n in Counter(wanted.values()).items() if n == 1}
+    assert all((r.aligned_links + r.moved_links > 0) == (r.class_id not in alone) for r in got)
 
 
 def test_sketches_know_occurrence_and_order():
