@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkweave.session import shared_folder, stored  # noqa: F401
 
@@ -54,3 +56,23 @@ def chunks(
 def held_out(doc_id: str = "doc_id"):
     """Rows that no model may learn from: one in five, by the id's checksum."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+def where_score(
+    documents: DataFrame, score: Callable[[list[str]], np.ndarray], keep: Callable[[Column], Column]
+) -> DataFrame:
+    """The documents, all columns, whose own text (null: empty) has a score to keep.
+
+    Rows stay where they are: nothing is stored, and no join has to find a row's score again.
+    """
+    # Longer than the name of any column.
+    name = "score" + "_" * max(map(len, documents.columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [score(texts) for _, texts in chunks([batch], chars=1 << 21, rows=2048)]
+            if found:
+                yield batch.append_column(name, pa.array(np.concatenate(found), pa.float64()))
+
+    scored = T.StructType([*documents.schema, T.StructField(name, T.DoubleType())])
+    return documents.mapInArrow(run, scored).where(keep(F.col(name))).drop(name)

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import chunks, held_out, pick, stored
-from linkweave.operators.lookup import lookup_join
+from linkweave.llm.common import chunks, held_out, pick, stored, where_score
 
 SAMPLE = 20_000
 BINS = 64
@@ -226,18 +225,10 @@ def train(statistics: DataFrame, labels: DataFrame, label: str = "quality", size
     return fit(x, np.asarray(rows.column("label"), np.float64))
 
 
-def score(documents: DataFrame, labels: DataFrame, accepted: float = ACCEPTED, row: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, score, predicted of every document.
-
-    ``row`` names a column of whole numbers that stands in the place of doc_id, in the result
-    only; the model still learns by doc_id.
-    """
-    found = stored(_statistics_of(pick(documents, row, "text").toDF("doc_id", "text")))
-    if row == "doc_id":
-        trees = train(found, labels)
-    else:
-        ids = pick(documents, row, "doc_id")
-        trees = train(lookup_join(found.withColumnRenamed("doc_id", row), ids, [row]).drop(row), labels)
+def score(documents: DataFrame, labels: DataFrame, accepted: float = ACCEPTED) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    found = stored(_statistics_of(documents))
+    trees = train(found, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,4 +241,19 @@ def score(documents: DataFrame, labels: DataFrame, accepted: float = ACCEPTED, r
         F.coalesce(held_out(), F.lit(False)).alias("held_out"),
         "score",
         F.when(F.col("score") >= accepted, 1).otherwise(0).alias("predicted"),
-    ).withColumnRenamed("doc_id", row)
+    )
+
+
+def without_poor(
+    documents: DataFrame, labels: DataFrame, accepted: float = ACCEPTED, label: str = "quality", size: int = SAMPLE
+) -> DataFrame:
+    """The rows of documents whose own text has an accepted score, as ``score`` gives it."""
+    # At most ``size`` ids of 8 bytes.
+    sample = F.broadcast(labelled_sample(labels, label, size).select("doc_id"))
+    labelled = _statistics_of(pick(documents, "doc_id", "text").join(sample, "doc_id", "left_semi"))
+    trees = train(labelled, labels, label, size)
+
+    def scores(texts: list[str]) -> np.ndarray:
+        return trees.scores(np.asarray(statistics(texts), np.float32))
+
+    return where_score(documents, scores, lambda s: s >= accepted)

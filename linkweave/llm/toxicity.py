@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import chunks, pick, stored
+from linkweave.llm.common import chunks, pick, stored, where_score
 from linkweave.llm.quality import labelled_sample
 
 SAMPLE = 20_000
@@ -225,23 +225,30 @@ def train(documents: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Ordina
     return Ordinal(thresholds, dict(zip(terms, weights.tolist(), strict=True)))
 
 
-def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC, row: str = "doc_id") -> DataFrame:
-    """doc_id, severity (expected grade), toxic (1 or 0) of every document.
+def _severities(model: Ordinal) -> Callable[[list[str]], np.ndarray]:
+    known: dict[str, list[str]] = {}
 
-    ``row`` names a column of whole numbers that stands in the place of doc_id, in the result
-    only; the model still learns by doc_id.
-    """
-    model = train(documents, labels)
+    def run(texts: list[str]) -> np.ndarray:
+        return model.severities(np.array([model.sum_of(words_of(t), known) for t in texts], np.float64))
+
+    return run
+
+
+def score(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> DataFrame:
+    """doc_id, severity (expected grade), toxic (1 or 0) of every document."""
+    severities = _severities(train(documents, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
         for doc_ids, texts in chunks(batches, chars=1 << 21):
-            sums = np.array([model.sum_of(words_of(t), known) for t in texts], np.float64)
             yield pa.record_batch(
-                [pa.array(doc_ids, pa.int64()), pa.array(model.severities(sums))], names=["doc_id", "severity"]
+                [pa.array(doc_ids, pa.int64()), pa.array(severities(texts))], names=["doc_id", "severity"]
             )
 
-    rows = pick(documents, row, "text").toDF("doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, severity double").select(
-        F.col("doc_id").alias(row), "severity", F.when(F.col("severity") >= toxic, 1).otherwise(0).alias("toxic")
+    return pick(documents, "doc_id", "text").mapInArrow(run, "doc_id long, severity double").select(
+        "doc_id", "severity", F.when(F.col("severity") >= toxic, 1).otherwise(0).alias("toxic")
     )
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, toxic: float = TOXIC) -> DataFrame:
+    """The rows of documents whose own text is not toxic, as ``score`` judges it."""
+    return where_score(documents, _severities(train(documents, labels)), lambda s: s < toxic)
