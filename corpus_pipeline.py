@@ -11,32 +11,17 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from linkweave.llm import neardup, packing, quality, toxicity
-from linkweave.llm.common import DOCUMENT_COLUMNS, pick, shared_folder, stored, table
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents, each row with a number of its own."""
-    return stored(pick(docs, *DOCUMENT_COLUMNS).withColumn("uid", F.monotonically_increasing_id()))
-
-
-def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose own numbers are not among the rejected."""
-    return rows.join(rejected.select("uid"), "uid", "left_anti").select(*DOCUMENT_COLUMNS)
+from linkweave.llm.common import DOCUMENT_COLUMNS, pick, shared_folder, table
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    judged = toxicity.score(rows, table(spark, sf_dir, "labels"), row="uid")
-    return _without(rows, judged.where(F.col("toxic") == 1))
+    return toxicity.without_toxic(pick(docs, *DOCUMENT_COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def poor_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    judged = quality.score(rows, table(spark, sf_dir, "labels"), row="uid")
-    return _without(rows, judged.where(F.col("predicted") == 0))
+    return quality.without_poor(pick(docs, *DOCUMENT_COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
