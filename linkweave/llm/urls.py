@@ -2,15 +2,20 @@
 
 Concatenated host names are split into words by a unigram model: of all ways to cut a name,
 the one with the highest product of word probabilities (Viterbi). Word counts come from the
-text of all pages. The candidates of a name, its parts of up to ``LONGEST`` characters, are
-joined with the counts, so no dictionary is held anywhere whole.
+text of all pages. The candidates of a name, its parts of up to ``HEAD`` characters, are
+joined with the counts, so no dictionary is held anywhere whole; longer words are found by
+their first ``HEAD`` characters and compared with the name behind these, whatever their length.
 
 A multinomial naive Bayes model scores the words of host and path. It learns from the urls
-themselves: those with a seed word in the host are examples to block, all others to allow.
-Numbers count as one word. A url is blocked if block is the likelier class.
+themselves by expectation-maximisation: those with a seed word in the host are examples to
+block, those that a rule allows are examples to allow. The rest begin as examples to allow
+and then count for each class by their posterior, ``ROUNDS`` times. So a host without a seed
+word that shares its words with bad ones becomes bad itself. Numbers count as one word. A url
+is blocked if block is the likelier class, allowed if both are alike.
 
 All this works on distinct (host, shape of the path), with the number of their urls as
-weight; verdicts go back to the pages by a join. A null url, and one without "://", has an
+weight; verdicts go back to the pages by a join. Texts and names of any length are read whole.
+A null url, and one without "://", has an
 empty host and path; without words it has the classes' prior odds. Rows are judged one by
 one, repeated rows and null ids like any other. An empty table gives no rows.
 """
@@ -28,8 +33,12 @@ from pyspark.sql import functions as F
 from linkweave.llm.common import pick, stored
 from linkweave.operators.lookup import lookup_join
 
-#: Longest word and, as a name's parts are looked up, the longest part.
-LONGEST = 20
+#: Longest part of a name that is looked up; longer words are found by as many characters.
+HEAD = 20
+#: Rounds of expectation-maximisation behind the first model.
+ROUNDS = 4
+#: Posteriors count in so many parts, so that their sums are exact in any order.
+PARTS = 1 << 20
 #: Words in the host names of sites that sell bets, drugs, sex, or links.
 SEEDS = (
     "ads", "adult", "bet", "bets", "betting", "bingo", "casino", "escort", "gambling", "jackpot",
@@ -58,9 +67,9 @@ class Rule:
     def path(self) -> str:
         return "/" + self.text.partition("/")[2]
 
-    def fits(self) -> Column:
+    def fits(self, path: str = "path") -> Column:
         host = (F.col("host") == self.host) | F.col("host").endswith("." + self.host)
-        return host & F.col("path").startswith(self.path)
+        return host & F.col(path).startswith(self.path)
 
 
 RULES = (
@@ -81,11 +90,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
-def matching_rule(rules: tuple[Rule, ...]) -> Column:
+def matching_rule(rules: tuple[Rule, ...], path: str = "path") -> Column:
     """The text of the longest rule that fits, else null."""
     found = F.lit(None).cast("string")
     for rule in sorted(rules, key=lambda r: len(r.text)):
-        found = F.when(rule.fits(), rule.text).otherwise(found)
+        found = F.when(rule.fits(path), rule.text).otherwise(found)
     return found
 
 
@@ -97,9 +106,7 @@ def seed_count(total: int) -> int:
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     """(word, n) over the text of all pages, with the seed words."""
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(html), F.lit(""))), r"<[^>]*>", " ")
-    words = pages.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where(
-        F.length("word").between(1, LONGEST)
-    )
+    words = pages.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where("word != ''")
     counts = stored(words.groupBy("word").agg(F.count("*").alias("n")))
     n = seed_count(counts.agg(F.sum("n")).first()[0] or 0)
     seeds = pages.sparkSession.createDataFrame([(w, n) for w in SEEDS], "word string, n long")
@@ -111,14 +118,21 @@ def best_cut(name: str, counts: dict[tuple[int, int], int], total: int) -> list[
 
     An unknown part of n characters has the probability of 10**-n of a word seen once.
     """
-    best = [0.0] + [-math.inf] * len(name)
+    ends: dict[int, list[tuple[int, float]]] = {}
+    for (start, size), n in counts.items():
+        if n:
+            ends.setdefault(start + size, []).append((start, math.log(n / total)))
+    best = [0.0] * (len(name) + 1)
     back = [0] * (len(name) + 1)
+    # Of all places that an unknown part can begin at, the best one so far.
+    ahead, begin = 0.0, 0
     for end in range(1, len(name) + 1):
-        for start in range(max(0, end - LONGEST), end):
-            n = counts.get((start, end - start))
-            own = math.log(n / total) if n else -math.log(total) - (end - start) * math.log(10)
+        best[end], back[end] = ahead - end * math.log(10) - math.log(total), begin
+        for start, own in ends.get(end, ()):
             if best[start] + own > best[end]:
                 best[end], back[end] = best[start] + own, start
+        if best[end] + end * math.log(10) > ahead:
+            ahead, begin = best[end] + end * math.log(10), end
     words, end = [], len(name)
     while end:
         words.append(name[back[end]:end])
@@ -133,11 +147,21 @@ def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
         "name",
         F.explode(F.expr(
             f"""flatten(transform(sequence(1, length(name)), i ->
-                transform(sequence(1, least({LONGEST}, length(name) - i + 1)),
+                transform(sequence(1, least({HEAD}, length(name) - i + 1)),
                     l -> struct(i - 1 AS start, l AS size, substring(name, i, l) AS word))))"""
         )).alias("p"),
     ).select("name", "p.*")
-    known = lookup_join(parts, counts, ["word"]).groupBy("name").agg(
+    short = lookup_join(parts, counts.where(F.length("word") <= HEAD), ["word"])
+    heads = counts.where(F.length("word") > HEAD).select(
+        F.substring("word", 1, HEAD).alias("word"), F.col("word").alias("whole"), "n"
+    )
+    long = (
+        lookup_join(parts.where(F.col("size") == HEAD), heads, ["word"])
+        .where("substring(name, start + 1, length(whole)) = whole")
+        .withColumn("size", F.length("whole"))
+    )
+    columns = ["name", "start", "size", "n"]
+    known = short.select(columns).unionByName(long.select(columns)).groupBy("name").agg(
         F.collect_list(F.struct("start", "size", "n")).alias("known")
     )
     total = counts.agg(F.sum("n")).first()[0]
@@ -170,32 +194,47 @@ def _tokens(keys: DataFrame, counts: DataFrame) -> DataFrame:
     return both.withColumn("token", F.regexp_replace("token", r"^\p{N}+$", NUMBER))
 
 
-def _odds(tokens: DataFrame, keys: DataFrame) -> DataFrame:
-    """(id, odds): log odds of block by naive Bayes, learnt from seed words."""
+def _odds(tokens: DataFrame, keys: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(host, shape, odds): log odds of block by naive Bayes, learnt by expectation-maximisation."""
     seeded = tokens.groupBy("id").agg(
-        F.max(F.col("in_host") & F.col("token").isin(*SEEDS)).alias("block")
-    )
-    labelled = lookup_join(tokens, seeded, ["id"])
-    block = F.when(F.col("block"), F.col("n_urls")).otherwise(0)
-    by_token = labelled.groupBy("token").agg(
-        F.sum(block).alias("bad"), F.sum(F.col("n_urls") - block).alias("good")
+        F.max(F.col("in_host") & F.col("token").isin(*SEEDS)).alias("seed")
     )
-    sums = by_token.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
-    bad, good, size = (x or 0 for x in sums)
-    weights = by_token.select(
-        "token",
-        (F.log((F.col("bad") + 1) / F.lit(bad + size)) - F.log((F.col("good") + 1) / F.lit(good + size)))
-        .alias("weight"),
-    )
-    prior = keys.join(seeded, "id", "left").agg(
-        F.sum(F.when(F.col("block"), F.col("n_urls")).otherwise(0)), F.sum("n_urls")
-    ).first()
-    blocked, urls = prior[0] or 0, prior[1] or 0
-    base = math.log((blocked + 1) / (urls - blocked + 1))
-    scored = lookup_join(tokens, weights, ["token"]).groupBy("id").agg(F.sum("weight").alias("weight"))
-    return keys.join(scored, "id", "left").select(
-        "host", "shape", (F.coalesce("weight", F.lit(0.0)) + base).alias("odds")
+    allowed = F.lit(False)
+    for rule in rules:
+        if rule.verdict == "allow":
+            allowed = allowed | (matching_rule(rules, "shape") == rule.text)
+    known = F.when(F.col("seed"), F.lit(PARTS)).when(allowed, 0)
+    # What each key counts as bad, of PARTS; null: not known.
+    keys = stored(
+        lookup_join(keys, seeded, ["id"], "left").select("id", "host", "shape", "n_urls", known.alias("known"))
     )
+    tokens = stored(tokens.groupBy("id", "token").agg(F.count("*").alias("times")))
+    bad = keys.select("id", "n_urls", F.coalesce("known", F.lit(0)).cast("long").alias("bad"))
+    for _ in range(ROUNDS + 1):
+        counted = lookup_join(tokens, bad, ["id"])
+        by_token = stored(counted.groupBy("token").agg(
+            F.sum(F.col("times") * F.col("n_urls") * F.col("bad")).alias("bad"),
+            F.sum(F.col("times") * F.col("n_urls") * (PARTS - F.col("bad"))).alias("good"),
+        ))
+        sums = by_token.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
+        all_bad, all_good, size = (x or 0 for x in sums)
+        weight = (
+            F.log((F.col("bad") + PARTS) / F.lit(float(all_bad + size * PARTS)))
+            - F.log((F.col("good") + PARTS) / F.lit(float(all_good + size * PARTS)))
+        )
+        weights = by_token.select("token", weight.alias("weight"))
+        prior = bad.agg(F.sum(F.col("n_urls") * F.col("bad")), F.sum(F.col("n_urls") * (PARTS - F.col("bad")))).first()
+        base = math.log(((prior[0] or 0) + PARTS) / ((prior[1] or 0) + PARTS))
+        scored = (
+            lookup_join(tokens, weights, ["token"]).groupBy("id")
+            .agg(F.sum(F.col("times") * F.col("weight")).alias("weight"))
+        )
+        odds = stored(lookup_join(keys, scored, ["id"], "left").select(
+            "id", "host", "shape", "n_urls", "known", (F.coalesce("weight", F.lit(0.0)) + base).alias("odds")
+        ))
+        posterior = F.round(F.lit(PARTS) / (1 + F.exp(-F.col("odds")))).cast("long")
+        bad = odds.select("id", "n_urls", F.coalesce(F.col("known").cast("long"), posterior).alias("bad"))
+    return odds.select("host", "shape", "odds")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -210,7 +249,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
     counts = stored(word_counts(rows))
     tokens = stored(_tokens(keys, counts))
-    odds = stored(_odds(tokens, keys))
+    odds = _odds(tokens, keys, rules)
     judged = lookup_join(urls, odds, ["host", "shape"]).withColumn("rule", matching_rule(rules))
     verdict = F.when(F.col("odds") > 0, "block").otherwise("allow")
     for rule in rules:
