@@ -288,10 +288,12 @@ def pack(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY
         [f for f in state.schema if f.name in ("island", "lengths")]
         + [T.StructField("population", T.BinaryType()), T.StructField("elite", T.BinaryType())]
     )
+    # Islands are few bytes and much work: adaptive execution would put them into one task.
+    tasks = max(min(islands, documents.sparkSession.sparkContext.defaultParallelism), islands // 16)
     for number in range(EPOCHS):
         state = stored(
             state.select("island", "lengths", "population", "migrants")
-            .repartition("island")
+            .repartition(tasks, "island")
             .mapInPandas(_epoch(number, capacity), schema)
         )
         after = state
