@@ -76,3 +76,16 @@ def test_sample_is_not_cut_below_20000(spark):
     rare = [r.doc_id for r in sampled if r.label][-5:]
     docs = docs.selectExpr("doc_id", f"IF(doc_id IN ({', '.join(map(str, rare))}), 'plain qzx', text) AS text")
     assert "qzx" in T.train(docs, marks).weights
+
+
+def test_rows_are_filtered_whole(spark):
+    """Also with columns named like those that the operator uses inside, and rows without id."""
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr(
+        "doc_id", "text", "0 AS severity", "'x' AS score", "'y' AS TOXIC"
+    )
+    wanted = sorted(r.doc_id for r in T.score(docs, labels).collect() if not r.toxic)
+    got = T.without_toxic(docs, labels)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == wanted
+    assert T.without_toxic(docs.limit(0), labels).count() == 0
