@@ -16,6 +16,8 @@ from linkweave.session import stored
 
 # Fixed value: words of two or more letters, digits or underscores.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
+#: Terms whose weights are sent to every task, the most frequent ones; all others are looked up by a shuffle.
+COMMON = 100_000
 
 
 def tokens(value: Column | str, analyzer: str = "word") -> Column:
@@ -71,6 +73,38 @@ def _document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
 
 
+def _counted(terms: Column) -> Column:
+    """(term, n) of each term in an array: sorted, equal terms stand together."""
+    return F.transform(
+        F.array(F.sort_array(terms)),
+        lambda s: F.transform(
+            F.array(
+                F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(
+                    F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (s[i] != F.get(s, i - 1)))
+                )
+            ),
+            lambda starts: F.transform(
+                starts,
+                lambda i, j: F.struct(
+                    s[i].alias("term"), (F.coalesce(F.get(starts, j + 1), F.size(s)) - i).cast("bigint").alias("n")
+                ),
+            ),
+        )[0],
+    )[0]
+
+
+def _stored_counts(texts: DataFrame, key: str, column: str, analyzer: str, min_df: int | float) -> DataFrame:
+    """The rows of ``term_counts`` as a stored table, for plans that read them several times."""
+    if min_df != 1 or isinstance(min_df, float):
+        return stored(term_counts(texts, key, column, analyzer, min_df))
+    # Texts are counted where they lie; only those that share a key have to meet.
+    bags = stored(texts.select(key, _counted(tokens(column, analyzer)).alias("bag")))
+    counts = bags.select(key, F.explode("bag").alias("t")).select(key, "t.term", "t.n").where(F.col("term") != "")
+    if bags.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty():
+        return counts
+    return stored(counts.groupBy(key, "term").agg(F.sum("n").alias("n")))
+
+
 def tfidf(
     texts: DataFrame,
     key: str,
@@ -84,14 +118,17 @@ def tfidf(
     Rarity comes from all texts. With ``only``, a table of keys, the texts named there alone
     are weighted.
     """
-    counts = term_counts(texts, key, column, analyzer, min_df)
+    counts = _stored_counts(texts, key, column, analyzer, min_df)
     total = texts.agg(F.count(F.lit(1))).scalar().cast("double")
-    rarity = _document_frequency(counts).select(
-        "term", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("idf")
-    )
+    frequency = stored(_document_frequency(counts))
+    idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
     weighted = counts if only is None else counts.join(only.select(key).distinct(), key, "left_semi")
-    raw = lookup_join(weighted, rarity, ["term"]).withColumn("w", F.col("n") * F.col("idf"))
-    # The window holds the terms of one text, no more.
+    # Most rows are of few terms; these stay where they are. The limit bounds what is sent, not what is read.
+    common = frequency.orderBy(F.col("df").desc(), "term").limit(COMMON)
+    known = weighted.join(F.broadcast(common), "term", "left")
+    rare = lookup_join(known.where(F.col("df").isNull()).drop("df"), frequency, ["term"])
+    # Whole numbers move, being shorter than weights. The window holds the terms of one text, no more.
+    raw = known.where(F.col("df").isNotNull()).unionByName(rare).repartition(key).withColumn("w", F.col("n") * idf)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / length).alias("weight"))
 

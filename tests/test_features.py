@@ -129,3 +129,27 @@ def test_texts_are_taken_apart_once(spark):
     query.toRdd().count()
     final = query.executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("ReusedExchange") == 1 and final.count("regexp_extract_all") == 1
+
+
+def test_tfidf_takes_texts_apart_once_and_keeps_common_terms_in_place(spark):
+    plan = vectors.tfidf(texts(spark), "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "strategy=broadcast" in plan
+
+
+def test_tfidf_of_rare_terms_and_repeated_keys(spark, monkeypatch):
+    """Terms beyond the common ones have the same weights; texts of one key, also of none, are one text."""
+    rows = spark.createDataFrame(
+        [(1, "ab ab cd"), (1, "cd ef"), (None, "ab gh"), (None, "gh"), (2, None), (3, "")], "id int, t string"
+    )
+    def found():
+        return {(r.id, r.term): r.weight for r in vectors.tfidf(rows, "id", "t").collect()}
+    many = found()
+    monkeypatch.setattr(vectors, "COMMON", 1)
+    few = found()
+    counts = {1: {"ab": 2, "cd": 2, "ef": 1}, None: {"ab": 1, "gh": 2}}
+    idf = {w: math.log(7 / (1 + df)) + 1 for w, df in {"ab": 2, "cd": 1, "ef": 1, "gh": 1}.items()}
+    for i, c in counts.items():
+        length = math.sqrt(sum((n * idf[w]) ** 2 for w, n in c.items()))
+        for w, n in c.items():
+            assert many[(i, w)] == pytest.approx(n * idf[w] / length) and few[(i, w)] == pytest.approx(many[(i, w)])
+    assert len(many) == len(few) == 5
