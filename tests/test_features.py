@@ -153,3 +153,18 @@ def test_tfidf_of_rare_terms_and_repeated_keys(spark, monkeypatch):
         for w, n in c.items():
             assert many[(i, w)] == pytest.approx(n * idf[w] / length) and few[(i, w)] == pytest.approx(many[(i, w)])
     assert len(many) == len(few) == 5
+
+
+def test_pair_cosine_looks_vectors_up_once(spark):
+    """Vectors are looked up once for both sides; pairs may repeat, hold one text twice, or name none."""
+    weights = spark.createDataFrame(
+        [(1, "a", 0.6), (1, "b", 0.8), (2, "b", 1.0)], "id int, term string, weight double"
+    )
+    given = spark.createDataFrame(
+        [(1, 2), (1, 2), (1, 1), (2, 9), (None, 1)], "source_id int, target_id int"
+    )
+    cosines = vectors.pair_cosine(given, weights, "id")
+    got = sorted((r.source_id or 0, r.target_id, round(r.cosine, 6)) for r in cosines.collect())
+    assert got == [(0, 1, 0.0), (1, 1, 1.0), (1, 2, 0.8), (1, 2, 0.8), (2, 9, 0.0)]
+    # Vectors are not written, to be read for either side.
+    assert "parquet" not in cosines._jdf.queryExecution().optimizedPlan().toString()
