@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from linkweave import schemas as S
 from linkweave.functions import text
 from linkweave.operators.lookup import lookup_join
+from linkweave.session import stored
 
 _WEIGHTED = "array<struct<term:string,weight:bigint>>"
 _SUBSETS = "array<struct<terms:array<string>,dot:bigint>>"
@@ -211,46 +212,54 @@ def _agreements(n: int) -> Column:
     return F.transform(masks, lambda m: F.struct(m.alias("mask"), chosen(m).alias("shared")))
 
 
+def _by_agreement(rows: DataFrame, n: int, kept: str) -> DataFrame:
+    """(kept, mask, key): a row for each block and set of present values.
+
+    The key is a 128-bit digest of block, mask and values, which all rows of a set share: it is
+    far shorter than they are.
+    """
+    return (
+        rows.select(kept, F.explode("blocks").alias("block"), F.transform("values", lambda v: F.md5(v)).alias("values"))
+        .select(kept, "block", F.explode(_agreements(n)).alias("s"))
+        .select(
+            kept, "s.mask",
+            F.unhex(F.md5(F.concat_ws(",", "block", F.col("s.mask").cast("string"), "s.shared"))).alias("key"),
+        )
+    )
+
+
 def agreement_lists(
     linked: DataFrame, n: int, source_type: str = "gpo", target_type: str = "pm", k: int = S.TOP_K
-) -> DataFrame:
-    """(blocks, values, target_id, mask): for sources alike, k targets per set of agreements.
-
-    For each block and each set of agreeing values the k smallest target ids are kept, and
-    for no agreement (mask 0) those of the block. A target whose agreement with a source is
-    exactly a set, but that is not in the set's list, has k others before it that agree in
-    at least as much; so the lists hold the k best by any score that rises with agreement,
-    ties by id. Records alike in all values are folded, so the work is linear in the records:
-    at most 2**n sets each.
+) -> tuple[DataFrame, DataFrame]:
+    """(record_id, class_id) of the sources, and (class_id, mask, ids): k targets per set of agreements.
+
+    Sources alike are one class. For each block and each set of agreeing values the k smallest
+    target ids are kept, and for no agreement (mask 0) those of the block. A target whose
+    agreement with a source is exactly a set, but that is not in the set's list, has k others
+    before it that agree in at least as much; so the lists hold the k best by any score that
+    rises with agreement, ties by id. Records alike in all values are folded, so the work is
+    linear in the records: at most 2**n sets each. A list stays one row.
     """
-    linked = linked.where(F.col("record_type").isin(source_type, target_type))
-    targets = linked.where(F.col("record_type") == target_type)
-    by_block = F.explode("blocks").alias("block")
-    folded = _top(
-        targets.select("record_id", "values", by_block), ["block", "values"], [F.col("record_id")], k
-    ).drop("_rank")
-    lists = _top(
-        folded.select("block", "record_id", F.explode(_agreements(n)).alias("s")).select(
-            "block", "s.mask", "s.shared", "record_id"
-        ),
-        ["block", "mask", "shared"], [F.col("record_id")], k,
-    ).select("block", "mask", "shared", F.col("record_id").alias("target_id"))
-    asked = (
-        linked.where(F.col("record_type") == source_type).select("blocks", "values").distinct()
-        .select("blocks", "values", by_block)
+    sources = linked.where(F.col("record_type") == source_type)
+    targets = linked.where(F.col("record_type") == target_type).select("record_id", "blocks", "values")
+    ids = F.collect_list(F.struct("record_id")).alias("ids")
+    folded = _top(targets, ["blocks", "values"], [F.col("record_id")], k).drop("_rank")
+    lists = _top(_by_agreement(folded, n, "record_id"), ["key"], [F.col("record_id")], k).groupBy("key").agg(ids)
+    classes = stored(
+        sources.select("blocks", "values").distinct().withColumn("class_id", F.monotonically_increasing_id())
     )
-    sharing = lookup_join(
-        asked.select("blocks", "values", "block", F.explode(_agreements(n)).alias("s")).select(
-            "blocks", "values", "block", "s.mask", "s.shared"
-        ),
-        lists, ["block", "mask", "shared"],
-    ).select("blocks", "values", "target_id", "mask")
+    sharing = lookup_join(_by_agreement(classes, n, "class_id"), lists, ["key"]).select("class_id", "mask", "ids")
     # At most k rows for each of the 28 possible block keys.
-    first_ids = _top(targets.select("record_id", by_block), ["block"], [F.col("record_id")], k)
-    strangers = asked.join(
-        F.broadcast(first_ids.select("block", F.col("record_id").alias("target_id"))), "block"
-    ).select("blocks", "values", "target_id", F.lit(0).alias("mask"))
-    return sharing.unionByName(strangers)
+    first_ids = _top(
+        targets.select("record_id", F.explode("blocks").alias("block")), ["block"], [F.col("record_id")], k
+    ).groupBy("block").agg(ids)
+    strangers = (
+        classes.select("class_id", F.explode("blocks").alias("block"))
+        .join(F.broadcast(first_ids), "block").select("class_id", F.lit(0).alias("mask"), "ids")
+    )
+    # Values may be NULL inside, but the arrays themselves are not, so they join.
+    members = lookup_join(sources.select("record_id", "blocks", "values"), classes, ["blocks", "values"])
+    return members.select("record_id", "class_id"), sharing.unionByName(strangers)
 
 
 def classified_targets(
@@ -272,18 +281,22 @@ def classified_targets(
     odds = F.lit(intercept)
     for i, weight in enumerate(weights.values()):
         odds = odds + F.getbit("mask", F.lit(i)).cast("double") * F.lit(weight)
+    members, lists = agreement_lists(linked, len(weights), source_type, target_type, k)
+    # Where a list is full, k targets have its odds or better: lists of lower odds add none.
+    full = F.max(F.when(F.size(F.array_distinct("ids")) >= k, F.col("odds"))).over(Window.partitionBy("class_id"))
     found = (
-        agreement_lists(linked, len(weights), source_type, target_type, k)
-        .groupBy("blocks", "values", "target_id")
-        .agg(F.max(odds).alias("odds"))
+        lists.select("class_id", odds.alias("odds"), "ids")
+        .withColumn("full", full)
+        .where(F.col("full").isNull() | (F.col("odds") >= F.col("full")))
+        .select("class_id", "odds", F.explode("ids").alias("t"))
+        .groupBy("class_id", F.col("t.record_id").alias("target_id"))
+        .agg(F.max("odds").alias("odds"))
         .withColumn("score", 1.0 / (1.0 + F.exp(-F.col("odds"))))
     )
-    ranked = _top(
-        found, ["blocks", "values"], [F.col("odds").desc(), F.col("target_id")], k
-    ).where((F.col("score") >= min_score) | (F.col("_rank") == 1))
-    sources = linked.where(F.col("record_type") == source_type)
-    # Values may be NULL inside, but the arrays themselves are not, so they join.
-    return lookup_join(sources, ranked, ["blocks", "values"]).select(
+    ranked = _top(found, ["class_id"], [F.col("odds").desc(), F.col("target_id")], k).where(
+        (F.col("score") >= min_score) | (F.col("_rank") == 1)
+    )
+    return lookup_join(members, ranked, ["class_id"]).select(
         F.lit(source_type).alias("source_type"),
         F.col("record_id").alias("source_id"),
         F.lit(target_type).alias("target_type"),
@@ -296,10 +309,11 @@ def proposed_pairs(
     linked: DataFrame, n: int, source_type: str = "gpo", target_type: str = "pm", k: int = S.TOP_K
 ) -> DataFrame:
     """Pairs for a classifier to score: k targets per source and set of agreements."""
-    lists = agreement_lists(linked, n, source_type, target_type, k)
-    pairs = lists.select("blocks", "values", "target_id").distinct()
-    sources = linked.where(F.col("record_type") == source_type)
-    return lookup_join(sources, pairs, ["blocks", "values"]).select(
+    members, lists = agreement_lists(linked, n, source_type, target_type, k)
+    pairs = lists.select("class_id", F.explode("ids").alias("t")).select(
+        "class_id", F.col("t.record_id").alias("target_id")
+    ).distinct()
+    return lookup_join(members, pairs, ["class_id"]).select(
         F.lit(source_type).alias("source_type"),
         F.col("record_id").alias("source_id"),
         F.lit(target_type).alias("target_type"),

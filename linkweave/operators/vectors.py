@@ -119,16 +119,21 @@ def tfidf(
     are weighted.
     """
     counts = _stored_counts(texts, key, column, analyzer, min_df)
-    total = texts.agg(F.count(F.lit(1))).scalar().cast("double")
+    total = float(texts.count())
     frequency = stored(_document_frequency(counts))
-    idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
+    idf = F.log(F.lit(1.0 + total) / (1.0 + F.col("df"))) + 1.0
     weighted = counts if only is None else counts.join(only.select(key).distinct(), key, "left_semi")
-    # Most rows are of few terms; these stay where they are. The limit bounds what is sent, not what is read.
-    common = frequency.orderBy(F.col("df").desc(), "term").limit(COMMON)
-    known = weighted.join(F.broadcast(common), "term", "left")
-    rare = lookup_join(known.where(F.col("df").isNull()).drop("df"), frequency, ["term"])
+    if texts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1":
+        # A session without broadcasts looks every term up.
+        known = lookup_join(weighted, frequency, ["term"])
+    else:
+        # Most rows are of few terms; these stay where they are. The limit bounds what is sent, not what is read.
+        common = frequency.orderBy(F.col("df").desc(), "term").limit(COMMON)
+        sent = weighted.join(F.broadcast(common), "term", "left")
+        rare = lookup_join(sent.where(F.col("df").isNull()).drop("df"), frequency, ["term"])
+        known = sent.where(F.col("df").isNotNull()).unionByName(rare)
     # Whole numbers move, being shorter than weights. The window holds the terms of one text, no more.
-    raw = known.where(F.col("df").isNotNull()).unionByName(rare).repartition(key).withColumn("w", F.col("n") * idf)
+    raw = known.repartition(key).withColumn("w", F.col("n") * idf)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / length).alias("weight"))
 

@@ -179,3 +179,13 @@ def test_weights_must_not_be_negative(spark):
     linked = matching.agreeing(spark.createDataFrame([("pm", 1, "a")], "record_type STRING, record_id BIGINT, first_name STRING").selectExpr("*", "first_name AS middle_name", "first_name AS last_name"), ["first_name"])
     with pytest.raises(ValueError):
         matching.classified_targets(linked, {"first_name": -1.0}, 0.0)
+
+
+def test_lists_of_agreement_stay_one_row_each(spark):
+    """Forty targets agree in everything: a source meets one short list per set, not five rows of whole values."""
+    rows = [("pm", i, ["a"], ["anna", None]) for i in range(40)] + [("gpo", i, ["a"], ["anna", None]) for i in range(3)]
+    linked = spark.createDataFrame(rows, "record_type string, record_id bigint, blocks array<string>, values array<string>")
+    members, lists = matching.agreement_lists(linked, 2)
+    assert sorted(r.record_id for r in members.collect()) == [0, 1, 2]
+    got = sorted((r.mask, [i.record_id for i in r.ids]) for r in lists.collect())
+    assert got == [(0, [0, 1, 2, 3, 4]), (1, [0, 1, 2, 3, 4])]
