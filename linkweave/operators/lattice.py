@@ -128,6 +128,12 @@ def _lists(targets: DataFrame, n: int, depth: int) -> DataFrame:
     ).select("block", "mask", "shared", F.col("record_id").alias("target_id"), (F.col("_rank") > depth).alias("last"))
 
 
+def distinct_scores(fitted: PipelineModel, features: DataFrame, inputs: Inputs) -> DataFrame:
+    """The features that occur, each set once, with its score: many pairs share one set."""
+    scored = fitted.transform(features.select(*inputs.columns).distinct())
+    return stored(scored.select(*inputs.columns, F.get(vector_to_array("_probability"), 1).alias("score")))
+
+
 def forest_targets(
     sources: DataFrame,
     targets: DataFrame,
@@ -177,11 +183,13 @@ def forest_targets(
         )
         here = near.join(open_classes.select("class_id"), "class_id", "left_semi") if done is not None else near
         pairs = found.select("class_id", "target_id").unionByName(here).distinct()
-        features = lookup_join(lookup_join(pairs, left, ["class_id"]), right, ["target_id"]).select(
-            "class_id", "target_id", *inputs.pair_columns()
+        features = stored(
+            lookup_join(lookup_join(pairs, left, ["class_id"]), right, ["target_id"]).select(
+                "class_id", "target_id", *inputs.pair_columns()
+            )
         )
-        scores = fitted.transform(features).select(
-            "class_id", "target_id", F.get(vector_to_array("_probability"), 1).alias("score")
+        scores = lookup_join(features, distinct_scores(fitted, features, inputs), inputs.columns).select(
+            "class_id", "target_id", "score"
         )
         best = matching._top(scores, ["class_id"], [F.col("score").desc(), F.col("target_id")], k)
         state = best.groupBy("class_id").agg(

@@ -135,3 +135,16 @@ def test_model_id_follows_the_nodes(spark):
         nodeData)"""))
     assert model.nodes_digest(nodes) == model.nodes_digest(nodes.orderBy(F.rand()))
     assert model.nodes_digest(nodes) != model.nodes_digest(moved)
+
+
+def test_forest_scores_each_set_of_features_once(spark):
+    """Six pairs with two sets of features: the forest reads two rows, and both have its scores."""
+    columns = ["fg_legacy_name_match_score", "fg_legacy_country_match"]
+    training = spark.createDataFrame(
+        [(i / 10, float(i % 2), i > 4) for i in range(10)], ", ".join(f"{c} double" for c in columns) + ", is_match boolean"
+    )
+    fitted = model.fit(training, ["fg_legacy.name_match_score", "fg_legacy.country_match"])
+    rows = stored(spark.createDataFrame([(i, 0.9 if i % 2 else 0.1, 1.0) for i in range(6)], f"class_id long, {columns[0]} double, {columns[1]} double"))
+    scores = {r[0]: r.score for r in lattice.distinct_scores(fitted, rows, lattice.Inputs(fitted)).collect()}
+    each = fitted.transform(rows).select(columns[0], F.get(vector_to_array("_probability"), 1).alias("score")).collect()
+    assert len(scores) == 2 and all(scores[r[0]] == r.score for r in each)
