@@ -5,12 +5,18 @@ similarity of the names, and what is known of the source alone. Its score is con
 of a lattice: a set of agreements, and an interval of each number between two of the forest's own
 split points. The cells are scored once.
 
-Sources ask for targets in rounds. A round lists, for each block and each set of agreeing values,
-the first targets by id, a growing number of them; beside them stand all targets near in
-spelling (``spelling``). A target not yet listed agrees in exactly some set whose list was cut, and is not
-near in spelling, so no cell with that set and a low name score gives more than its own score. A
-source is done when nothing unlisted can come before its best: that bound is the proof. Those not done
-go on with longer lists; a list that holds all its targets bounds nothing, so every source ends.
+A value that only one side has agrees with none, and is left out; sources alike in the rest are one
+class, and of targets alike in it the first few by id are enough.
+
+Classes ask for targets in rounds. A round lists, for each place and each set of agreeing values,
+the first targets by id. Places are the blocks, and the forms of a name near in spelling
+(``spelling``). A target not yet listed agrees in exactly some set whose lists were cut. If its name
+is near, the list of its form was cut, and its score is that of the list: it follows from set and
+form. If not, no cell with that set and a low name score gives more than its own score. What is near
+follows the forest: where a split point of the name score stands a little below, names above it are.
+A list is done with when nothing behind its cut can come before the best of its class: that bound is
+the proof. Places with a list not done with are asked again for longer lists; a list that holds all
+its targets bounds nothing, so every class ends.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from linkweave.session import stored
 
 NAME_SCORE = "name_match_score"
 SOURCE_COUNTS = {"f_name_freq_src": "f_name_freq", "l_name_freq_src": "l_name_freq"}
+#: Least nearness in spelling, in hundredths, that a split point of the forest can ask for.
+LEAST_NEAR = 70
 #: Targets of a list in the first round, and how much longer the lists of the next are.
 FIRST, GROWTH = 8, 8
 
@@ -62,19 +70,55 @@ class Inputs:
             out.append(value.alias(column))
         return out
 
+    def list_columns(self) -> list[Column]:
+        """The features of any pair that agrees in a list's values only, with the name score of its place."""
+        out = []
+        for column, feature in self.features.items():
+            if column in self.flags:
+                out.append(F.getbit("mask", F.lit(self.flags.index(column))).cast("double"))
+            else:
+                out.append(F.col("name_score" if feature == NAME_SCORE else SOURCE_COUNTS[feature]).cast("double"))
+        return [c.alias(name) for c, name in zip(out, self.columns, strict=True)]
+
 
-def cell_bounds(spark: SparkSession, fitted: PipelineModel, inputs: Inputs, near: int = spelling.NEAR) -> DataFrame:
-    """(mask, bound): the highest score of a pair with these agreements that is not near in spelling."""
-    nodes = tree_nodes(fitted)
+def split_points(fitted: PipelineModel) -> dict[int, list[float]]:
+    """The forest's own split points of each input, in order: at most 31 each."""
     splits = (
-        nodes.where("nodeData.leftChild >= 0")
+        tree_nodes(fitted).where("nodeData.leftChild >= 0")
         .select(F.col("nodeData.split.featureIndex").alias("i"), F.element_at("nodeData.split.leftCategoriesOrThreshold", 1).alias("at"))
         .distinct()
     )
-    # A forest has at most 31 split points for a feature.
     points: dict[int, list[float]] = {}
     for row in splits.collect():
         points.setdefault(row.i, []).append(row.at)
+    return {i: sorted(at) for i, at in points.items()}
+
+
+def near_limit(points: dict[int, list[float]], inputs: Inputs) -> int:
+    """Least nearness of a near name: above it begins an interval of the name score, if one begins a little below."""
+    at = [i for i, c in enumerate(inputs.columns) if inputs.features[c] == NAME_SCORE]
+    return min((int(p * 100) for i in at for p in points.get(i, []) if LEAST_NEAR <= p * 100 <= spelling.NEAR), default=spelling.NEAR)
+
+
+def in_cells(points: dict[int, list[float]], inputs: Inputs) -> list[Column]:
+    """The features, each number as the end of its interval: the forest scores both alike."""
+    out = []
+    for i, name in enumerate(inputs.columns):
+        column = F.col(name)
+        if name not in inputs.flags:
+            ends = points.get(i, [])
+            end = F.lit((ends[-1] if ends else 0.0) + 1.0)
+            for e in reversed(ends):
+                end = F.when(F.col(name) <= e, e).otherwise(end)
+            column = F.when(F.col(name).isNotNull(), end)
+        out.append(column.alias(name))
+    return out
+
+
+def cell_bounds(
+    spark: SparkSession, fitted: PipelineModel, inputs: Inputs, points: dict[int, list[float]], near: int = spelling.NEAR
+) -> DataFrame:
+    """(mask, bound): the highest score of a pair with these agreements that is not near in spelling."""
     cells = spark.range(1).select(F.lit(0).alias("mask"))
     for i, column in enumerate(inputs.columns):
         if column in inputs.flags:
@@ -84,7 +128,7 @@ def cell_bounds(spark: SparkSession, fitted: PipelineModel, inputs: Inputs, near
             )
             continue
         # A value at a split point goes left: each point stands for the interval that ends there.
-        ends = sorted(points.get(i, []))
+        ends = points.get(i, [])
         if inputs.features[column] == NAME_SCORE:
             # Those that begin below the limit.
             kept = [e for e, begin in zip([*ends, 2.0], [-1.0, *ends], strict=True) if begin < near / 100]
@@ -105,27 +149,52 @@ def comparable(records: DataFrame, attributes: list[str]) -> DataFrame:
     )
 
 
+def shared_values(sources: DataFrame, targets: DataFrame, n: int) -> list[DataFrame]:
+    """Both sides with a number for each value that both have; NULL for any other, which can agree with none."""
+    if n == 0:
+        return [side.withColumn("values", F.col("values").cast("array<bigint>")) for side in (sources, targets)]
+    apart = [
+        side.select("values").distinct().select("values", F.posexplode("values").alias("i", "value")).where("value IS NOT NULL")
+        for side in (sources, targets)
+    ]
+    met, others = (rows.select("i", "value").distinct() for rows in apart)
+    numbers = stored(met.join(others, ["i", "value"]).withColumn("number", F.monotonically_increasing_id()))
+    out = []
+    for side, rows in zip((sources, targets), apart, strict=True):
+        held = lookup_join(rows, numbers, ["i", "value"]).groupBy("values").agg(
+            F.map_from_entries(F.collect_list(F.struct("i", "number"))).alias("_numbers")
+        )
+        own = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.try_element_at("_numbers", i))
+        out.append(lookup_join(side, held, ["values"], "left").withColumn("values", own).drop("_numbers"))
+    return out
+
+
+def _form(name: str, blocks: str) -> Column:
+    """The place of a form of a name. No block key has its sign."""
+    return F.concat(name, F.lit("|"), F.array_join(blocks, "|"))
+
+
 def _asked(n: int) -> Column:
     """Every set of present values, also the empty one."""
-    none = F.struct(F.lit(0).alias("mask"), F.transform("values", lambda v: F.lit(None).cast("string")).alias("shared"))
+    none = F.struct(F.lit(0).alias("mask"), F.transform("values", lambda v: F.lit(None).cast("bigint")).alias("shared"))
     if n == 0:
         return F.array(none)
     return F.concat(matching._agreements(n), F.array(none))
 
 
 def _lists(targets: DataFrame, n: int, depth: int) -> DataFrame:
-    """(block, mask, shared, target_id, last): the first targets that agree in the values.
+    """(place, mask, shared, target_id, last): the first targets that agree in the values.
 
     ``last`` marks the one after the first ``depth``: where there is one, more may follow.
     """
-    by_block = F.explode("blocks").alias("block")
+    places = F.explode(F.array_append("blocks", _form("name", "blocks"))).alias("place")
     folded = matching._top(
-        targets.select("record_id", "values", by_block), ["block", "values"], [F.col("record_id")], depth + 1
+        targets.select("record_id", "values", places), ["place", "values"], [F.col("record_id")], depth + 1
     ).drop("_rank")
     return matching._top(
-        folded.select("block", "record_id", F.explode(_asked(n)).alias("s")).select("block", "s.mask", "s.shared", "record_id"),
-        ["block", "mask", "shared"], [F.col("record_id")], depth + 1,
-    ).select("block", "mask", "shared", F.col("record_id").alias("target_id"), (F.col("_rank") > depth).alias("last"))
+        folded.select("place", "record_id", F.explode(_asked(n)).alias("s")).select("place", "s.mask", "s.shared", "record_id"),
+        ["place", "mask", "shared"], [F.col("record_id")], depth + 1,
+    ).select("place", "mask", "shared", F.col("record_id").alias("target_id"), (F.col("_rank") > depth).alias("last"))
 
 
 def distinct_scores(fitted: PipelineModel, features: DataFrame, inputs: Inputs) -> DataFrame:
@@ -151,51 +220,75 @@ def forest_targets(
     """
     spark = sources.sparkSession
     inputs = Inputs(fitted)
+    points = split_points(fitted)
     n = len(inputs.attributes)
-    asking = stored(comparable(sources, inputs.attributes))
-    asked = stored(comparable(targets, inputs.attributes))
+    asking, asked = shared_values(
+        stored(comparable(sources, inputs.attributes)),
+        stored(comparable(targets.where("record_id IS NOT NULL"), inputs.attributes)), n,
+    )
+    asking = stored(asking)
+    # Targets that nothing tells apart have one score with any source, and their order is by id.
+    asked = stored(matching._top(asked, ["blocks", "values", "name"], [F.col("record_id")], k).drop("_rank"))
     counts = [SOURCE_COUNTS[f] for f in inputs.features.values() if f in SOURCE_COUNTS]
     alike = ["blocks", "values", "name", *counts]
     # Sources that nothing tells apart are one.
     classes = stored(asking.groupBy(*alike).agg(F.min("record_id").alias("class_id")))
-    bounds = stored(cell_bounds(spark, fitted, inputs))
-    linked = classes.select(F.lit(source_type).alias("record_type"), F.col("class_id").alias("record_id"), "blocks", "values", "name")
-    linked = linked.unionByName(asked.select(F.lit(target_type).alias("record_type"), "record_id", "blocks", "values", "name"))
-    near = stored(spelling.near_pairs(linked, source_type, target_type).select(F.col("source_id").alias("class_id"), "target_id"))
+    near = near_limit(points, inputs)
+    bounds = stored(cell_bounds(spark, fitted, inputs, points, near))
+    # (class_id, place, name_score): where a class asks, and the name score of all targets there, if they have one.
+    places = classes.select(
+        "class_id", "values", *counts, F.explode("blocks").alias("place"), F.lit(None).cast("double").alias("name_score")
+    )
+    if NAME_SCORE in inputs.features.values():
+        forms = stored(spelling.near_names(classes, asked, near).select(
+            F.col("source_name").alias("name"), F.col("source_blocks").alias("blocks"),
+            _form("target_name", "target_blocks").alias("place"),
+            name_match_score("source_name", "target_name").alias("name_score"),
+        ))
+        places = places.unionByName(
+            lookup_join(classes, forms, ["name", "blocks"]).select("class_id", "values", *counts, "place", "name_score")
+        )
+    places = stored(places)
 
     left = classes.withColumnsRenamed({"values": "own_values", "name": "own_name"}).drop("blocks")
     right = asked.select(F.col("record_id").alias("target_id"), "values", "name")
-    done: DataFrame | None = None
-    open_classes, depth = classes, FIRST
+    cells_of = in_cells(points, inputs)
+    held: DataFrame | None = None
+    open_places, depth = places, FIRST
     while True:
-        wanted = open_classes.select("class_id", "blocks", "values").select(
-            "class_id", "values", F.explode("blocks").alias("block")
-        ).select("class_id", "block", F.explode(_asked(n)).alias("s")).select("class_id", "block", "s.mask", "s.shared")
-        found = stored(
-            lookup_join(wanted, _lists(asked, n, depth), ["block", "mask", "shared"])
-            .select("class_id", "target_id", "mask", "last")
+        wanted = open_places.select("*", F.explode(_asked(n)).alias("s")).select(
+            "class_id", "place", "name_score", *counts, "s.mask", "s.shared"
         )
-        beyond = (
-            # At most one row for each set of attributes.
-            found.where("last").join(F.broadcast(bounds), "mask")
-            .groupBy("class_id").agg(F.max(F.struct("bound", (-F.col("target_id")).alias("first"))).alias("x"))
-            .select("class_id", "x.bound", (-F.col("x.first")).alias("after"))
+        found = stored(
+            lookup_join(wanted, _lists(asked, n, depth), ["place", "mask", "shared"])
+            .select("class_id", "place", "name_score", *counts, "target_id", "mask", "last")
         )
-        here = near.join(open_classes.select("class_id"), "class_id", "left_semi") if done is not None else near
-        pairs = found.select("class_id", "target_id").unionByName(here).distinct()
+        pairs = stored(found.select("class_id", "target_id").distinct())
         features = stored(
             lookup_join(lookup_join(pairs, left, ["class_id"]), right, ["target_id"]).select(
                 "class_id", "target_id", *inputs.pair_columns()
-            )
-        )
-        scores = lookup_join(features, distinct_scores(fitted, features, inputs), inputs.columns).select(
-            "class_id", "target_id", "score"
+            ).select("class_id", "target_id", *cells_of)
         )
-        best = matching._top(scores, ["class_id"], [F.col("score").desc(), F.col("target_id")], k)
+        cut = found.where("last")
+        in_forms = cut.where("name_score IS NOT NULL").select(
+            "class_id", "place", F.col("target_id").alias("after"), *inputs.list_columns()
+        ).select("class_id", "place", "after", *cells_of)
+        cells = distinct_scores(fitted, features.select(*inputs.columns).unionByName(in_forms.select(*inputs.columns)), inputs)
+        scores = lookup_join(features, cells, inputs.columns).select("class_id", "target_id", "score")
+        if held is not None:
+            scores = held.join(pairs, ["class_id", "target_id"], "left_anti").unionByName(scores)
+        best = stored(matching._top(scores, ["class_id"], [F.col("score").desc(), F.col("target_id")], k))
         state = best.groupBy("class_id").agg(
             F.max(F.when(F.col("_rank") == 1, F.struct("score", "target_id"))).alias("top"),
             F.max(F.when(F.col("_rank") == k, F.struct("score", "target_id"))).alias("worst"),
         )
+        # At most one row for each set of attributes.
+        in_blocks = cut.where("name_score IS NULL").join(F.broadcast(bounds), "mask").select(
+            "class_id", "place", F.col("target_id").alias("after"), "bound"
+        )
+        beyond = in_blocks.unionByName(
+            lookup_join(in_forms, cells, inputs.columns).select("class_id", "place", "after", F.col("score").alias("bound"))
+        )
 
         def safe(row: str) -> Column:
             """Nothing unlisted comes before this one; what is unlisted has ids behind ``after``."""
@@ -205,18 +298,14 @@ def forest_targets(
             return F.coalesce(beats, F.lit(False))
 
         low = F.col("bound") < min_score
-        settled = F.col("bound").isNull() | safe("worst") | (low & ((F.col("top.score") >= min_score) | safe("top")))
-        judged = stored(
-            lookup_join(best, state.join(beyond, "class_id", "left").select("class_id", settled.alias("settled")), ["class_id"])
-        )
-        ready = judged.where("settled").select("class_id", "target_id", "score", "_rank")
-        done = ready if done is None else done.unionByName(ready)
-        open_ids = judged.where(~F.col("settled")).select("class_id").distinct()
-        if open_ids.isEmpty():
+        settled = safe("worst") | (low & ((F.col("top.score") >= min_score) | safe("top")))
+        left_open = stored(lookup_join(beyond, state, ["class_id"]).where(~settled).select("class_id", "place").distinct())
+        if left_open.isEmpty():
             break
-        open_classes = stored(classes.join(open_ids, "class_id", "left_semi"))
+        held = best.drop("_rank")
+        open_places = stored(lookup_join(open_places, left_open, ["class_id", "place"]))
         depth *= GROWTH
-    ranked = done.where((F.col("score") >= min_score) | (F.col("_rank") == 1))
+    ranked = best.where((F.col("score") >= min_score) | (F.col("_rank") == 1))
     members = lookup_join(asking.select("record_id", *alike), classes, alike).select("record_id", "class_id")
     return lookup_join(members, ranked, ["class_id"]).select(
         F.lit(source_type).alias("source_type"), F.col("record_id").alias("source_id"),

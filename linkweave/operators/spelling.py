@@ -5,7 +5,7 @@ that is when ``name_match_score`` reaches the threshold. The join is exact. A ta
 l letters is cut into as many segments as edits could be allowed to it, and one more; so a name near
 to it has one segment whole, and that at a place which the edits before and behind it can explain.
 Source names ask for the pieces at these places only. What meets is checked by
-``levenshtein`` with its bound, inside the join.
+blocks and letters, as bits, and then by ``levenshtein`` with its bound, inside the join.
 
 Names are folded first: copies of a name are one form. Pairs are pairs of forms, so a name that a
 third of all records bear costs what one record does. Empty names are near to none.
@@ -74,6 +74,20 @@ def probes(name: str, near: int = NEAR) -> Column:
     )
 
 
+def _letter_bits(name: str) -> Column:
+    """Which letters a name has, and which twice: an edit adds one bit at most, and takes one."""
+    bits = []
+    for i, letter in enumerate("abcdefghijklmnopqrstuvwxyz -"):
+        n = f"(length({name}) - length(replace({name}, '{letter}', '')))"
+        bits.append(f"if({n} > 0, {1 << i}L, 0L) | if({n} > 1, {1 << (i + 28)}L, 0L)")
+    return F.expr(" | ".join(bits))
+
+
+def _block_bits(blocks: str) -> Column:
+    """A bit for each block, which others may share: without one in common no block is."""
+    return F.expr(f"aggregate({blocks}, 0L, (bits, b) -> bits | shiftleft(1L, pmod(ascii(b), 63)))")
+
+
 def named(records: DataFrame) -> DataFrame:
     """What the join reads of a record: key, block keys, full name in ASCII."""
     return records.select(
@@ -87,18 +101,24 @@ def near_names(sources: DataFrame, targets: DataFrame, near: int = NEAR) -> Data
     Both sides have ``name`` and ``blocks``. Columns: source_name, source_blocks, target_name,
     target_blocks, edits.
     """
-    asking = sources.select(F.col("name").alias("source_name"), F.col("blocks").alias("source_blocks")).distinct()
-    asked = targets.select(F.col("name").alias("target_name"), F.col("blocks").alias("target_blocks")).distinct()
-    left = asking.select("*", F.explode(probes("source_name", near)).alias("s")).select(
-        "source_name", "source_blocks", "s.*"
-    )
-    right = asked.select("*", F.explode(segments("target_name", near)).alias("s")).select(
-        "target_name", "target_blocks", "s.*"
+    def forms(rows: DataFrame, side: str) -> DataFrame:
+        named = rows.select(F.col("name").alias(f"{side}_name"), F.col("blocks").alias(f"{side}_blocks")).distinct()
+        # Few bytes, but many pieces: they are not left to the few tasks that would do for the bytes.
+        return named.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select(
+            "*", _letter_bits(f"{side}_name").alias(f"{side}_letters"), _block_bits(f"{side}_blocks").alias(f"{side}_bits")
+        )
+
+    left = forms(sources, "source").select("*", F.explode(probes("source_name", near)).alias("s")).select("*", "s.*").drop("s")
+    right = forms(targets, "target").select("*", F.explode(segments("target_name", near)).alias("s")).select("*", "s.*").drop("s")
+    allowed = f"CAST({allowed_edits('greatest(length(source_name), length(target_name))', near)} AS INT)"
+    edits = f"levenshtein(source_name, target_name, {allowed})"
+    may_be_near = F.expr(
+        f"""source_bits & target_bits <> 0 AND bit_count(source_letters & ~target_letters) <= {allowed}
+            AND bit_count(target_letters & ~source_letters) <= {allowed}"""
     )
-    allowed = allowed_edits("greatest(length(source_name), length(target_name))", near)
-    edits = f"levenshtein(source_name, target_name, CAST({allowed} AS INT))"
-    met = lookup_join(left, right, ["length", "i", "piece"]).where(
-        F.arrays_overlap("source_blocks", "target_blocks") & (F.expr(edits) >= 0)
+    # The pieces of a table far outgrow it: what is small enough to be sent before need not be after.
+    met = lookup_join(left, right.hint("merge"), ["length", "i", "piece"]).where(
+        may_be_near & F.arrays_overlap("source_blocks", "target_blocks") & (F.expr(edits) >= 0)
     )
     return (
         met.select("source_name", "source_blocks", "target_name", "target_blocks").distinct()

@@ -148,3 +148,39 @@ def test_forest_scores_each_set_of_features_once(spark):
     scores = {r[0]: r.score for r in lattice.distinct_scores(fitted, rows, lattice.Inputs(fitted)).collect()}
     each = fitted.transform(rows).select(columns[0], F.get(vector_to_array("_probability"), 1).alias("score")).collect()
     assert len(scores) == 2 and all(scores[r[0]] == r.score for r in each)
+
+
+def fitted_by(spark, rows, columns):
+    training = spark.createDataFrame(rows, ", ".join(f"fg_legacy_{c} double" for c in columns) + ", is_match boolean")
+    return model.fit(training, [f"fg_legacy.{c}" for c in columns])
+
+
+def test_near_names_follow_a_split_point_below_their_limit(spark, monkeypatch):
+    """Names above 0.77 score high, and none here is: one round proves it, lists do not grow."""
+    fitted = fitted_by(spark, [(0.54, 0.0, False), (1.0, 0.0, True)] * 20, ["name_match_score", "country_match"])
+    columns = "record_type string, record_id long, first_name string, middle_name string, last_name string, country string"
+    sources = spark.createDataFrame([("gpo", 1, "aaaa", None, "bbbbbbbb", "us")], columns)
+    others = [("pm", 10 + i, f"a{c}{c}{c}", None, c * 9, "fr") for i, c in enumerate("cdefghijklmnopqrstuv")]
+    depths, lists = [], lattice._lists
+    monkeypatch.setattr(lattice, "_lists", lambda targets, n, depth: depths.append(depth) or lists(targets, n, depth))
+    for far in ([], [("pm", 99, "aaaa", None, "bbbbbbccc", "de")]):
+        targets = spark.createDataFrame(others + far, columns)
+        wanted, _ = all_pairs(sources, targets, fitted)
+        assert found(lattice.forest_targets(sources, targets, fitted)) == wanted
+        assert {t for _, t, _ in wanted} == ({99} if far else {10})
+    assert depths == [lattice.FIRST] * 2
+
+
+def test_a_hot_name_does_not_meet_itself_in_pairs(spark, monkeypatch):
+    """Forty sources and forty targets of one name, half of them with a number in common: lists, not 1,600 pairs."""
+    rng = random.Random(4)
+    rows = [(rng.random(), float(rng.random() < 0.5), rng.random() < 0.4) for _ in range(200)]
+    fitted = fitted_by(spark, rows, ["name_match_score", "npi_match"])
+    columns = "record_type string, record_id long, first_name string, middle_name string, last_name string, npi string"
+    people = [[(kind, i, "ann", None, "smith", f"n{i}" if i % 2 else f"{kind}{i}") for i in range(40)] for kind in ("gpo", "pm")]
+    sources, targets = (spark.createDataFrame(rows, columns) for rows in people)
+    scored, scores = [], lattice.distinct_scores
+    monkeypatch.setattr(lattice, "distinct_scores", lambda f, rows, inputs: scored.append(rows.count()) or scores(f, rows, inputs))
+    wanted, _ = all_pairs(sources, targets, fitted)
+    assert found(lattice.forest_targets(sources, targets, fitted)) == wanted
+    assert sum(scored) < 800
