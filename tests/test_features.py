@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkweave import schemas as S
 from linkweave.operators import features, vectors
+from linkweave.session import stored
 
 
 class NoCompute(features.FeatureGroup):
@@ -168,3 +169,21 @@ def test_pair_cosine_looks_vectors_up_once(spark):
     assert got == [(0, 1, 0.0), (1, 1, 1.0), (1, 2, 0.8), (1, 2, 0.8), (2, 9, 0.0)]
     # Vectors are not written, to be read for either side.
     assert "parquet" not in cosines._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbered_terms_have_the_same_weights_and_cosines(spark, monkeypatch):
+    """A number for each term, the same wherever its weight was found; vectors of numbers have the same cosines."""
+    rows = spark.createDataFrame([(1, "ab ab cd"), (2, "ab gh"), (3, "gh cd ef"), (4, None)], "id int, t string")
+    given = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (3, 3), (1, 4)], "source_id int, target_id int")
+
+    def cosines(weights):
+        return {(r.source_id, r.target_id): round(r.cosine, 9) for r in vectors.pair_cosine(given, weights, "id").collect()}
+
+    words = vectors.tfidf(rows, "id", "t")
+    for common in (vectors.COMMON, 1):
+        monkeypatch.setattr(vectors, "COMMON", common)
+        numbers = stored(vectors.tfidf(rows, "id", "t", numbered=True))
+        assert numbers.schema["term"].dataType.typeName() == "long"
+        assert numbers.select("term").distinct().count() == 4
+        assert sorted((r.id, round(r.weight, 9)) for r in numbers.collect()) == sorted((r.id, round(r.weight, 9)) for r in words.collect())
+        assert cosines(numbers) == cosines(words)
