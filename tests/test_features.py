@@ -156,6 +156,45 @@ def test_tfidf_of_rare_terms_and_repeated_keys(spark, monkeypatch):
     assert len(many) == len(few) == 5
 
 
+def test_tfidf_reads_texts_and_ranks_terms_once(spark, monkeypatch):
+    """The stored counts tell the number of texts, and the common terms are ranked before the plan that weights them."""
+    rows = spark.createDataFrame([(1, "ab ab cd"), (1, "cd ef"), (None, "ab gh"), (2, None)], "id int, t string")
+    monkeypatch.setattr(rows, "count", lambda: pytest.fail("the texts are read again to be counted"))
+    plan = vectors.tfidf(rows, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" not in plan and "LocalLimit" not in plan
+
+
+def test_tfidf_of_terms_in_one_text_only(spark, monkeypatch):
+    """Terms of one text are not in the table of frequencies, and have the weights of terms that are in one text."""
+    rows = spark.createDataFrame([(1, "ab cd cd"), (2, "ab ef"), (3, "")], "id int, t string")
+    written = []
+    monkeypatch.setattr(vectors, "stored", lambda df, *codec: written.append(stored(df, *codec)) or written[-1])
+    once, twice = math.log(4 / 2) + 1, math.log(4 / 3) + 1
+    expected = {
+        (1, "ab"): twice / math.hypot(twice, 2 * once), (1, "cd"): 2 * once / math.hypot(twice, 2 * once),
+        (2, "ab"): twice / math.hypot(twice, once), (2, "ef"): once / math.hypot(twice, once),
+    }
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        for size in (before, "-1"):
+            spark.conf.set(limit, size)
+            found = {(r.id, r.term): r.weight for r in vectors.tfidf(rows, "id", "t").collect()}
+            assert found == {k: pytest.approx(w) for k, w in expected.items()}
+    finally:
+        spark.conf.set(limit, before)
+    tables = [df for df in written if "df" in df.columns]
+    assert tables and all({r.term for r in df.collect()} == {"ab"} for df in tables)
+    # Numbers are given to all terms.
+    written.clear()
+    vectors.tfidf(rows, "id", "t", numbered=True)
+    assert max(df.count() for df in written if "number" in df.columns) == 3
+
+
+def test_tfidf_of_no_texts(spark):
+    assert vectors.tfidf(spark.createDataFrame([], "id int, t string"), "id", "t").collect() == []
+
+
 def test_pair_cosine_looks_vectors_up_once(spark):
     """Vectors are looked up once for both sides; pairs may repeat, hold one text twice, or name none."""
     weights = spark.createDataFrame(
