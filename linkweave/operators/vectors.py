@@ -18,6 +18,9 @@ from linkweave.session import stored
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 #: Terms whose weights are sent to every task, the most frequent ones; all others are looked up by a shuffle.
 COMMON = 100_000
+#: Parts, a power of two, over which the rows of one term are spread by their texts; a text has one row of it.
+PARTS = 64
+_PART = "_part"
 
 
 def tokens(value: Column | str, analyzer: str = "word") -> Column:
@@ -46,31 +49,50 @@ def term_counts(
     ``min_df`` leaves out terms found in fewer texts: a number of texts when whole,
     a share of all texts when a fraction.
     """
-    counts = (
-        # explode_outer: the plain form would take every text apart twice, once for
-        # a filter on non-empty arrays.
-        texts.select(key, F.explode_outer(tokens(column, analyzer)).alias("term"))
-        .where(F.col("term") != "")
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    if min_df != 1 and analyzer == "word" and not _keys_repeat(texts, key):
+        # Texts are counted where they lie, so no task holds the terms of many. Letters are few and counted below.
+        counted = texts.select(key, F.explode_outer(_counted(tokens(column))).alias("t"))
+        # Bits of a hash are never NULL; a filter for that would set the two readers of the exchange apart.
+        part = F.xxhash64(key).bitwiseAND(PARTS - 1)
+        counts = (
+            counted.select(key, "t.term", "t.n").where(F.col("term") != "").repartition("term", part).withColumn(_PART, part)
+        )
+        on, dealt = ["term", _PART], True
+    else:
+        counts = (
+            # explode_outer: the plain form would take every text apart twice, once for
+            # a filter on non-empty arrays.
+            texts.select(key, F.explode_outer(tokens(column, analyzer)).alias("term"))
+            .where(F.col("term") != "")
+            .groupBy(key, "term")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        on, dealt = ["term"], False
     if min_df == 1 and isinstance(min_df, int):
         return counts
     least = F.lit(min_df)
     if isinstance(min_df, float):
         least = texts.agg(F.count(F.lit(1))).scalar() * F.lit(min_df)
-    frequent = _document_frequency(counts).where(F.col("df") >= least).select("term")
+    frequent = _document_frequency(counts, on).where(F.col("df") >= least).select(*on)
     # Inner on distinct terms; Spark would move a semi join below the counting.
-    return lookup_join(counts, frequent, ["term"]).select(key, "term", "n")
+    return lookup_join(counts, frequent, on, dealt=dealt).select(key, "term", "n")
+
+
+def _keys_repeat(texts: DataFrame, key: str) -> bool:
+    return not texts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty()
 
 
-def _document_frequency(counts: DataFrame) -> DataFrame:
-    """Number of texts each term occurs in.
+def _document_frequency(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Number of texts each term occurs in, once per term, or in each part of it where ``by`` names the parts.
 
     Counting over ``n`` keeps the input equal to what the counts are joined back
     to, so one exchange of the texts' terms serves both.
     """
-    return counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
+    df = F.count_if(F.col("n") > 0).alias("df")
+    if by in (None, ["term"]):
+        return counts.groupBy("term").agg(df)
+    # A term has PARTS rows at most here, however many texts it is in.
+    return counts.groupBy(*by).agg(df).withColumn("df", F.sum("df").over(Window.partitionBy("term")))
 
 
 def _counted(terms: Column) -> Column:

@@ -132,6 +132,32 @@ def test_texts_are_taken_apart_once(spark):
     assert final.count("ReusedExchange") == 1 and final.count("regexp_extract_all") == 1
 
 
+def test_words_are_counted_text_by_text_and_move_once(spark):
+    """No task gathers or sorts the terms of many texts: they move once, and meet a share of the frequent ones."""
+    rows = spark.range(3000).selectExpr("id", "concat('hot ', id % 1000, ' w', md5(string(id))) AS t")
+    query = vectors.term_counts(rows, "id", "t", min_df=2)._jdf.queryExecution()
+    assert query.toRdd().count() == 5970  # numbers of one digit are no words
+    final = query.executedPlan().toString().split("== Initial Plan ==")[0]
+    above, _, below = final.partition("ShuffledHashJoin")
+    assert below.count("HashAggregate(keys=[id") == 0 and "SortMergeJoin" not in final
+    moved = [line for line in final.split("\n") if "+- Exchange" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in moved) == 1
+    # All others hold terms without their texts.
+    assert len(moved) == 3 and final.count("ReusedExchange") == 1 and final.count("regexp_extract_all") == 1
+
+
+def test_term_counts_of_repeated_and_missing_keys(spark):
+    """Texts of one key, also of none, are one text, whichever way texts are counted."""
+    given = [(1, "ab ab cd"), (2, "ab gh"), (3, None), (None, "cd gh gh"), (4, "")]
+    def found(rows):
+        df = spark.createDataFrame(rows, "id int, t string")
+        return sorted(((r.id or 0, r.term, r.n) for r in vectors.term_counts(df, "id", "t", min_df=2).collect()))
+    assert found(given) == [(0, "cd", 1), (0, "gh", 2), (1, "ab", 2), (1, "cd", 1), (2, "ab", 1), (2, "gh", 1)]
+    again = [*given, (1, "cd"), (None, "gh xy"), (None, "xy")]
+    assert found(again) == [(0, "cd", 1), (0, "gh", 3), (1, "ab", 2), (1, "cd", 2), (2, "ab", 1), (2, "gh", 1)]
+    assert found([]) == []
+
+
 def test_tfidf_takes_texts_apart_once_and_keeps_common_terms_in_place(spark):
     plan = vectors.tfidf(texts(spark), "id", "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan and "strategy=broadcast" in plan
