@@ -298,8 +298,11 @@ def detail_rows(
         F.col("CollectionSourceId").alias("collection_source_id_src"), "MatchingResultId",
         "BatchId", "append_mode",
     )
+    by_source = ["collection_source_id_src"]
+    # Values are cut before the join: where its rows are exchanged, whole texts stay behind.
     if config is None:
-        values = {n: text.field_text(c) for n, c in fields.items()}
+        rows = matches.select(*ids, *[text.field_text(c).alias(n) for n, c in fields.items()], *by_source)
+        values = [F.col(n) for n in fields]
     else:
         existing = results.where(F.col("append_mode") == 1)
         held = lookup_join(existing, stored_fields(config), ["BatchId"], "left")
@@ -307,18 +310,15 @@ def detail_rows(
             "fields", F.lit(None).cast("map<string,string>")
         ).unionByName(held)
         of_row = F.create_map(*[x for c in fields.values() for x in (F.lit(c), text.field_text(c))])
-        values = {
-            n: F.when(F.col("fields").isNull(), text.field_text(c)).otherwise(
-                F.try_element_at(F.col("_values"), F.try_element_at("fields", F.lit(n)))
-            )
+        rows = matches.select(*ids, of_row.alias("_values"), *by_source)
+        set_up = {
+            n: F.when(F.col("fields").isNull(), F.lit(c)).otherwise(F.try_element_at("fields", F.lit(n)))
             for n, c in fields.items()
         }
-        matches = matches.withColumn("_values", of_row)
-    joined = lookup_join(
-        matches, results.drop("BatchId", "append_mode"), ["collection_source_id_src"]
-    )
+        values = [F.try_element_at(F.col("_values"), column).alias(n) for n, column in set_up.items()]
+    joined = lookup_join(rows, results.drop("BatchId", "append_mode"), by_source)
     return joined.select(
-        *ids, *[v.alias(n) for n, v in values.items()],
+        *[n for n in names.values() if n not in fields], *values,
         F.lit(user).alias("CreatedBy"),
         F.lit(created_at).alias("CreatedDate"),
         "MatchingResultId",

@@ -64,6 +64,34 @@ def test_existing_batch_keeps_its_own_fields(spark):
     assert {(r.sourceid, r.fieldvalue1, r.fieldvalue2, r.MatchingResultId) for r in rows} == {(1, "x", "0.5", 70), (3, "0.25", "y", 80)}
 
 
+@pytest.mark.parametrize("stored_columns", [False, True])
+def test_values_are_cut_before_rows_meet_their_batches(spark, stored_columns):
+    """What is exchanged with the rows is cut text; rows may repeat, have no source, values or known batch."""
+    long = "x" * 1500
+    matches = spark.createDataFrame(
+        [(1, 2, 0.5, long, 11), (1, 2, 0.5, long, 11), (3, 4, None, None, 12), (5, 6, 0.75, "z", None), (7, 8, 1.0, "", 99)],
+        "source_id BIGINT, target_id BIGINT, a DOUBLE, b STRING, collection_source_id_src INT",
+    )
+    assigned = spark.createDataFrame(
+        [(11, 1, 7, 70), (12, 0, 8, 80), (None, 0, 9, 90)],
+        "CollectionSourceId INT, append_mode INT, BatchId BIGINT, MatchingResultId BIGINT",
+    )
+    config = None
+    if stored_columns:
+        config = spark.createDataFrame(
+            [(7, "b", "fieldvalue1")], "BatchId BIGINT, PrimaryColumnName STRING, MappingColumnName STRING"
+        )
+    names = {"source_id": "sourceid", "target_id": "targetid", "a": "fieldvalue1", "b": "fieldvalue2"}
+    details = review.detail_rows(matches, assigned, names, NOW, config=config)
+    assert details.columns == ["sourceid", "targetid", "fieldvalue1", "fieldvalue2", "CreatedBy", "CreatedDate", "MatchingResultId"]
+    found = sorted((r.sourceid, r.fieldvalue1, r.fieldvalue2, r.MatchingResultId) for r in details.collect())
+    # The stored batch has one column only, the text.
+    hot = (1, long[:1000], None, 70) if stored_columns else (1, "0.5", long[:1000], 70)
+    assert found == [hot, hot, (3, None, None, 80)]
+    above, _, below = details._jdf.queryExecution().optimizedPlan().toString().partition("Join Inner")
+    assert "substring" in below and "substring" not in above
+
+
 def test_rows_of_unknown_sources_are_kept_whole(spark):
     matches = spark.createDataFrame([(1, 11), (2, 12), (3, None)], "source_id BIGINT, collection_source_id_src INT")
     config = spark.createDataFrame([(11, "one")], "CollectionSourceId INT, collectionSourceName STRING")
